@@ -93,10 +93,10 @@ MODELS = (
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """(doc_id, task, model, family, label, prob, pred) — prob in [0, 1] with steps of 0.01.
+    """(doc_id, task, model, family, label, prob, pred) — prob in [0, 1] with steps of 1/128.
 
-    prob = ((doc_id * a + length(text) * b + label * 30 * (tasks' offset)) mod 101) / 100, so it
-    carries some signal of the label and ties occur (average-rank AUC matters).
+    prob = ((doc_id·a + length(text)·b·t + 38·label) mod 129) / 128 (capped at 1): it carries some
+    signal of the label, and ties occur (average-rank AUC matters).
     """
     docs = table(spark, sf, "documents").select("doc_id", F.length("text").alias("_len"))
     labels = table(spark, sf, "labels")
@@ -107,8 +107,9 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
                                 F.lit(a).alias("_a"), F.lit(b).alias("_b")) for m, f, a, b in MODELS])
     long = (rows.select("doc_id", "_len", F.inline(tasks)).select("*", F.inline(models)))
     raw = ((F.col("doc_id") * F.col("_a") + F.col("_len") * F.col("_b") * F.col("_t")
-            + F.col("label") * 30) % 101)
-    prob = (F.least(raw, F.lit(100)).cast("double") / 100.0)
+            + F.col("label") * 38) % 129)
+    # dyadic steps (k / 128): sums of probabilities are exact, whatever the addition order.
+    prob = (F.least(raw, F.lit(128)).cast("double") / 128.0)
     return long.select("doc_id", "task", "model", "family", "label", prob.alias("prob"),
                        (prob >= 0.5).cast("int").alias("pred"))
 
@@ -123,6 +124,7 @@ scored0 AS (
   SELECT l.doc_id, t.task, m.model, m.family,
          CASE WHEN t.task = 'quality' THEN l.quality ELSE l.toxic END AS label,
          CAST(least((l.doc_id * m.a + length(d.text) * m.b * t.t
-               + (CASE WHEN t.task = 'quality' THEN l.quality ELSE l.toxic END) * 30) % 101, 100) AS DOUBLE) / 100.0 AS prob
+               + (CASE WHEN t.task = 'quality' THEN l.quality ELSE l.toxic END) * 38) % 129, 128) AS DOUBLE)
+           / CAST(128 AS DOUBLE) AS prob
   FROM labels l JOIN documents d ON l.doc_id = d.doc_id, tasks t, models m),
 scored AS (SELECT *, CAST(prob >= 0.5 AS INTEGER) AS pred FROM scored0)"""
