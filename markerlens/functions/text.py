@@ -82,19 +82,28 @@ def search_tokens(c) -> Column:
 
 
 def remove_stopwords(tokens, stops) -> Column:
-    """FN-10 drop tokens found in ``stops`` (a Python sequence of words)."""
-    stop_arr = F.array(*[F.lit(s) for s in stops])
-    return F.filter(_col(tokens), lambda t: ~F.array_contains(stop_arr, t))
+    """FN-10 drop tokens found in ``stops`` (a Python sequence of words).
+
+    ``isin`` over many literals is planned as a hash-set lookup (InSet), one probe per token.
+    """
+    stop_list = list(dict.fromkeys(stops))
+    return F.filter(_col(tokens), lambda t: ~t.isin(stop_list))
 
 
 def ngrams(tokens, n: int) -> Column:
-    """FN-11 consecutive n-grams joined by a blank; empty when fewer than n tokens."""
+    """FN-11 consecutive n-grams joined by a blank; empty when fewer than n tokens.
+
+    Built from n shifted slices zipped together, so the token array is read n times per row
+    (never once per element inside a lambda, which would be quadratic).
+    """
     t = _col(tokens)
-    return F.when(
-        F.size(t) >= n,
-        F.transform(F.sequence(F.lit(1), F.size(t) - n + 1),
-                    lambda i: F.array_join(F.slice(t, i, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+    k = F.greatest(F.size(t) - n + 1, F.lit(0))
+    if n == 1:
+        return t
+    if n == 2:
+        return F.zip_with(F.slice(t, 1, k), F.slice(t, 2, k), lambda a, b: F.concat_ws(" ", a, b))
+    zipped = F.arrays_zip(*[F.slice(t, j + 1, k).alias(f"g{j}") for j in range(n)])
+    return F.transform(zipped, lambda s: F.concat_ws(" ", *[s[f"g{j}"] for j in range(n)]))
 
 
 def sentence_count(c) -> Column:

@@ -180,6 +180,16 @@ def stats(df: DataFrame, text: str = "text", group_cols: Sequence[str] = ()) ->
                       ratio("tokens", "articles").alias("avg_article_len"))
 
 
+# A text holds fewer than 2**24 tokens, so (order, pos) packs into one long for integral order
+# columns below 2**39; a long key keeps the first-occurrence minimum in the hash aggregate
+# (a struct buffer would fall back to a sort-based aggregate).
+POS_BITS = 24
+
+
+def occurrence_key(order: str, pos: str = "pos") -> Column:
+    return F.shiftleft(F.col(order).cast("long"), POS_BITS) + F.col(pos)
+
+
 def token_stream(df: DataFrame, text: str = "text", order: str = "doc_id",
                  stopwords: Sequence[str] | None = ENGLISH_STOPWORDS) -> DataFrame:
     """One row per token: (order, pos, token), ``[a-z]+`` tokens, optional stop-word removal."""
@@ -193,7 +203,7 @@ def top_words(df: DataFrame, k: int = 20, text: str = "text", order: str = "doc_
               stopwords: Sequence[str] | None = ENGLISH_STOPWORDS) -> DataFrame:
     """AGG-11 the ``k`` most frequent tokens; ties by first occurrence in (order, pos)."""
     counted = (token_stream(df, text, order, stopwords).groupBy("token")
-               .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(order, "pos")).alias("_first")))
+               .agg(F.count(F.lit(1)).alias("n"), F.min(occurrence_key(order)).alias("_first")))
     return counted.orderBy(F.desc("n"), F.asc("_first")).limit(k).select("token", "n")
 
 
@@ -205,9 +215,9 @@ def type_token_ratio(df: DataFrame, sizes: Sequence[int] = (1000, 10000, 50000),
     per document) + position in the document. Sizes larger than the stream are skipped.
     """
     spark = df.sparkSession
-    per_doc = df.select(order, T.alpha_tokens(text).alias("_tok")).withColumn("_n", F.size("_tok"))
-    offs = exclusive_prefix_sum(per_doc.select(order, "_n"), order, "_n", "_before")
-    toks = (per_doc.select(order, "_tok").join(offs.select(order, "_before"), order)
+    counts = df.select(order, F.regexp_count(F.lower(F.col(text)), F.lit(T.ALPHA_TOKEN)).alias("_n"))
+    offs = exclusive_prefix_sum(counts, order, "_n", "_before")
+    toks = (df.select(order, T.alpha_tokens(text).alias("_tok")).join(offs.select(order, "_before"), order)
             .select("_before", F.posexplode("_tok").alias("_pos", "token"))
             .select((F.col("_before") + F.col("_pos")).alias("offset"), "token"))
     size_tab = spark.createDataFrame([(int(n),) for n in sizes], "n long")
@@ -248,5 +258,5 @@ def top_bigrams(df: DataFrame, k: int = 10, text: str = "text", order: str = "do
             F.concat_ws(" ", "_last", "_next_first").alias("bigram")))
         pairs = inner.unionByName(border)
     counted = pairs.groupBy("bigram").agg(F.count(F.lit(1)).alias("n"),
-                                          F.min(F.struct(order, "pos")).alias("_first"))
+                                          F.min(occurrence_key(order)).alias("_first"))
     return counted.orderBy(F.desc("n"), F.asc("_first")).limit(k).select("bigram", "n")

@@ -33,15 +33,17 @@ def rule_tags(text: str, lexicon: Sequence[str], acronyms: Sequence[str] = (),
     """FN-18 present tags, in fixed tag order, from the marker rules (MRK-1…5) applied as
     existence tests on the text's letter tokens — no explode, one pass per row."""
     words = F.regexp_extract_all(F.col(text), F.lit("[a-zA-Z]+"), 0)
-    lex = F.array(*[F.lit(w.lower()) for w in lexicon]) if lexicon else F.array().cast("array<string>")
-    acr = F.array(*[F.lit(a) for a in acronyms]) if acronyms else F.array().cast("array<string>")
-    prof = F.array(*[F.lit(p.lower()) for p in profanity]) if profanity else F.array().cast("array<string>")
+    lex = [w.lower() for w in lexicon]
+    acr = list(acronyms)
+    prof = [p.lower() for p in profanity]
+    false = F.lit(False)
     checks = {
-        "all_caps": F.exists(words, lambda t: (F.length(t) >= 2) & (F.upper(t) == t) & ~F.array_contains(acr, t)),
+        "all_caps": F.exists(words, lambda t: (F.length(t) >= 2) & (F.upper(t) == t)
+                             & (~t.isin(acr) if acr else F.lit(True))),
         "exclamation_marks": F.col(text).contains("!"),
-        "hedging": F.exists(words, lambda t: F.array_contains(lex, F.lower(t))),
+        "hedging": F.exists(words, lambda t: F.lower(t).isin(lex)) if lex else false,
         "adjectives": F.exists(words, lambda t: F.lower(t).rlike(ADJECTIVE)),
-        "unk": F.exists(words, lambda t: F.array_contains(prof, F.lower(t))),
+        "unk": F.exists(words, lambda t: F.lower(t).isin(prof)) if prof else false,
     }
     return F.filter(F.array(*[F.when(checks[t], F.lit(t)) for t in T.TAGS]), lambda x: x.isNotNull())
 

@@ -70,6 +70,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; column pruning and filters reach the parquet scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one driver table; column pruning and filters reach the parquet scan.
+
+    A file with a single row group scans as one task, and all row-local work before the
+    first shuffle (tokenising whole texts) would run on one core. When the scan yields fewer
+    splits than the session's parallelism, the rows are spread round-robin over that many
+    partitions. At cluster scale the scan has far more splits than cores and nothing is added.
+    Projections and filters are pushed below the repartition by the optimizer.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+    return df
