@@ -40,17 +40,18 @@ def exclude(ratings: DataFrame, annotators: Sequence[str] = ()) -> DataFrame:
     return ratings.where(~F.col("annotator").isin(*annotators)) if annotators else ratings
 
 
-def _fleiss(cells: DataFrame, by: list[str], item: str = "item_id") -> DataFrame:
-    """Fleiss kappa from the cell table (by…, item, category, n_ij) of items with equal rater count.
+def _kappa_from_items(items: DataFrame, by: list[str]) -> DataFrame:
+    """Fleiss kappa from per-item rows (by…, n, sq, cats) of items with equal rater count, where
+    ``cats`` holds the item's (category, n_ij) pairs.
 
     P_i = (Σ_j n_ij² − n)/(n(n−1)), P̄ = mean P_i, p_j = Σ_i n_ij/(N n), P_e = Σ p_j², κ = (P̄ − P_e)/(1 − P_e).
     """
-    per_item = cells.groupBy(*by, item).agg(F.sum("n_ij").alias("n"), F.sum(F.col("n_ij") * F.col("n_ij")).alias("sq"))
-    pi = per_item.select(*by, "n", F.when(F.col("n") > 1, (F.col("sq") - F.col("n"))
-                                          / (F.col("n") * (F.col("n") - 1))).alias("p_i"))
-    agree = pi.groupBy(*by).agg(F.avg("p_i").alias("p_bar"), F.count(F.lit(1)).alias("items_used"),
-                                F.max("n").alias("raters"))
-    per_cat = cells.groupBy(*by, "category").agg(F.sum("n_ij").alias("c_j"))
+    n = F.col("n")
+    pi = F.when(n > 1, (F.col("sq") - n) / (n * (n - 1)))
+    agree = items.groupBy(*by).agg(F.avg(pi).alias("p_bar"), F.count(F.lit(1)).alias("items_used"),
+                                   F.max("n").alias("raters"))
+    per_cat = (items.select(*by, F.inline("cats")).groupBy(*by, "category")
+               .agg(F.sum("n_ij").alias("c_j")))
     tot = per_cat.groupBy(*by).agg(F.sum("c_j").alias("_tot"), F.sum(F.col("c_j") * F.col("c_j")).alias("_sq"))
     pe = tot.select(*by, (F.col("_sq") / (F.col("_tot") * F.col("_tot"))).alias("p_e"))
     out = agree.join(pe, by, "inner")
@@ -67,18 +68,24 @@ def fleiss(ratings: DataFrame, by: Sequence[str] = ("feature",), exclude_annotat
     feature enter (FLT-13). ``items_total`` is every item with a row for the feature (the
     reference's ``Items``), ``items_used`` the items that entered. Features with fewer than
     ``min_items`` items give no row.
+
+    Plan: one cell aggregate (feature, item, category) with map-side partial counts, one
+    per-item aggregate carrying the item's category counts (bounded by its raters), and a
+    per-feature maximum joined back by broadcast (one row per feature).
     """
     by = list(by)
     r = exclude(ratings, exclude_annotators)
-    items_total = r.groupBy(*by).agg(F.countDistinct("item_id").alias("items_total"))
-    rated = r.where(F.col("category").isNotNull())
-    cells = rated.groupBy(*by, "item_id", "category").agg(F.count(F.lit(1)).alias("n_ij"))
-    per_item = cells.groupBy(*by, "item_id").agg(F.sum("n_ij").alias("_n"))
-    top = per_item.groupBy(*by).agg(F.max("_n").alias("_max"))
-    # `top` has one row per feature: bounded by the feature vocabulary.
-    kept = per_item.join(F.broadcast(top), by).where(F.col("_n") == F.col("_max")).select(*by, "item_id")
-    res = _fleiss(cells.join(kept, by + ["item_id"], "left_semi"), by)
-    return (res.join(items_total, by, "inner").where(F.col("items_used") >= min_items)
+    cells = r.groupBy(*by, "item_id", "category").agg(F.count(F.lit(1)).alias("n_ij"))
+    rated = F.col("category").isNotNull()
+    items = cells.groupBy(*by, "item_id").agg(
+        F.sum(F.when(rated, F.col("n_ij")).otherwise(0)).alias("n"),
+        F.sum(F.when(rated, F.col("n_ij") * F.col("n_ij")).otherwise(0)).alias("sq"),
+        F.collect_list(F.when(rated, F.struct("category", "n_ij"))).alias("cats"))
+    top = items.groupBy(*by).agg(F.max("n").alias("_max"), F.count(F.lit(1)).alias("items_total"))
+    kept = items.join(F.broadcast(top), by).where((F.col("n") == F.col("_max")) & (F.col("n") > 0))
+    res = _kappa_from_items(kept, by)
+    return (res.join(F.broadcast(top.select(*by, "items_total")), by, "inner")
+            .where(F.col("items_used") >= min_items)
             .select(*by, "kappa", kappa_band("kappa").alias("agreement"), "items_total", "items_used", "raters"))
 
 
@@ -99,10 +106,12 @@ def fleiss_overall(ratings: DataFrame, exclude_annotators: Sequence[str] = ()) -
     mode = (per.groupBy("n").agg(F.count(F.lit(1)).alias("_c"))
             .orderBy(F.desc("_c"), F.asc("n")).limit(1).select(F.col("n").alias("_mode")))
     rows = per.join(F.broadcast(mode), F.col("n") == F.col("_mode"), "left_semi")
-    cells = (rows.select(F.lit("all").alias("_g"), F.concat_ws(":", "feature", F.col("item_id").cast("string")).alias("item_id"),
-                         F.inline(F.array(F.struct(F.lit("yes").alias("category"), F.col("yes").alias("n_ij")),
-                                          F.struct(F.lit("no").alias("category"), (F.col("n") - F.col("yes")).alias("n_ij"))))))
-    res = _fleiss(cells, ["_g"])
+    items = rows.select(F.lit("all").alias("_g"), "n",
+                        (F.col("yes") * F.col("yes") + (F.col("n") - F.col("yes")) * (F.col("n") - F.col("yes"))).alias("sq"),
+                        F.array(F.struct(F.lit("yes").alias("category"), F.col("yes").alias("n_ij")),
+                                F.struct(F.lit("no").alias("category"), (F.col("n") - F.col("yes")).alias("n_ij")))
+                        .alias("cats"))
+    res = _kappa_from_items(items, ["_g"])
     return res.select("kappa", kappa_band("kappa").alias("agreement"), F.col("items_used").alias("pairs"), "raters")
 
 
@@ -135,10 +144,12 @@ def cohen_pairwise(ratings: DataFrame, annotators: Sequence[str] | None = None,
                  F.col(f"`{a}`").alias("c1"), F.col(f"`{b}`").alias("c2")) for a, b in pairs])))
     aligned = stacked.where(F.col("c1").isNotNull() & F.col("c2").isNotNull())
     keys = ["feature", "annotator_1", "annotator_2"]
-    obs = aligned.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_items"),
-                                     F.count_if(F.col("c1") == F.col("c2")).alias("agree"))
-    m1 = aligned.groupBy(*keys, F.col("c1").alias("category")).agg(F.count(F.lit(1)).alias("m1"))
-    m2 = aligned.groupBy(*keys, F.col("c2").alias("category")).agg(F.count(F.lit(1)).alias("m2"))
+    # joint table: one row per (feature, pair, category of 1, category of 2) — small.
+    joint = aligned.groupBy(*keys, "c1", "c2").agg(F.count(F.lit(1)).alias("c"))
+    obs = joint.groupBy(*keys).agg(F.sum("c").alias("n_items"),
+                                   F.sum(F.when(F.col("c1") == F.col("c2"), F.col("c")).otherwise(0)).alias("agree"))
+    m1 = joint.groupBy(*keys, F.col("c1").alias("category")).agg(F.sum("c").alias("m1"))
+    m2 = joint.groupBy(*keys, F.col("c2").alias("category")).agg(F.sum("c").alias("m2"))
     exp = m1.join(m2, keys + ["category"], "inner").groupBy(*keys).agg(
         F.sum(F.col("m1") * F.col("m2")).alias("_e"))
     # Every (feature, pair) appears, null kappa where the pair shares no items: the fixed
