@@ -89,7 +89,8 @@ def split_shares(df: DataFrame, split: str = "split", cols: Sequence[str] = ())
 
 
 def top_fraction(ranked: DataFrame, order: Sequence[Column | str], pct: float, id_col: str = "doc_id") -> DataFrame:
-    """WIN-9 mark the first round-half-even(n·pct) rows of ``order`` as ``top``."""
+    """WIN-9 mark the first round-half-even(n·pct) rows in ascending ``order`` (value
+    expressions; negate one for descending), ties by id, as ``top``."""
     o = ranked.select("*", *[(c if isinstance(c, Column) else F.col(c)).alias(f"_o{i}") for i, c in enumerate(order)])
     idx = contiguous_index(o, [f"_o{i}" for i in range(len(order))] + [id_col], "_idx")
     n = ranked.agg(F.count(F.lit(1)).alias("_n"))

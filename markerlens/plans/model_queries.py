@@ -152,7 +152,7 @@ def accumulation_test(spark, sf):
     ranked = scored.select("doc_id", V.uncertainty("prob").alias("unc"), F.col("pred").alias("_model_label"))
     results = []
     for pct in (0.05, 0.10, 0.15, 0.20):
-        top = M.top_fraction(ranked, [F.desc("unc")], pct)
+        top = M.top_fraction(ranked, [-F.col("unc")], pct)
         labelled = pool.join(top.select("doc_id", "top", "_model_label"), "doc_id") \
             .withColumn(task, F.when(F.col("top"), F.col(task)).otherwise(F.col("_model_label"))) \
             .drop("top", "_model_label")

@@ -47,11 +47,13 @@ def run(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = (reader.csv(src_dir)
               .select(F.col("text"), F.col("label").try_cast("int").alias("label"),
-                      F.col("_metadata.file_path").alias("source_file"))
-              .withColumn("_row", F.monotonically_increasing_id()))
+                      F.col("_metadata.file_path").alias("source_file")))
     counter = {"batches": 0}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # inside a micro-batch the frame is static: a multi-line CSV file is one task, so the
+        # row id follows file order and "keep first" means first in the file
+        batch = batch.withColumn("_row", F.monotonically_increasing_id())
         cleaned = clean_batch(batch, **clean_kw)
         seen = _output_keys(batch.sparkSession, out_dir)
         fresh = cleaned if seen is None else cleaned.join(seen, "clean_key", "left_anti")

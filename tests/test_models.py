@@ -29,7 +29,7 @@ def test_small_strata(spark):
 
 def test_top_fraction_half_even(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(250)], "doc_id long, s double")
-    top = M.top_fraction(df, [F.desc("s")], 0.05)
+    top = M.top_fraction(df, [-F.col("s")], 0.05)
     assert top.where("top").count() == 12  # 12.5 rounds half to even
 
 
