@@ -7,7 +7,7 @@ from markerlens.plans.registry import OPERATORS, ORACLE, QUERIES
 
 _MODULES = []
 for _name in ("marker_queries", "agreement_queries", "search_queries", "evaluate_queries",
-              "feature_queries", "model_queries"):
+              "feature_queries", "model_queries", "report_queries"):
     try:
         _MODULES.append(__import__(f"markerlens.plans.{_name}", fromlist=["_"]))
     except ModuleNotFoundError as exc:  # module not written yet

@@ -102,7 +102,7 @@ def _fit_and_score(train, evalset, task, name, c_value=1.0):
     return lr, M.score(lr, evalset.withColumn("label", F.col(task)), task, name, "label")
 
 
-@register("logreg_scores", ("ML-4", "ML-5", "ML-7", "AGG-31", "SNK-6"))
+@register("logreg_scores", ("ML-4", "ML-5", "ML-7", "AGG-31", "JN-12"))
 def logreg_scores(spark, sf):
     feats = _features(spark, sf)
     train, dev = feats.where("split = 'train'"), feats.where("split = 'dev'")
@@ -139,7 +139,7 @@ def self_training(spark, sf):
     return V.class_metrics(s, ("task", "model"))
 
 
-@register("accumulation_test", ("ML-11", "ML-12", "WIN-9", "JN-4", "FN-25"))
+@register("accumulation_test", ("ML-11", "ML-12", "WIN-9", "JN-4", "FN-25", "AGG-39", "ML-13", "SET-2"))
 def accumulation_test(spark, sf):
     """For p in 5, 10, 15, 20 %: the most uncertain pool rows keep their gold label, the rest
     take the base model's label; refit on train + pool; macro F1 on dev."""
