@@ -1,10 +1,13 @@
 """Rule-based marker extraction (MRK-1…6) and the span operators built on it (FN-15, FN-18,
 FN-30, AGG-22, AGG-23).
 
-A text is cut into pieces — ASCII letter runs, ``!`` runs, everything else — that cover it
-end to end; ``posexplode`` plus a running-sum window per document gives each piece its
-character offsets. The documents are hash-partitioned by id before the explode, so the
-window needs no second exchange. Output is the flat span shape
+Each word rule is a whole-token regular expression (lookarounds keep a match to a maximal
+ASCII letter run); only the matches are exploded, and ``split`` by the same expression gives
+the gaps, so a running sum over the matches of one document yields the character offsets.
+The documents are hash-partitioned by id first, so that window needs no second exchange.
+Very large word lists take the piece path instead: the text is cut into pieces (letter runs,
+``!`` runs, the rest) covering it end to end, each with offsets, joined to the list. Output
+is the flat span shape
 ``(doc_id, feature, text, start, end)``, which can join the annotation tables as one more
 annotator.
 """
@@ -47,15 +50,80 @@ def pieces(df: DataFrame, text: str = "text", doc: str = "doc_id",
     return ex.withColumn("start", start.cast("int")).withColumn("end", (F.col("start") + F.length("piece")).cast("int"))
 
 
+def _quote(term: str) -> str:
+    return "".join("\\" + ch if not ch.isalnum() else ch for ch in term)
+
+
+def _word_alternation(terms: Sequence[str]) -> str:
+    """A whole-letter-run match of any of ``terms`` (case-insensitive, ASCII letters)."""
+    alts = "|".join(_quote(t) for t in sorted(set(terms), key=lambda t: (-len(t), t)))
+    return f"(?<![a-zA-Z])(?i:{alts})(?![a-zA-Z])"
+
+
+# Whole-token forms of the word rules (Java regex; a token is a maximal ASCII letter run).
+CAPS_RUN = "(?<![a-zA-Z])[A-Z]{2,}(?![a-zA-Z])"
+ADJECTIVE_RUN = "(?<![a-zA-Z])[a-zA-Z]+(?i:" + "|".join(ADJECTIVE_SUFFIXES) + ")(?![a-zA-Z])"
+EXCLAMATION_RUN = "!+"
+MAX_REGEX_TERMS = 5000
+
+
+def regex_spans(df: DataFrame, pattern: str, feature: str, text: str = "text", doc: str = "doc_id",
+                partitions: int | None = None) -> DataFrame:
+    """(doc, feature, text, start, end) of every match of ``pattern``, exploding the matches only.
+
+    ``split`` by the same pattern gives the gaps between matches, so the start of match i is
+    the length of gaps 0..i plus matches 0..i−1: a running sum over the match rows of one
+    document (documents are hash-partitioned by id first, so the window adds no exchange).
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = df.select(doc, text).repartition(n, doc)
+    m = F.regexp_extract_all(F.col(text), F.lit(pattern), 0)
+    gaps = F.transform(F.split(F.col(text), pattern), lambda g: F.length(g))
+    rows = d.select(doc, F.posexplode(F.arrays_zip(m.alias("m"), gaps.alias("g"))).alias("i", "z")) \
+        .where(F.col("z.m").isNotNull())
+    w = Window.partitionBy(doc).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.sum(F.col("z.g") + F.length("z.m")).over(w)
+    return rows.select(doc, F.lit(feature).alias("feature"), F.col("z.m").alias("text"),
+                       (upto - F.length("z.m")).cast("int").alias("start"), upto.cast("int").alias("end"))
+
+
 def marker_spans(df: DataFrame, lexicon: DataFrame, text: str = "text", doc: str = "doc_id",
                  acronyms: DataFrame | None = None, profanity: DataFrame | None = None,
                  hedge_match: str = "exact") -> DataFrame:
     """MRK-1…5 spans ``(doc, feature, text, start, end)``.
 
     lexicon: (category, term) hedge terms; acronyms: (term) upper-case words that are not
-    all-caps markers; profanity: (term) words for ``unk``. Small tables are broadcast after a
-    row-count check. ``hedge_match='prefix'`` matches a term as the root (prefix) of a word.
+    all-caps markers; profanity: (term) words for ``unk``. Word lists up to
+    ``MAX_REGEX_TERMS`` terms become one whole-word pattern and only matches are exploded;
+    larger lists, and root (prefix) matching, take the piece path: every letter run with its
+    offsets, joined to the list (broadcast after a row-count check).
     """
+    terms = [r[0] for r in lexicon.select(F.lower("term")).distinct().limit(MAX_REGEX_TERMS + 1).collect()]
+    prof = [] if profanity is None else \
+        [r[0] for r in profanity.select(F.lower("term")).distinct().limit(MAX_REGEX_TERMS + 1).collect()]
+    small = len(terms) <= MAX_REGEX_TERMS and len(prof) <= MAX_REGEX_TERMS and hedge_match == "exact"
+    if not small:
+        return piece_marker_spans(df, lexicon, text, doc, acronyms, profanity, hedge_match)
+    caps = regex_spans(df, CAPS_RUN, "all_caps", text, doc)
+    if acronyms is not None:
+        caps = sized_join(caps, acronyms.select(F.col("term").alias("text")).distinct(), "text", "left_anti")
+    parts = [regex_spans(df, EXCLAMATION_RUN, "exclamation_marks", text, doc), caps.select(
+        doc, "feature", "text", "start", "end"), regex_spans(df, ADJECTIVE_RUN, "adjectives", text, doc)]
+    if terms:
+        parts.append(regex_spans(df, _word_alternation(terms), "hedging", text, doc))
+    if prof:
+        parts.append(regex_spans(df, _word_alternation(prof), "unk", text, doc))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def piece_marker_spans(df: DataFrame, lexicon: DataFrame, text: str = "text", doc: str = "doc_id",
+                       acronyms: DataFrame | None = None, profanity: DataFrame | None = None,
+                       hedge_match: str = "exact") -> DataFrame:
+    """Piece path of ``marker_spans``: every piece with offsets, word lists joined."""
     p = pieces(df, text, doc)
     word = p.where(F.col("piece").rlike("^[a-zA-Z]+$")).withColumn("_lw", F.lower("piece"))
     excl = p.where(F.col("piece").rlike("^!+$")).select(doc, F.lit("exclamation_marks").alias("feature"),
