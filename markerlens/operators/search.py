@@ -85,7 +85,8 @@ def build_postings(docs: DataFrame) -> DataFrame:
 
 
 def doc_lengths(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.size(T.search_tokens("text")).alias("doc_len"))
+    """Field length in index tokens (a match count; no token array is built)."""
+    return docs.select("doc_id", F.regexp_count(F.lower(F.col("text")), F.lit(T.SEARCH_TOKEN)).alias("doc_len"))
 
 
 def index_stats(lengths: DataFrame) -> DataFrame:
