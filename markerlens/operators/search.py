@@ -72,6 +72,14 @@ def build_documents(annotated: DataFrame, ai: DataFrame, corpus: DataFrame) -> D
     return docs.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def build_index(annotated: DataFrame, ai: DataFrame, corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """SRCH-1 + SRCH-2 built once: the document table is checkpointed to the shared checkpoint
+    folder (tags, clean-key dedup and stripping run once), and the postings derive from it.
+    Every search then reads the same materialised documents."""
+    docs = build_documents(annotated, ai, corpus).checkpoint()
+    return docs, build_postings(docs)
+
+
 def source_counts(docs: DataFrame) -> DataFrame:
     """Documents per source (the counts the index build reports)."""
     return docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))

@@ -93,7 +93,9 @@ def _features(spark, sf):
     weights = X.tfidf_transform(rows, model)
     fit = X.standardise_fit(train, FLAG_COLS)
     dense = X.standardise_apply(rows, fit, FLAG_COLS)
-    return M.sparse_features(weights, vocab_index, dense, FLAG_COLS)
+    # written once to the shared checkpoint folder: every fit and every scoring pass below
+    # reads these rows instead of re-running the feature lineage
+    return M.sparse_features(weights, vocab_index, dense, FLAG_COLS).checkpoint()
 
 
 def _fit_and_score(train, evalset, task, name, c_value=1.0):

@@ -34,8 +34,7 @@ def sources(spark, sf):
 
 
 def index(spark, sf):
-    docs = Q.build_documents(*sources(spark, sf))
-    return docs, Q.build_postings(docs)
+    return Q.build_index(*sources(spark, sf))
 
 
 def _exists(words: str, pred: str) -> str:
