@@ -81,10 +81,11 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def value_shares(df: DataFrame, col: str) -> DataFrame:
-    """AGG-4 share of each non-null value. The window runs over the aggregated table,
-    whose size is the number of distinct values of ``col`` (a category column)."""
+    """AGG-4 share of each non-null value: counts per value over a one-row total (broadcast),
+    so no window gathers the value table into one task."""
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    total = counts.agg(F.sum("n").alias("_total"))
+    return with_scalars(counts, total).select(col, "n", (F.col("n") / F.col("_total")).alias("share"))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -107,15 +108,15 @@ def describe(df: DataFrame, col: str) -> DataFrame:
     """AGG-5 count, mean, sample std, min, quartiles (linear interpolation), max.
 
     Exact quartiles without gathering the column into one task: values are counted per
-    distinct value (an integer length column has a domain bounded by the longest text), and
-    cumulative counts over that small table locate the order statistics k and k + 1.
+    distinct value (partial aggregate), a two-level prefix sum over the distinct values gives
+    cumulative counts, and those locate the order statistics k and k + 1.
     """
     x = F.col(col)
     moments = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                      F.min(x).alias("min"), F.max(x).alias("max"))
     per_value = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = per_value.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
+    # cumulative counts over the distinct values, two-level (no one-partition window)
+    cum = exclusive_prefix_sum(per_value, "v", "c", "lo").withColumn("hi", F.col("lo") + F.col("c"))
     cum = with_scalars(cum, moments.select(F.col("count").alias("_n")))
     exprs, finals = [], []
     for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
