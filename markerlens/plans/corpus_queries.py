@@ -181,7 +181,7 @@ SELECT page_id, prefix_len FROM (
 WHERE rn = 1""")
 def dedup_before_url(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", T.before_url("html").alias("_k"))
-    return C.keep_first(pages, "_k", "page_id").select("page_id", F.length("_k").alias("prefix_len"))
+    return C.keep_first(pages, "_k", "page_id").select("page_id", F.length("_k").cast("long").alias("prefix_len"))
 
 
 @register("label_conflicts", ("DED-1", "DED-4"), sql=f"""
@@ -192,7 +192,7 @@ FROM dedup GROUP BY text HAVING count(DISTINCT label) > 1""")
 def label_conflicts(spark, sf):
     dedup = corpus(spark, sf).where(F.col("label").isin(0, 1)).select("text", "label").distinct()
     lc = C.label_conflicts(dedup)
-    return lc.select(F.length("text").alias("text_len"), "n_labels", "n_rows")
+    return lc.select(F.length("text").cast("long").alias("text_len"), "n_labels", "n_rows")
 
 
 @register("first_n_per_source", ("SRC-5", "SET-1"), sql="""

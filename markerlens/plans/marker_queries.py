@@ -80,7 +80,7 @@ SELECT doc_id, n_chars,
 FROM cnt""")
 def marker_density(spark, sf):
     c = counts_df(spark, sf)
-    cols = ["doc_id", "n_chars"]
+    cols = ["doc_id", F.col("n_chars").cast("long").alias("n_chars")]
     for t in TAGS:
         cols += [f"n_{t}", F.round(f"density_{t}", 6).alias(f"density_{t}")]
     return c.select(*cols)

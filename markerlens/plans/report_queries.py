@@ -19,7 +19,7 @@ from markerlens.session import table
 @register("short_texts", ("FLT-5", "FN-6"), sql="""
 SELECT doc_id, length(text) AS text_length FROM documents WHERE length(text) < 10""")
 def short_texts(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", T.char_length("text").alias("text_length"))
+    d = table(spark, sf, "documents").select("doc_id", T.char_length("text").cast("long").alias("text_length"))
     return d.where(F.col("text_length") < 10)
 
 
@@ -35,8 +35,8 @@ SELECT conv_id, turn, role, length(t) AS n_chars,
        {", ".join(f"len(regexp_extract_all(t, '{w}')) AS n_{w.lower()}" for w in _WORDS)} FROM p""")
 def social_placeholders(spark, sf):
     c = table(spark, sf, "conversations").select("conv_id", "turn", "role", T.social_placeholders("text").alias("t"))
-    return c.select("conv_id", "turn", "role", F.length("t").alias("n_chars"),
-                    *[F.size(F.regexp_extract_all("t", F.lit(w), 0)).alias(f"n_{w.lower()}") for w in _WORDS])
+    return c.select("conv_id", "turn", "role", F.length("t").cast("long").alias("n_chars"),
+                    *[F.size(F.regexp_extract_all("t", F.lit(w), 0)).cast("long").alias(f"n_{w.lower()}") for w in _WORDS])
 
 
 @register("elongation_squeeze", ("FN-14",))
@@ -72,7 +72,7 @@ SELECT doc_id, array_to_string(list_transform(tags, lambda t: upper(t)), ',') AS
 def result_entries(spark, sf):
     docs, _ = index(spark, sf)
     return docs.select("doc_id", F.array_join(F.transform("tags", lambda t: F.upper(t)), ",").alias("tag_labels"),
-                       F.size("tags").alias("n_tags"), T.preview("text", 140).alias("preview"))
+                       F.size("tags").cast("long").alias("n_tags"), T.preview("text", 140).alias("preview"))
 
 
 @register("model_task_keys", ("FN-33",), sql="""

@@ -102,7 +102,7 @@ FROM docs""")
 def search_documents(spark, sf):
     docs, _ = index(spark, sf)
     return docs.select("doc_id", "source", "ordinal", F.array_join("tags", " ").alias("tags"),
-                       "misinformation_label", F.length("text").alias("n_chars"))
+                       "misinformation_label", F.length("text").cast("long").alias("n_chars"))
 
 
 @register("postings", ("SRCH-2",), sql=f"""
