@@ -148,7 +148,7 @@ vec AS (SELECT v.token_id, e.embedding FROM vocab v, nv JOIN embeddings e ON e.v
 dtok AS (SELECT doc_id, unnest({S.word_tokens('text')}) AS token FROM tr),
 tfc AS (SELECT doc_id, token, count(*) AS tf FROM dtok GROUP BY ALL),
 tv AS (SELECT t.doc_id, t.token, t.tf, coalesce(v.token_id, 1) AS token_id FROM tfc t LEFT JOIN vocab v ON t.token = v.token),
-comp AS (SELECT tv.doc_id, tv.token, tv.tf, unnest(range(64)) AS dim, unnest(vec.embedding) AS x
+comp AS (SELECT tv.doc_id, tv.token, tv.tf, unnest(range(64)) AS dim, unnest(CAST(vec.embedding AS DOUBLE[])) AS x
          FROM tv JOIN vec ON tv.token_id = vec.token_id)"""
 
 
