@@ -212,22 +212,26 @@ def type_token_ratio(df: DataFrame, sizes: Sequence[int] = (1000, 10000, 50000),
                      text: str = "text", order: str = "doc_id") -> DataFrame:
     """AGG-10 TTR of the first N tokens of the document stream, for each N, and of all tokens.
 
-    Global token offset = tokens in all earlier documents (two-level prefix sum over one row
-    per document) + position in the document. Sizes larger than the stream are skipped.
+    A token is a type within the first N tokens when its first occurrence has a global offset
+    below N. The first occurrence per token is a hash aggregate of a packed (doc, position)
+    key; only those first occurrences (one row per distinct token) join the per-document
+    prefix sums (two-level, one row per document) to get the global offset.
+    Sizes larger than the stream are skipped.
     """
     spark = df.sparkSession
     counts = df.select(order, F.regexp_count(F.lower(F.col(text)), F.lit(T.ALPHA_TOKEN)).alias("_n"))
     offs = exclusive_prefix_sum(counts, order, "_n", "_before")
-    toks = (df.select(order, T.alpha_tokens(text).alias("_tok")).join(offs.select(order, "_before"), order)
-            .select("_before", F.posexplode("_tok").alias("_pos", "token"))
-            .select((F.col("_before") + F.col("_pos")).alias("offset"), "token"))
+    first = (df.select(order, F.posexplode(T.alpha_tokens(text)).alias("pos", "token"))
+             .groupBy("token").agg(F.min(occurrence_key(order)).alias("_k")))
+    mask = (1 << POS_BITS) - 1
+    located = first.select("token", F.shiftright("_k", POS_BITS).alias(order), (F.col("_k").bitwiseAND(mask)).alias("_pos"))
+    typed0 = located.join(offs.select(order, "_before"), order) \
+        .select((F.col("_before") + F.col("_pos")).alias("_first"))
+    total = offs.agg(F.sum("_n").alias("_total"))
     size_tab = spark.createDataFrame([(int(n),) for n in sizes], "n long")
-    total = toks.agg(F.count(F.lit(1)).alias("_total"))
-    # first offset of each token: a token counts as a type for N when it first appears below N.
-    first = toks.groupBy("token").agg(F.min("offset").alias("_first"))
     wanted = with_scalars(size_tab, total).where(F.col("n") <= F.col("_total")).select("n")
-    sized = wanted.unionByName(total.select(F.col("_total").alias("n")))
-    typed = first.join(F.broadcast(sized), F.col("_first") < F.col("n"), "inner")
+    sized = wanted.unionByName(total.select(F.col("_total").cast("long").alias("n"))).distinct()
+    typed = typed0.join(F.broadcast(sized), F.col("_first") < F.col("n"), "inner")
     return (typed.groupBy("n").agg(F.count(F.lit(1)).alias("types"))
             .select(F.col("n").alias("num_words"), "types", (F.col("types") / F.col("n")).alias("ttr")))
 

@@ -1,19 +1,19 @@
-"""All registered queries. Importing the modules fills the registry."""
+"""All registered queries. Importing the query modules fills the registry."""
 
 from __future__ import annotations
 
-from markerlens.plans import corpus_queries  # noqa: F401
+from markerlens.plans import (  # noqa: F401  (imported for their @register side effects)
+    agreement_queries,
+    corpus_queries,
+    evaluate_queries,
+    feature_queries,
+    marker_queries,
+    model_queries,
+    report_queries,
+    search_queries,
+)
 from markerlens.plans.registry import OPERATORS, ORACLE, QUERIES
 
-_MODULES = []
-for _name in ("marker_queries", "agreement_queries", "search_queries", "evaluate_queries",
-              "feature_queries", "model_queries", "report_queries"):
-    try:
-        _MODULES.append(__import__(f"markerlens.plans.{_name}", fromlist=["_"]))
-    except ModuleNotFoundError as exc:  # module not written yet
-        if exc.name != f"markerlens.plans.{_name}":
-            raise
-
 
 def queries():
     return dict(QUERIES)
