@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from markerlens.session import ensure_checkpoint_dir
+from markerlens.session import checkpointed
 
 _PID = "_ml_pid"
 _LOCAL = "_ml_local"
@@ -22,10 +22,9 @@ _OFF = "_ml_off"
 
 def _sorted_checkpoint(df: DataFrame, order_cols: list[str], partitions: int | None) -> DataFrame:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    return ordered.withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
+    return checkpointed(ordered.withColumn(_PID, F.spark_partition_id()))
 
 
 def _partition_offsets(per_pid: DataFrame, value: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from markerlens.functions import text as T
 from markerlens.operators.markers import ADJECTIVE
 from markerlens.operators.ordering import with_scalars
+from markerlens.session import checkpointed
 
 # BM25F parameters of the search library's default scorer.
 K1 = 1.2
@@ -76,7 +77,7 @@ def build_index(annotated: DataFrame, ai: DataFrame, corpus: DataFrame) -> tuple
     """SRCH-1 + SRCH-2 built once: the document table is checkpointed to the shared checkpoint
     folder (tags, clean-key dedup and stripping run once), and the postings derive from it.
     Every search then reads the same materialised documents."""
-    docs = build_documents(annotated, ai, corpus).checkpoint()
+    docs = checkpointed(build_documents(annotated, ai, corpus))
     return docs, build_postings(docs)
 
 

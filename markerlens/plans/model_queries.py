@@ -19,7 +19,7 @@ from markerlens.plans.registry import register
 from markerlens.plans.search_queries import LEX_TERMS
 from markerlens.plans.marker_queries import ACRONYMS, PROFANITY
 from markerlens.operators import search as Q
-from markerlens.session import table
+from markerlens.session import checkpointed, table
 
 LANGS = ("en", "fr", "de", "es")
 STRATA = ("quality", "toxic") + tuple(f"lang_{x}" for x in LANGS)
@@ -86,7 +86,7 @@ def split_shares(spark, sf):
 
 def _features(spark, sf):
     """Split rows with the assembled feature vector (TF-IDF fitted on train + standardised flags)."""
-    rows = split_rows(spark, sf).checkpoint()
+    rows = checkpointed(split_rows(spark, sf))
     train = rows.where(F.col("split") == "train")
     model = X.tfidf_fit(train)
     vocab_index = contiguous_index(model.select("term"), "term", "idx")
@@ -95,7 +95,7 @@ def _features(spark, sf):
     dense = X.standardise_apply(rows, fit, FLAG_COLS)
     # written once to the shared checkpoint folder: every fit and every scoring pass below
     # reads these rows instead of re-running the feature lineage
-    return M.sparse_features(weights, vocab_index, dense, FLAG_COLS).checkpoint()
+    return checkpointed(M.sparse_features(weights, vocab_index, dense, FLAG_COLS))
 
 
 def _fit_and_score(train, evalset, task, name, c_value=1.0):

@@ -64,6 +64,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint into the shared checkpoint folder (cuts lineage; survives
+    executor loss). Never ``localCheckpoint``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
