@@ -14,7 +14,6 @@ from markerlens.operators import evaluate as V
 from markerlens.operators import features as X
 from markerlens.operators import models as M
 from markerlens.operators.ordering import contiguous_index
-from markerlens.plans import sqlbits as S
 from markerlens.plans.registry import register
 from markerlens.plans.search_queries import LEX_TERMS
 from markerlens.plans.marker_queries import ACRONYMS, PROFANITY

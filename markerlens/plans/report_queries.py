@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from markerlens.functions import text as T
-from markerlens.operators import consolidate as K
-from markerlens.operators import corpus as C
 from markerlens.plans import sqlbits as S
-from markerlens.plans.agreement_queries import ROWS_SQL, RANKING_SQL, COHEN_SQL
 from markerlens.plans.evaluate_queries import ACQ_SQL, _acquisition
 from markerlens.plans.registry import register
 from markerlens.plans.search_queries import DOCS_SQL, index
