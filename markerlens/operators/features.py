@@ -185,7 +185,9 @@ def doc_embedding(df: DataFrame, vocab: DataFrame, vecs: DataFrame, dim: int, do
         .withColumn("token_id", F.coalesce(F.col("token_id"), F.lit(OOV_ID)))
     v = sized_join(ids, vecs.select("token_id", "vector"), "token_id", "left")
     if weights is not None:
-        v = v.join(weights.select(doc, F.col("term").alias("token"), F.col("weight").alias("_w")), [doc, "token"], "left")
+        # tokens hold no blank, so n-gram terms (with blanks) can never match: drop them before the join
+        uni = weights.where(~F.col("term").contains(" "))
+        v = v.join(uni.select(doc, F.col("term").alias("token"), F.col("weight").alias("_w")), [doc, "token"], "left")
         w = F.coalesce(F.col("_w"), F.lit(DEFAULT_WEIGHT))
     else:
         w = F.lit(1.0)
