@@ -56,3 +56,25 @@ def test_marker_paths_agree(spark):
     assert ("all_caps", "WOW") in kinds and ("all_caps", "USA") not in kinds
     assert ("adjectives", "hopeless") in kinds and ("exclamation_marks", "!!") in kinds
     assert ("hedging", "MAYBE") in kinds
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+def greedy_py(spans):
+    keys = sorted({(s, e) for s, e, _ in spans})
+    last, kept, covered = -1, 0, 0
+    for s, e in keys:
+        if s >= last:
+            last, kept, covered = e, kept + 1, covered + e - s
+    return len(keys), kept, covered
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 6), st.sampled_from(["a", "b"])), min_size=1, max_size=15))
+def test_resolve_spans_matches_greedy(spark, raw):
+    spans = [(s, s + ln, tag) for s, ln, tag in raw]
+    df = spark.createDataFrame([(1, tag, "x", s, e) for s, e, tag in spans],
+                               "doc_id long, feature string, text string, start int, end int")
+    r = M.resolve_spans(df).first()
+    assert (r["n_spans"], r["n_kept"], r["covered_chars"]) == greedy_py(spans)
