@@ -30,3 +30,14 @@ def test_two_drops_equal_one_run(spark, tmpdir_path):
     # a rerun with nothing new writes nothing
     ingest.run(spark, inc_src, inc_out, inc_ck)
     assert spark.read.parquet(inc_out).count() == 3
+
+
+def test_dedup_across_micro_batches_in_one_run(spark, tmpdir_path):
+    src, out, ck = (os.path.join(tmpdir_path, x) for x in ("s2", "o2", "c2"))
+    os.makedirs(src)
+    drop(src, "a.csv", [("Same words", 0), ("only a", 1)])
+    drop(src, "b.csv", [("same   WORDS", 1), ("only b", 0)])
+    batches = ingest.run(spark, src, out, ck, max_files_per_trigger=1)
+    assert batches == 2
+    keys = sorted(r["clean_key"] for r in spark.read.parquet(out).collect())
+    assert keys == ["only a", "only b", "same words"]
