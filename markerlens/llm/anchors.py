@@ -72,8 +72,9 @@ def run_rows(rows: DataFrame, units_of, anchor: int, window: int) -> DataFrame:
 
 def repeated_runs(runs: DataFrame) -> DataFrame:
     """Runs whose anchor occurs twice or more; ``mixed`` says that the runs of the anchor differ."""
-    anchors = (runs.groupBy("anchor").agg(F.count("*").alias("times"), (F.min("content") != F.max("content")).alias("mixed"))
-               .where("times > 1").select("anchor", "mixed"))
+    # stored, so that both sides of the join are plain exchanges, which Spark splits where an anchor is frequent
+    anchors = stored(runs.groupBy("anchor").agg(F.count("*").alias("times"), (F.min("content") != F.max("content")).alias("mixed"))
+                     .where("times > 1").select("anchor", "mixed"), "anchors")
     return stored(runs.join(anchors, "anchor"), "repeated")
 
 
