@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from markerlens.llm import debruijn_dedup, jaccard_join, quality
+import corpus_pipeline
+from markerlens.llm import debruijn_dedup, decontaminate, jaccard_join, packing, quality
 from markerlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +20,16 @@ def query(fn):
     return fn
 
 
+@query
+def op2_decontaminate(spark, sf_dir):
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_best_fit_packing(spark, sf_dir):
+    return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op6_substring_dedup(spark, sf_dir):
     out = debruijn_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
@@ -32,3 +44,8 @@ def op8_jaccard_join(spark, sf_dir):
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality.quality_rules(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
