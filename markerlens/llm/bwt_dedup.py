@@ -194,13 +194,14 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     runs = run_rows(rows, lambda buf, offsets: (buf, offsets), ANCHORS[0], LENGTH)
     repeated = repeated_runs(runs)
     drop_stored(runs)
-    chosen = distinct_runs(repeated)
+    chosen = stored(distinct_runs(repeated), "chosen")
     parts = stored(with_requests(rows, chosen).mapInArrow(read_runs, PARTS), "parts")
-    # a piece is named by its content hash; pieces that occur twice as a whole repeat anyway
-    many = repeated.groupBy("anchor", "content").agg(F.count("*").alias("times"))
-    whole = repeated.join(many.where("times > 1").select("anchor", "content"), ["anchor", "content"], "left_semi")
-    islands = expanded(parts).distinct()
-    single = repeated.where("mixed").select("doc_id", "text_key", "start", F.col("content").alias("piece")).join(islands, "piece")
+    # runs that occur twice as a whole repeat anyway; stored sides, so that Spark can split a frequent run
+    mixed = repeated.where("mixed")
+    whole = repeated.where("NOT mixed").unionByName(
+        mixed.join(chosen.where("times > 1").select("anchor", "content"), ["anchor", "content"], "left_semi").select(*repeated.columns))
+    islands = stored(expanded(parts).distinct(), "islands")
+    single = mixed.select("doc_id", "text_key", "start", F.col("content").alias("piece")).join(islands, "piece")
     spans = whole.select("doc_id", "text_key", "start", "n").union(
         single.select("doc_id", "text_key", (F.col("start") + F.col("place")).alias("start"), F.col("len").alias("n")))
     return stored(spans, "spans")
