@@ -1,7 +1,8 @@
 """Best-fit packing of tokenised documents into sequences of fixed capacity.
 
 Token ids come from the tokenizer library, asked once per different word and task: the tokenizer
-drops white space and its splits never cross it, so a text's ids are its words' ids in a row. Packing
+drops white space and its splits never cross it, nor the place where an ASCII letter and a mark meet, so a
+text's ids are its words' ids in a row. Packing
 needs only how many pieces have each length, a table of at most CAPACITY rows: pieces over a third
 of the capacity are matched greedily, at most two to a sequence, and smaller ones best-fit the gaps
 that remain, the longest first. The plan (runs of equal pieces with their place) depends on the capacity
@@ -29,7 +30,28 @@ from markerlens.llm.text_arrays import row_slices, span_hashes, utf8, word_spans
 CAPACITY = 4096
 END = 1
 #: Different words that a task remembers before it starts anew, and pieces in a rank bucket, about.
-MEMORY, BUCKET_ROWS = 600_000, 50_000
+MEMORY, BUCKET_ROWS = 1_200_000, 50_000
+
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+LETTERS = np.zeros(256, bool)
+LETTERS[65:91] = LETTERS[97:123] = True
+#: ASCII marks that the tokenizer always parts from an ASCII letter; not the apostrophe, nor what special strings hold.
+MARKS = np.zeros(256, bool)
+MARKS[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = True
+
+
+def token_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, cut where an ASCII letter and a mark meet: start and end bytes, and the bounds of the texts."""
+    starts, ends, bounds = word_spans(buf, offsets)
+    if not len(starts):
+        return starts, ends, bounds
+    letter, mark = LETTERS[buf], MARKS[buf]
+    meet = np.flatnonzero((letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])) + 1
+    inner = meet[~np.isin(meet, offsets, assume_unique=False)]
+    starts, ends = np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
+    return starts, ends, np.searchsorted(starts, offsets)
 
 
 class WordIds:
@@ -64,13 +86,16 @@ class WordIds:
 
     def ids(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the bounds of the texts."""
-        starts, ends, bounds = word_spans(buf, offsets)
+        starts, ends, bounds = token_spans(buf, offsets)
+        data = buf.tobytes()
+        if b"<|" not in data:  # special strings are told by case; all else the tokenizer lowers itself
+            buf = LOWER[buf]
+            data = buf.tobytes()
         names, first, of = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
         if len(self.slot) + len(names) > MEMORY:
             self.clear()
         keys = names.tolist()
         new = [i for i, k in enumerate(keys) if k not in self.slot]
-        data = buf.tobytes()
         self.learn([keys[i] for i in new], [data[starts[j]: ends[j]].decode() for j in first[new]])
         slots = np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))[of]
         n = self.count[slots]
