@@ -33,7 +33,7 @@ STEMS, LEAST_TEXTS, LEAST_G, LEAST_ODDS = range(4, 11), 10, 40.0, 2.0
 EXCEPTION_TEXTS, EXCEPTION_SHARE = 5, 0.9
 # Letters of other scripts that look like Latin ones, and digits and signs written for letters.
 LOOK_ALIKES = dict(zip("аеорсухіѕјкмтвнгԁԛԝһαοερτυνικηωß", "aeopcyxisjkmtbhrdqwhaoeptuvikhws"))
-SUBSTITUTES = dict(zip("0134579@$!€|", "oieastgasiel"))
+SUBSTITUTES = dict(zip("0134579@$€", "oieastgase"))
 
 
 def fold_table() -> dict[int, int | None]:
