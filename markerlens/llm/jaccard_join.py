@@ -32,7 +32,7 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 CHUNK = 16
 TOLERANCE = 1e-6
-BLOCK_ROWS = 128
+BLOCK_ROWS = 512
 #: Shingles that the texts of a block hold together, about.
 BLOCK_SHINGLES = 1 << 17
 
