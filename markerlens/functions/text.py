@@ -116,8 +116,8 @@ def sentence_count(c) -> Column:
 # Each pair is (pattern, placeholder word).
 SOCIAL_RULES = (
     (r"(https?://|www\.)[^\s]+", "URL"),
-    (r"@\w+", "MENTION"),
-    (r"#\w+", "HASHTAG"),
+    (r"@[\p{L}\p{M}\p{N}_]+", "MENTION"),
+    (r"#[\p{L}\p{M}\p{N}_]+", "HASHTAG"),
     (r"(:|;|=)-?(\)|\(|D|P|p|O|o|\|)", "SMILEY"),
     (r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]", "EMOJI"),
     (r"[+-]?\d+([.,]\d+)*", "NUMBER"),
@@ -148,11 +148,11 @@ def preview(c, n: int = 120) -> Column:
 
 
 def spans_key(spans) -> Column:
-    """FN-20 canonical string of a span set: spans sorted (text, start, end), joined."""
-    s = F.array_sort(_col(spans))
-    return F.concat(F.lit("["), F.array_join(
-        F.transform(s, lambda x: F.concat_ws("|", x["text"], x["start"].cast("string"),
-                                             x["end"].cast("string"))), ";"), F.lit("]"))
+    """FN-20 canonical string of a span set: spans sorted (text, start, end), as JSON, so that no
+    text can be taken for a separator."""
+    s = F.array_sort(F.transform(_col(spans), lambda x: F.struct(x["text"].alias("text"), x["start"].alias("start"),
+                                                                 x["end"].alias("end"))))
+    return F.to_json(s)
 
 
 def present(spans) -> Column:

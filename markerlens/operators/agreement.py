@@ -60,6 +60,14 @@ def _kappa_from_items(items: DataFrame, by: list[str]) -> DataFrame:
     return out.withColumn("kappa", kappa)
 
 
+def one_rating(ratings: DataFrame) -> DataFrame:
+    """One row per (annotator, item, feature): the first by ``ord`` where there is one. Rows without an
+    item id are no ratings of one common item and are put aside."""
+    pick = F.struct("ord", "category") if "ord" in ratings.columns else F.struct("category")
+    return (ratings.where(F.col("item_id").isNotNull()).groupBy("annotator", "item_id", "feature")
+            .agg(F.min(pick)["category"].alias("category")))
+
+
 def fleiss(ratings: DataFrame, by: Sequence[str] = ("feature",), exclude_annotators: Sequence[str] = (),
            min_items: int = 2) -> DataFrame:
     """AGG-18 Fleiss kappa per feature over exact span-set categories.
@@ -74,7 +82,7 @@ def fleiss(ratings: DataFrame, by: Sequence[str] = ("feature",), exclude_annotat
     per-feature maximum joined back by broadcast (one row per feature).
     """
     by = list(by)
-    r = exclude(ratings, exclude_annotators)
+    r = one_rating(exclude(ratings, exclude_annotators)) if by == ["feature"] else exclude(ratings, exclude_annotators)
     cells = r.groupBy(*by, "item_id", "category").agg(F.count(F.lit(1)).alias("n_ij"))
     rated = F.col("category").isNotNull()
     items = cells.groupBy(*by, "item_id").agg(
@@ -96,7 +104,7 @@ def fleiss_overall(ratings: DataFrame, exclude_annotators: Sequence[str] = ()) -
     count (FLT-13); then rows whose rater count is the mode over all rows, the smallest on
     ties (FLT-14).
     """
-    r = exclude(ratings, exclude_annotators).where(F.col("category").isNotNull())
+    r = one_rating(exclude(ratings, exclude_annotators)).where(F.col("category").isNotNull())
     per = r.groupBy("feature", "item_id").agg(F.count(F.lit(1)).alias("n"),
                                               F.count_if(is_present("category")).alias("yes"))
     per = per.where(F.col("n") >= 2)
@@ -115,34 +123,30 @@ def fleiss_overall(ratings: DataFrame, exclude_annotators: Sequence[str] = ()) -
     return res.select("kappa", kappa_band("kappa").alias("agreement"), F.col("items_used").alias("pairs"), "raters")
 
 
-def annotator_list(ratings: DataFrame, max_annotators: int = 1000) -> list[str]:
-    """The annotator vocabulary (small by nature; checked)."""
-    names = [r[0] for r in ratings.select("annotator").distinct().limit(max_annotators + 1).collect()]
-    if len(names) > max_annotators:
-        raise ValueError(f"more than {max_annotators} annotators; pass the list explicitly")
-    return sorted(n for n in names if n is not None)
+def annotator_list(ratings: DataFrame) -> list[str]:
+    """The annotator vocabulary: the result has a row per pair of these names, so it is small by nature."""
+    return sorted(r[0] for r in ratings.where(F.col("annotator").isNotNull()).select("annotator").distinct().collect())
 
 
 def cohen_pairwise(ratings: DataFrame, annotators: Sequence[str] | None = None,
                    min_items: int = 2) -> DataFrame:
     """AGG-20 Cohen kappa for every annotator pair (a < b) and feature, on aligned items.
 
-    One row per (feature, item) with a column per annotator (pivot, map-side partial), then
-    the fixed list of annotator pairs is stacked, so no join and no per-item pair building
-    is needed and a hot item is pre-aggregated. Pairs with fewer than ``min_items`` aligned
-    items, or with expected agreement 1, give a null kappa.
+    Each (feature, item) gathers its own present ratings, sorted by annotator, and emits their
+    pairs: the work follows the raters that an item has, not all annotators. Pairs with fewer
+    than ``min_items`` aligned items, or with expected agreement 1, give a null kappa.
     """
     names = list(annotators) if annotators is not None else annotator_list(ratings)
-    wide = (ratings.where(F.col("category").isNotNull())
-            .groupBy("feature", "item_id").pivot("annotator", names).agg(F.first("category")))
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
     if not pairs:
         schema = "feature string, annotator_1 string, annotator_2 string, n_items long, kappa double"
         return ratings.sparkSession.createDataFrame([], schema)
-    stacked = wide.select("feature", F.inline(F.array(*[
-        F.struct(F.lit(a).alias("annotator_1"), F.lit(b).alias("annotator_2"),
-                 F.col(f"`{a}`").alias("c1"), F.col(f"`{b}`").alias("c2")) for a, b in pairs])))
-    aligned = stacked.where(F.col("c1").isNotNull() & F.col("c2").isNotNull())
+    rated = one_rating(ratings).where(F.col("category").isNotNull() & F.col("annotator").isin(*names))
+    items = rated.groupBy("feature", "item_id").agg(F.array_sort(F.collect_list(F.struct("annotator", "category"))).alias("_r"))
+    others = items.select("feature", "_r", F.posexplode("_r").alias("_i", "_a"))
+    aligned = others.select("feature", F.col("_a.annotator").alias("annotator_1"), F.col("_a.category").alias("c1"),
+                            F.explode(F.slice("_r", F.col("_i") + 2, F.size("_r"))).alias("_b")) \
+        .select("feature", "annotator_1", F.col("_b.annotator").alias("annotator_2"), "c1", F.col("_b.category").alias("c2"))
     keys = ["feature", "annotator_1", "annotator_2"]
     # joint table: one row per (feature, pair, category of 1, category of 2) — small.
     joint = aligned.groupBy(*keys, "c1", "c2").agg(F.count(F.lit(1)).alias("c"))

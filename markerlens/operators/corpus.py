@@ -57,18 +57,15 @@ def keep_first(df: DataFrame, key: Column | str | Sequence, order: str | Sequenc
 
 
 def first_n_per_group(df: DataFrame, group: str, order: str, quotas: DataFrame,
-                      quota_col: str = "quota", max_quota: int | None = None) -> DataFrame:
+                      quota_col: str = "quota") -> DataFrame:
     """SRC-5 first ``quota`` rows per group in ``order``; groups without a quota are dropped.
 
-    With ``max_quota`` the literal bound ``row_number <= max_quota`` lets Spark insert a
-    map-side window group limit before the shuffle, so a hot group ships at most
-    ``max_quota`` rows per map partition. The quota table joins by key; the engine
-    broadcasts it when its measured size is under the broadcast threshold.
+    The largest quota, read from the table, bounds the row number, which lets Spark limit the groups
+    before the shuffle: a hot group ships at most that many rows per map partition.
     """
     w = Window.partitionBy(group).orderBy(order)
-    ranked = df.withColumn("_rn", F.row_number().over(w))
-    if max_quota is not None:
-        ranked = ranked.where(F.col("_rn") <= max_quota)
+    most = quotas.agg(F.max(quota_col)).first()[0] or 0
+    ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most)
     return (ranked.join(quotas, group, "inner")
             .where(F.col("_rn") <= F.col(quota_col)).drop("_rn", quota_col))
 
@@ -137,7 +134,7 @@ def length_histogram(df: DataFrame, col: str = "n_chars", bins: int = 100) -> Da
     Bin = (bins * (x - min)) div (max - min) + 1 in integer arithmetic, folded into ``bins``.
     """
     bounds = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    x = with_scalars(df.select(col), bounds)
+    x = with_scalars(df.where(F.col(col).isNotNull()).select(col), bounds)
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(1)).otherwise(
         F.least(F.lit(bins).cast("long"), F.expr(f"({bins} * ({col} - _lo)) div (_hi - _lo)") + 1))
     counted = x.groupBy(b.alias("bin"), "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
@@ -181,14 +178,9 @@ def stats(df: DataFrame, text: str = "text", group_cols: Sequence[str] = ()) ->
                       ratio("tokens", "articles").alias("avg_article_len"))
 
 
-# A text holds fewer than 2**24 tokens, so (order, pos) packs into one long for integral order
-# columns below 2**39; a long key keeps the first-occurrence minimum in the hash aggregate
-# (a struct buffer would fall back to a sort-based aggregate).
-POS_BITS = 24
-
-
 def occurrence_key(order: str, pos: str = "pos") -> Column:
-    return F.shiftleft(F.col(order).cast("long"), POS_BITS) + F.col(pos)
+    """(order, pos) of a token: comparable for ids of any type and size and texts of any length."""
+    return F.struct(F.col(order).alias("order"), F.col(pos).alias("pos"))
 
 
 def token_stream(df: DataFrame, text: str = "text", order: str = "doc_id",
@@ -213,8 +205,7 @@ def type_token_ratio(df: DataFrame, sizes: Sequence[int] = (1000, 10000, 50000),
     """AGG-10 TTR of the first N tokens of the document stream, for each N, and of all tokens.
 
     A token is a type within the first N tokens when its first occurrence has a global offset
-    below N. The first occurrence per token is a hash aggregate of a packed (doc, position)
-    key; only those first occurrences (one row per distinct token) join the per-document
+    below N. The first occurrence per token is the least (doc, position); only those first occurrences (one row per distinct token) join the per-document
     prefix sums (two-level, one row per document) to get the global offset.
     Sizes larger than the stream are skipped.
     """
@@ -223,8 +214,7 @@ def type_token_ratio(df: DataFrame, sizes: Sequence[int] = (1000, 10000, 50000),
     offs = exclusive_prefix_sum(counts, order, "_n", "_before")
     first = (df.select(order, F.posexplode(T.alpha_tokens(text)).alias("pos", "token"))
              .groupBy("token").agg(F.min(occurrence_key(order)).alias("_k")))
-    mask = (1 << POS_BITS) - 1
-    located = first.select("token", F.shiftright("_k", POS_BITS).alias(order), (F.col("_k").bitwiseAND(mask)).alias("_pos"))
+    located = first.select("token", F.col("_k.order").alias(order), F.col("_k.pos").alias("_pos"))
     typed0 = located.join(offs.select(order, "_before"), order) \
         .select((F.col("_before") + F.col("_pos")).alias("_first"))
     total = offs.agg(F.sum("_n").alias("_total"))

@@ -50,7 +50,8 @@ def vocabulary(df: DataFrame, order: str = "doc_id", text: str = "text",
         toks = F.slice(toks, 1, max_len)
     firsts = (df.select(order, F.posexplode(toks).alias("pos", "token"))
               .groupBy("token").agg(F.min(occurrence_key(order)).alias("_first")))
-    numbered = contiguous_index(firsts, "_first", "_idx")
+    firsts = firsts.select("token", F.col("_first.order").alias("_o"), F.col("_first.pos").alias("_p"))
+    numbered = contiguous_index(firsts, ["_o", "_p"], "_idx")
     spark = df.sparkSession
     reserved = spark.createDataFrame([(PAD, PAD_ID), (OOV, OOV_ID)], "token string, token_id long")
     return reserved.unionByName(numbered.select("token", (F.col("_idx") + 2).alias("token_id")))

@@ -53,6 +53,13 @@ def stratum_quotas(strata_counts: DataFrame, keys: Sequence[str],
     return q.withColumn("upper", F.sum("quota").over(w_cum)).select(*keys, "split", "split_order", "quota", "upper")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` in which null equals null (a null label is a stratum like any other)."""
+    other = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    return left.join(other, on, "inner").drop(*[f"__r_{k}" for k in keys])
+
+
 def stratified_split(df: DataFrame, strata: Sequence[str], id_col: str = "doc_id",
                      splits: Sequence[tuple[str, int]] = SPLITS, seed: int = SPLIT_SEED,
                      order_key: Column | None = None) -> DataFrame:
@@ -64,18 +71,20 @@ def stratified_split(df: DataFrame, strata: Sequence[str], id_col: str = "doc_id
     base = df.withColumn("_ok", key)
     idx = contiguous_index(base.select(id_col, *keys, "_ok"), keys + ["_ok", id_col], "_gidx")
     counts = idx.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_gidx").alias("_start"))
-    pos = idx.join(F.broadcast(counts.select(*keys, "_start")), keys, "inner") \
+    pos = null_safe_join(idx, counts.select(*keys, "_start"), keys) \
         .select(id_col, (F.col("_gidx") - F.col("_start")).alias("_pos"), *keys)
     quotas = stratum_quotas(counts.select(*keys, "n"), keys, splits)
     # quotas: strata × splits rows (strata are few: a product of binary label columns)
-    assigned = pos.join(F.broadcast(quotas), keys, "inner").where(F.col("_pos") < F.col("upper")) \
+    assigned = null_safe_join(pos, quotas, keys).where(F.col("_pos") < F.col("upper")) \
         .groupBy(id_col).agg(F.min(F.struct("split_order", "split")).alias("_s"))
     return df.join(assigned.select(id_col, F.col("_s.split").alias("split")), id_col, "left")
 
 
 def fold_ids(df: DataFrame, strata: Sequence[str], id_col: str = "doc_id", k: int = 5,
              seed: int = MODEL_SEED) -> DataFrame:
-    """Stratified fold id 0..k−1 (the split operator with k equal parts)."""
+    """Stratified fold id 0..k−1 (the split operator with k equal parts, 100 at most)."""
+    if not 1 <= k <= 100:
+        raise ValueError("k must be between 1 and 100: parts are whole percents")
     base = 100 // k
     parts = [(str(i), base + (1 if i < 100 - base * k else 0)) for i in range(k)]
     out = stratified_split(df, strata, id_col, parts, seed)

@@ -205,4 +205,4 @@ def first_n_per_source(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source")
     quotas = docs.select("source").distinct().select(
         "source", F.when(F.substring("source", 4, 10).cast("int") % 2 == 0, 2).otherwise(8).alias("quota"))
-    return C.first_n_per_group(docs, "source", "doc_id", quotas, max_quota=8).select("doc_id", "source")
+    return C.first_n_per_group(docs, "source", "doc_id", quotas).select("doc_id", "source")

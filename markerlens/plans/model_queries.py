@@ -27,7 +27,7 @@ FLAG_COLS = tuple(f"{t}_bin" for t in T.TAGS) + ("text_length",)
 
 def _order_key():
     # portable seeded order: integer arithmetic that the SQL oracle repeats exactly
-    return F.pmod(F.col("doc_id") * 7919 + M.SPLIT_SEED * 104729, F.lit(1000003))
+    return F.pmod(F.pmod(F.col("doc_id"), F.lit(1000003)) * 7919 + M.SPLIT_SEED * 104729, F.lit(1000003))
 
 
 def modelling_rows(spark, sf):

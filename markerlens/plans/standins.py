@@ -106,7 +106,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     models = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(f).alias("family"),
                                 F.lit(a).alias("_a"), F.lit(b).alias("_b")) for m, f, a, b in MODELS])
     long = (rows.select("doc_id", "_len", F.inline(tasks)).select("*", F.inline(models)))
-    raw = ((F.col("doc_id") * F.col("_a") + F.col("_len") * F.col("_b") * F.col("_t")
+    raw = ((F.pmod(F.col("doc_id"), F.lit(129)) * F.col("_a") + F.col("_len") * F.col("_b") * F.col("_t")
             + F.col("label") * 38) % 129)
     # dyadic steps (k / 128): sums of probabilities are exact, whatever the addition order.
     prob = (F.least(raw, F.lit(128)).cast("double") / 128.0)

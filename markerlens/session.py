@@ -47,7 +47,8 @@ def build_session(master: str | None = None, app: str = "markerlens",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a private scratch folder set.
+    Only a local session without one gets a private scratch folder; on a cluster the executors
+    would not share it, so there a missing setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -58,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="markerlens-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

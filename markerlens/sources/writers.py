@@ -44,5 +44,6 @@ def save_model_and_predictions(model, predictions: DataFrame, root: str, key: st
     """SNK-6 fitted model under a file-safe key, predictions partitioned by model and task."""
     target = f"{root.rstrip('/')}/models/{safe_key(key)}"
     model.write().overwrite().save(target)
-    predictions.write.mode("append").partitionBy("model", "task").parquet(f"{root.rstrip('/')}/predictions")
+    # a rerun replaces the partitions that it writes and no others
+    predictions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "task").parquet(f"{root.rstrip('/')}/predictions")
     return target

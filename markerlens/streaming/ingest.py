@@ -20,10 +20,12 @@ from markerlens.functions import text as T
 
 
 def _output_keys(spark: SparkSession, out_dir: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(out_dir).select("clean_key").distinct()
-    except Exception:  # first batch: nothing written yet
+    """Keys written so far; None only if the folder isn't there yet (a failing read stays an error)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path) or not any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(path)):
         return None
+    return spark.read.parquet(out_dir).select("clean_key").distinct()
 
 
 def clean_batch(batch: DataFrame, max_chars: int = 560, labels: Sequence[int] = (0, 1),
