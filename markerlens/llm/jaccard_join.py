@@ -146,7 +146,8 @@ def block_pairs(rows: DataFrame, key: str, weight: str | None, least: int = BLOC
     n = F.ceil(F.col("rows_in_key") / least)
     if weight:
         n = F.greatest(n, F.ceil(F.col("load") / BLOCK_SHINGLES))
-    sizes = sizes.where("rows_in_key > 1").select(key, n.cast("int").alias("blocks"))
+    # stored, so that both sides of the join are plain exchanges, which Spark splits at a frequent key
+    sizes = stored(sizes.where("rows_in_key > 1").select(key, n.cast("int").alias("blocks")), "sizes")
     dealt = rows.join(sizes, key).withColumn("blk", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     return (dealt.select("*", other)
