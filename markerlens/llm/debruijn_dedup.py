@@ -82,13 +82,13 @@ def compacted(segments: DataFrame) -> DataFrame:
     tiles = F.lag(F.col("start") + F.col("n")).over(order) == F.col("start")
     rows = stored(rows.withColumn("before", F.when(tiles, F.lag("path").over(order))), "links")
     links = rows.where("before IS NOT NULL")
-    follows = (links.groupBy(F.col("before").alias("x")).agg((F.min("path") == F.max("path")).alias("one"))
-               .where("one").select("x"))
-    leads = (links.groupBy(F.col("path").alias("y")).agg((F.min("before") == F.max("before")).alias("one"))
-             .where("one").select("y", F.lit(True).alias("only")))
-    straight = (links.join(follows, F.col("before") == F.col("x"), "left_semi")
-                .join(leads, F.col("path") == F.col("y"), "left_semi")
-                .select("before", "path").distinct().withColumn("joined", F.lit(1)))
+    # links without a branch, from one row per different link; stored, so that the join with all
+    # occurrences has plain exchanges, which Spark splits at a frequent path
+    kinds = stored(links.select("before", "path").distinct(), "kinds")
+    follows = kinds.groupBy(F.col("before").alias("x")).count().where(F.col("count") == 1).select("x")
+    leads = kinds.groupBy(F.col("path").alias("y")).count().where(F.col("count") == 1).select("y")
+    straight = stored(kinds.join(follows, F.col("before") == F.col("x"), "left_semi")
+                      .join(leads, F.col("path") == F.col("y"), "left_semi").withColumn("joined", F.lit(1)), "straight")
     marked = rows.join(straight, ["before", "path"], "left")
     turn = F.sum(F.when(F.col("joined").isNull(), 1).otherwise(0)).over(order)
     return (marked.withColumn("no", turn).groupBy("doc_id", "text_key", "no")
