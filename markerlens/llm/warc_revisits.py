@@ -62,7 +62,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     full = (rows.where("kind = 'response'").dropDuplicates(["record_id"])
             .select(F.col("record_id").alias("response_id"), F.col("etag").alias("r_etag"),
                     F.col("last_modified").alias("r_modified"), F.col("headers").alias("r_headers")))
-    joined = (revisits.join(found, ["record_id", "ts"], "left").join(full, "response_id", "left"))
+    # found first, so that the unresolved do not meet under one null key
+    joined = revisits.join(found.join(full, "response_id"), ["record_id", "ts"], "left")
     weak = lambda c: F.regexp_replace(F.trim(c), "^W/", "")
     agrees = F.when(F.col("etag").isNotNull(), F.coalesce(weak(F.col("etag")) == weak(F.col("r_etag")), F.lit(False))) \
         .otherwise(F.coalesce(F.col("last_modified") == F.col("r_modified"), F.lit(False)))
