@@ -74,3 +74,13 @@ def test_histogram_folds_max(spark):
     df = spark.createDataFrame([(x,) for x in [0, 50, 100]], "n_chars long")
     got = {r["bin"]: r["n"] for r in C.length_histogram(df, "n_chars", 100).collect()}
     assert got == {1: 1, 51: 1, 100: 1}
+
+
+def test_first_occurrences_with_large_and_text_ids(spark):
+    texts = ["beta alpha beta", "gamma alpha", "delta"]
+    small = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for ids in ([i + (1 << 60) for i in range(3)], ["a", "b", "c"]):
+        df = spark.createDataFrame(list(zip(ids, texts)), f"doc_id {'long' if isinstance(ids[0], int) else 'string'}, text string")
+        for f in (lambda d: C.top_words(d, 10, stopwords=None), lambda d: C.type_token_ratio(d, sizes=(2, 4)),
+                  lambda d: C.top_bigrams(d, 10, stopwords=None)):
+            assert [tuple(r) for r in f(df).collect()] == [tuple(r) for r in f(small).collect()]
