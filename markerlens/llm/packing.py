@@ -65,13 +65,15 @@ class WordIds:
         self.clear()
 
     def clear(self):
-        self.slot, self.flat, self.used = {}, np.zeros(1 << 16, np.uint32), 0
+        self.names, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted by name
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.first, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def learn(self, names: list[int], words: list[str]) -> None:
-        base = len(self.slot)
-        self.slot.update(zip(names, range(base, base + len(names))))
-        while len(self.slot) > len(self.first):
+    def learn(self, names: np.ndarray, words: list[str]) -> None:
+        base, at = len(self.names), np.searchsorted(self.names, names)
+        self.names = np.insert(self.names, at, names)
+        self.slots = np.insert(self.slots, at, np.arange(base, base + len(names)))
+        while len(self.names) > len(self.first):
             self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
         for lo in range(0, len(words), 4096):
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(words[lo: lo + 4096], add_special_tokens=False)]
@@ -92,12 +94,11 @@ class WordIds:
             buf = LOWER[buf]
             data = buf.tobytes()
         names, first, of = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        if len(self.slot) + len(names) > MEMORY:
+        if len(self.names) + len(names) > MEMORY:
             self.clear()
-        keys = names.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.slot]
-        self.learn([keys[i] for i in new], [data[starts[j]: ends[j]].decode() for j in first[new]])
-        slots = np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))[of]
+        new = np.flatnonzero(~np.isin(names, self.names, assume_unique=True))
+        self.learn(names[new], [data[starts[j]: ends[j]].decode() for j in first[new]])
+        slots = self.slots[np.searchsorted(self.names, names)][of]
         n = self.count[slots]
         stop = np.cumsum(n)
         where = np.repeat(self.first[slots] - (stop - n), n) + np.arange(int(stop[-1]) if len(stop) else 0)

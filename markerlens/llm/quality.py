@@ -64,7 +64,7 @@ def gram_keys(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """For each byte, the key of the 4-gram that it ends; texts start after spaces."""
     s = TABLE[buf].astype(np.int32)
     key = s.copy()
-    place = np.arange(len(s)) - np.repeat(offsets[:-1], np.diff(offsets)) if len(s) else key
+    place = np.arange(len(s), dtype=np.int32) - np.repeat(offsets[:-1].astype(np.int32), np.diff(offsets)) if len(s) else key
     for back in range(1, ORDER):
         before = np.full(len(s), 26, np.int32)
         before[back:] = s[:-back] if back < len(s) else s[:0]
@@ -128,7 +128,7 @@ def language_models(docs: DataFrame) -> tuple[list[str], dict[str, Model]]:
             for part in row_slices(batch, "text"):
                 buf, offsets = utf8(part.column("text"))
                 keys, langs = gram_keys(buf, offsets), part.column("lang").to_pylist()
-                own = np.array([named.index(x) if x in named else len(named) for x in langs], np.int64)
+                own = np.array([named.index(x) if x in named else len(named) for x in langs], np.int8)
                 of = np.repeat(own, np.diff(offsets))
                 for k in np.unique(own):
                     name = named[k] if k < len(named) else SHARED
@@ -259,7 +259,7 @@ def fit(docs: DataFrame) -> tuple[Scorer, Bands]:
 
     def score(batches):
         for batch in batches:
-            for part in row_slices(batch, "text"):
+            for part in row_slices(batch, "text", 1 << 20):
                 buf, offsets = utf8(part.column("text"))
                 langs = part.column("lang").to_pylist()
                 some = np.diff(offsets) > 0
@@ -298,7 +298,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in row_slices(batch, "text"):
+            for part in row_slices(batch, "text", 1 << 20):
                 out = judged(part, scorer, bands)
                 names = [x.split()[0] for x in COLUMNS.split(", ")][1:]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id")] + [pa.array(out[n]) for n in names], names=["doc_id", *names])
@@ -313,7 +313,7 @@ def keep_clean(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in row_slices(batch, "text"):
+            for part in row_slices(batch, "text", 1 << 20):
                 yield part.filter(pa.array(judged(part, scorer, bands)["kept"]))
 
     return docs.mapInArrow(run, docs.schema)

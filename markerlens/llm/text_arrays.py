@@ -15,23 +15,24 @@ import pyarrow.compute as pc
 BLOCK = 1 << 19
 U64 = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
-_POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i modulo 2^64 for i <= n (bases are odd, hence invertible)."""
+    """base^i and base^-i modulo 2^64 for i <= n at least (bases are odd, hence invertible).
+
+    A worker keeps one table a base, the longest one asked for up to 4 blocks."""
+    if base in _POWERS and n < len(_POWERS[base][0]):
+        return _POWERS[base]
     size = 1 << max(10, int(n).bit_length())
-    if (base, size) not in _POWERS:
-        inverse = pow(base, -1, 1 << 64)
-        made = []
-        for b in (base, inverse):
-            p = np.full(size, b, U64)
-            p[0] = 1
-            made.append(np.multiply.accumulate(p))
-        if size <= 4 * BLOCK:
-            _POWERS[base, size] = made[0], made[1]
-        return made[0], made[1]
-    return _POWERS[base, size]
+    made = []
+    for b in (base, pow(base, -1, 1 << 64)):
+        p = np.full(size, b, U64)
+        p[0] = 1
+        made.append(np.multiply.accumulate(p))
+    if size <= 4 * BLOCK:
+        _POWERS[base] = made[0], made[1]
+    return made[0], made[1]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -60,8 +61,9 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def row_slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
-    """Cut a batch into runs of rows of about ``most`` text bytes (one row at least)."""
+def row_slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20):
+    """Cut a batch into runs of rows of about ``most`` text bytes (one row at least). After the batch
+    the worker gives Arrow's free memory back, since workers are kept for later stages."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     run, first = 0, 0
     for i, n in enumerate(sizes.tolist()):
@@ -71,6 +73,7 @@ def row_slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
         run += n
     if batch.num_rows > first:
         yield batch.slice(first)
+    pa.default_memory_pool().release_unused()
 
 
 def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
