@@ -97,7 +97,8 @@ def marker_spans(df: DataFrame, lexicon: DataFrame, text: str = "text", doc: str
     all-caps markers; profanity: (term) words for ``unk``. Word lists up to
     ``MAX_REGEX_TERMS`` terms become one whole-word pattern and only matches are exploded;
     larger lists, and root (prefix) matching, take the piece path: every letter run with its
-    offsets, joined to the list (broadcast after a row-count check).
+    offsets, joined to the list (broadcast after a row-count check). That path refuses terms that
+    are not one letter run.
     """
     terms = [r[0] for r in lexicon.select(F.lower("term")).distinct().limit(MAX_REGEX_TERMS + 1).collect()]
     prof = [] if profanity is None else \
@@ -123,7 +124,14 @@ def marker_spans(df: DataFrame, lexicon: DataFrame, text: str = "text", doc: str
 def piece_marker_spans(df: DataFrame, lexicon: DataFrame, text: str = "text", doc: str = "doc_id",
                        acronyms: DataFrame | None = None, profanity: DataFrame | None = None,
                        hedge_match: str = "exact") -> DataFrame:
-    """Piece path of ``marker_spans``: every piece with offsets, word lists joined."""
+    """Piece path of ``marker_spans``: every piece with offsets, word lists joined.
+
+    A piece is one letter run, so a term of several words, with a hyphen or an apostrophe can't be
+    found here; a list that holds one is refused rather than matched in part."""
+    lists = lexicon.select("term") if profanity is None else lexicon.select("term").unionByName(profanity.select("term"))
+    odd = lists.where(~F.col("term").rlike("^[a-zA-Z]+$")).first()
+    if odd is not None:
+        raise ValueError(f"term {odd[0]!r} is not one run of letters: such lists hold at most {MAX_REGEX_TERMS} terms, exact match")
     p = pieces(df, text, doc)
     word = p.where(F.col("piece").rlike("^[a-zA-Z]+$")).withColumn("_lw", F.lower("piece"))
     excl = p.where(F.col("piece").rlike("^!+$")).select(doc, F.lit("exclamation_marks").alias("feature"),

@@ -58,6 +58,15 @@ def test_marker_paths_agree(spark):
     assert ("hedging", "MAYBE") in kinds
 
 
+def test_terms_of_several_words_are_never_lost(spark):
+    docs = spark.createDataFrame([(1, "I guess it is sort of fine, maybe.")], "doc_id long, text string")
+    lex = spark.createDataFrame([("h", "I guess"), ("h", "sort of"), ("h", "maybe")], "category string, term string")
+    found = {r["text"] for r in M.marker_spans(docs, lex).where("feature = 'hedging'").collect()}
+    assert found == {"I guess", "sort of", "maybe"}
+    with pytest.raises(ValueError, match="one run of letters"):
+        M.marker_spans(docs, lex, hedge_match="prefix")
+
+
 from hypothesis import given, settings, strategies as st  # noqa: E402
 
 
