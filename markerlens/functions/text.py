@@ -7,6 +7,8 @@ no ``\\b``, no ``(?U)``; Unicode classes are spelled with ``\\p{..}``.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,11 +27,19 @@ SEARCH_TOKEN = WORD + r"+(\." + "?" + WORD + "+)*"
 SENTENCE_END = "[.!?]+"
 # The tag vocabulary, in display order.
 TAGS = ("all_caps", "exclamation_marks", "hedging", "adjectives", "unk")
-# Accented Latin letters and their base letters (lowercase input),
-# the letters of the French, German and Spanish texts; equal to Unicode NFD
-# decomposition with the combining marks removed for these letters.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-UNACCENTED = "aaaaaaceeeeiiiinooooouuuuyy"
+def _accent_table() -> tuple[str, str]:
+    """Letters whose Unicode NFD form is one base letter and combining marks, their base letters, and
+    last the combining marks themselves: ``translate`` drops what has no counterpart."""
+    pairs = []
+    for code in range(0xC0, 0x2000):
+        base, *marks = unicodedata.normalize("NFD", chr(code))
+        if marks and base.isalpha() and all(unicodedata.combining(m) for m in marks):
+            pairs.append((chr(code), base))
+    marks = "".join(map(chr, range(0x300, 0x370)))
+    return "".join(c for c, _ in pairs) + marks, "".join(b for _, b in pairs)
+
+
+ACCENTED, UNACCENTED = _accent_table()
 
 
 def _col(c) -> Column:
@@ -138,7 +148,7 @@ def squeeze_elongation(c) -> Column:
 
 
 def fold_accents(c) -> Column:
-    """FN-32 accent folding over the Latin letters of the corpus (lowercase input)."""
+    """FN-32 accent folding: letters to their base letters, combining marks dropped. Ligatures stay."""
     return F.translate(_col(c), ACCENTED, UNACCENTED)
 
 

@@ -55,6 +55,7 @@ def test_elongation_and_placeholders(spark):
 
 def test_fold_accents_and_sentences(spark):
     assert one(spark, T.fold_accents("s"), "éàçñü") == "eacnu"
+    assert one(spark, T.fold_accents("s"), "čašću ńandú e\u0301t\u00e9 łódź") == "cascu nandu ete łodz"
     assert one(spark, T.sentence_count("s"), "One. Two! Three? ...") == 3
     assert one(spark, T.sentence_count("s"), "no end") == 1
 
