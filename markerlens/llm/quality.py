@@ -1,11 +1,13 @@
 """Quality rules with n-gram perplexity bands.
 
-A modified Kneser-Ney model over symbol 4-grams is counted by Spark for each language: bytes are
-folded to 32 symbols, so a language has at most 2^20 4-grams whatever the corpus size, and the
-model that goes to the tasks has a proven bound (languages with 1 % of the rows or more, hence at
-most 100, have their own; all other rows share one). The model is kept as sorted key arrays and is
-looked up by binary search. The distribution of bits per symbol of all documents of a language gives its
-bands; a document outside its language's band is rejected, as is one that fails the base rules.
+A modified Kneser-Ney model over 4-grams of code points (lower case; ASCII digits, white space and marks
+are a symbol each) is counted by Spark for each language, with as many rows as the corpus has different
+4-grams. Three code points are one exact 63-bit key, so no two grams are taken for one. Orders are joined
+by Spark; each gram is scored without one occurrence of its own, so that a text can't vouch for itself.
+Texts are dealt into blocks of about BLOCK_BYTES, and a block asks for each of its different grams once.
+The distribution of bits per letter of all documents of a language gives its bands; a document outside
+its language's band is rejected, as is one that fails the base rules. (Languages with 1 % of the rows or
+more have their own model; all other rows share one.)
 
 Defined cases: null or empty text has no words and fails the base rule; null language belongs to
 the shared model; repeated rows are judged alike; an empty table gives an empty result; extra
@@ -18,14 +20,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from markerlens.llm.common import drop_stored, stored
 from markerlens.llm.text_arrays import (mix, owners, row_slices, segment_sums, span_hashes, utf8,
                                         window_hashes, word_spans)
 
 ORDER = 4
-BITS = 5
+#: Bits of a code point; of a symbol in the small dense model.
+POINT, BITS = 21, 5
+BLOCK_BYTES = 4 << 20
+#: Below the order 1: as many symbols as there are assigned characters, about.
+UNIFORM = 1 / (1 << 17)
 SHARED = "\x00rest"
 #: The model of all rows; a language's model is mixed with it, so that a passage in another language isn't junk.
 EVERY = "\x00every"
@@ -43,34 +50,94 @@ SYMBOLS = b"#*$%&|<>"
 
 
 def symbol_table() -> np.ndarray:
-    """Byte to symbol: letters 0-25, white space 26, digits 27, sentence marks 28, UTF-8 heads 29 and
-    tails 31, all other ASCII 30."""
-    t = np.full(256, 30, np.uint8)
-    for i in range(26):
-        t[65 + i] = t[97 + i] = i
-    t[[32, 9, 10, 11, 12, 13]] = 26
-    t[48:58] = 27
-    t[list(b".,;:!?'()-\"")] = 28
-    t[0xC0:], t[0x80:0xC0] = 29, 31
+    """Code point to symbol, itself a code point: lower case; one for white space, for digits, for sentence
+    marks and for all other ASCII. Code points behind the table, which have no case, stand for themselves."""
+    t = np.arange(0x1F000, dtype=np.int32)
+    t[:128] = ord("#")
+    t[[32, 9, 10, 11, 12, 13]] = ord(" ")
+    t[48:58] = ord("0")
+    t[list(b".,;:!?'()-\"")] = ord(".")
+    for c in [*range(65, 91), *range(97, 123), *range(128, len(t))]:
+        low = chr(c).lower()
+        t[c] = ord(low) if len(low) == 1 else c
     return t
 
 
-TABLE = symbol_table()
-#: Bytes that count as length: all but ASCII marks and UTF-8 tails, so that marks add bits but no length.
-LETTER = (TABLE != 28) & (TABLE != 30) & (TABLE != 31)
+_TABLE: list[np.ndarray] = []
 
 
-def gram_keys(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each byte, the key of the 4-gram that it ends; texts start after spaces."""
-    s = TABLE[buf].astype(np.int32)
-    key = s.copy()
-    place = np.arange(len(s), dtype=np.int32) - np.repeat(offsets[:-1].astype(np.int32), np.diff(offsets)) if len(s) else key
-    for back in range(1, ORDER):
-        before = np.full(len(s), 26, np.int32)
-        before[back:] = s[:-back] if back < len(s) else s[:0]
-        before[place < back] = 26
-        key |= before << (BITS * back)
-    return key
+def symbols_of(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbol of each code point of the texts, and the bounds of the texts in code points."""
+    if not _TABLE:
+        _TABLE.append(symbol_table())
+    table = _TABLE[0]
+    lead = (buf & 0xC0) != 0x80
+    heads = np.zeros(len(buf) + 1, np.int64)
+    np.cumsum(lead, out=heads[1:])
+    if heads[-1] == len(buf) and (not len(buf) or buf.max() < 128):
+        return table[buf], heads[offsets]
+    at = np.flatnonzero(lead)
+    first = buf[at].astype(np.int32)
+    size = 1 + (first >= 0xC0) + (first >= 0xE0) + (first >= 0xF0)
+    point = np.where(first < 0x80, first, first & (0x7F >> size))
+    for k in (1, 2, 3):
+        more = np.flatnonzero(size > k)
+        point[more] = point[more] << 6 | (buf[np.minimum(at[more] + k, len(buf) - 1)] & 0x3F)
+    small = point < len(table)
+    point[small] = table[point[small]]
+    return point, heads[offsets]
+
+
+def gram_keys(symbols: np.ndarray, bounds: np.ndarray, model: np.ndarray):
+    """A key for the model and 4-gram at each symbol, equal for equal ones, and the function that gives
+    (model, context of three symbols, last symbol) for keys. Texts start after spaces."""
+    seen = np.bincount(symbols, minlength=33)
+    seen[32] += 1
+    names = np.flatnonzero(seen)
+    dense = np.zeros(len(seen), np.uint64)
+    dense[names] = np.arange(len(names))
+    s, space = dense[symbols], dense[32]
+    place = np.arange(len(s)) - np.repeat(bounds[:-1], np.diff(bounds))
+    back = []
+    for k in range(1, ORDER):
+        before = np.full(len(s), space, np.uint64)
+        before[k:] = s[:-k] if k < len(s) else s[:0]
+        before[place < k] = space
+        back.append(before)
+    n = np.uint64(len(names))
+    key = (model.astype(np.uint64) * n + back[2]) * n + back[1]
+    far = None
+    if (int(model.max(initial=0)) + 1) * len(names) ** ORDER >= 1 << 63:
+        far, key = np.unique(key, return_inverse=True)
+        key = key.astype(np.uint64)
+    key = (key * n + back[0]) * n + s
+
+    def parts(keys):
+        rest, out = keys, []
+        for _ in range(2):
+            out.append(names[(rest % n).astype(np.int64)])
+            rest = rest // n
+        rest = far[rest.astype(np.int64)] if far is not None else rest
+        for _ in range(2):
+            out.append(names[(rest % n).astype(np.int64)])
+            rest = rest // n
+        context = out[3] << (2 * POINT) | out[2] << POINT | out[1]
+        return rest.astype(np.int64), context, out[0].astype(np.int32)
+
+    return key, parts
+
+
+def grams_of(texts, models):
+    """For text and model columns: bytes, offsets, symbols and their bounds, key of each symbol, different keys
+    in order, their counts, and the columns model, ctx, w of the different keys."""
+    buf, offsets = utf8(texts)
+    symbols, bounds = symbols_of(buf, offsets)
+    names, of = np.unique(np.array(models.to_pylist(), object), return_inverse=True) if len(models) else (np.zeros(0, object), np.zeros(0, np.int64))
+    keys, parts = gram_keys(symbols, bounds, np.repeat(of, np.diff(bounds)))
+    different, counts = np.unique(keys, return_counts=True)
+    model, context, last = parts(different)
+    columns = [pa.array(names, pa.string()).take(pa.array(model)), pa.array(context), pa.array(last)]
+    return buf, offsets, symbols, bounds, keys, different, counts, columns
 
 
 # -- model -------------------------------------------------------------------------------------
@@ -78,7 +145,8 @@ def gram_keys(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Sorted keys and counts by order: raw counts for the highest, continuation counts below."""
+    """The same estimate over 32 symbols in one table, to hold the joined orders against: sorted keys and
+    counts by order, raw counts for the highest, continuation counts below."""
 
     keys: dict[int, np.ndarray]
     counts: dict[int, np.ndarray]
@@ -116,76 +184,65 @@ class Model:
         return p
 
 
-def language_models(docs: DataFrame) -> tuple[list[str], dict[str, Model]]:
-    """Languages with their own model, and the models; every row of ``docs`` is counted."""
-    least = MIN_SHARE * docs.count()
-    shares = docs.groupBy("lang").count()
-    named = sorted(r[0] for r in shares.where((F.col("count") >= least) & F.col("lang").isNotNull()).collect())
+def orders(grams: DataFrame) -> DataFrame:
+    """(model, ctx, w, p, q): p(w | ctx) of each 4-gram (model, ctx, w, c), and q, the same when one occurrence
+    is taken away. A row joins as many others as there are symbols at most."""
+    counts = [grams]
+    for order in range(ORDER - 1, 0, -1):
+        shorter = F.col("ctx").bitwiseAND(F.lit((1 << (POINT * (order - 1))) - 1))
+        counts.append(counts[-1].groupBy("model", shorter.alias("ctx"), "w").agg(F.count("*").alias("c")))
+    lower = None
+    for order, table in zip(range(1, ORDER + 1), reversed(counts)):
+        of = table.groupBy("model").agg(*[F.count(F.when(F.col("c") == k, 1)).alias(f"k{k}") for k in range(1, 5)])
+        y = F.when(F.col("k1") + F.col("k2") > 0, F.col("k1") / (F.col("k1") + 2 * F.col("k2"))).otherwise(0.5)
+        bound = lambda k: F.least(F.greatest(k - (k + 1) * y * F.col(f"k{k + 1}") / F.col(f"k{k}"), F.lit(0.1)), F.lit(k - 0.1))
+        of = of.select("model", *[F.when(F.col(f"k{k}") > 0, bound(k)).otherwise(0.5).alias(f"d{k}") for k in (1, 2, 3)])
+        same = Window.partitionBy("model", "ctx")
+        classes = [F.col("c") == 1, F.col("c") == 2, F.col("c") >= 3]
+        rows = table.select("*", F.sum("c").over(same).alias("total"),
+                            *[F.sum(x.cast("long")).over(same).alias(f"n{k}") for k, x in enumerate(classes, 1)])
+        rows = rows.join(F.broadcast(of), "model")
+        if lower is None:
+            rows = rows.select("*", F.lit(UNIFORM).alias("lp"), F.lit(UNIFORM).alias("lq"))
+        else:
+            rows = rows.withColumn("low", F.col("ctx").bitwiseAND(F.lit((1 << (POINT * (order - 2))) - 1)))
+            rows = rows.join(lower.select("model", F.col("ctx").alias("low"), "w", F.col("p").alias("lp"), F.col("q").alias("lq")), ["model", "low", "w"])
+        n = [F.col(f"n{k}") for k in (1, 2, 3)]
+        less = [n[0] - (F.col("c") == 1).cast("long") + (F.col("c") == 2).cast("long"),
+                n[1] - (F.col("c") == 2).cast("long") + (F.col("c") == 3).cast("long"), n[2] - (F.col("c") == 3).cast("long")]
+        lower = rows.select("model", "ctx", "w",
+                            estimate(F.col("c"), F.col("total"), n, F.col("lp")).alias("p"),
+                            estimate(F.col("c") - 1, F.col("total") - 1, less, F.when(F.col("c") == 1, F.col("lq")).otherwise(F.col("lp"))).alias("q"))
+    return lower
+
+
+def estimate(c: Column, total: Column, n: list[Column], lower: Column) -> Column:
+    """Interpolated probability from a count, its context's total and numbers of counts 1, 2, 3 and more."""
+    d = [F.col(f"d{k}") for k in (1, 2, 3)]
+    cut = F.when(c <= 0, 0.0).when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2])
+    held = d[0] * n[0] + d[1] * n[1] + d[2] * n[2]
+    return F.when(total > 0, F.greatest(c - cut, F.lit(0.0)) / total + held / total * lower).otherwise(lower)
+
+
+def gram_bits(rows: DataFrame) -> DataFrame:
+    """(model, ctx, w, bits) of every different 4-gram of ``rows`` (model, text)."""
 
     def count(batches):
-        seen: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in row_slices(batch, "text"):
-                buf, offsets = utf8(part.column("text"))
-                keys, langs = gram_keys(buf, offsets), part.column("lang").to_pylist()
-                own = np.array([named.index(x) if x in named else len(named) for x in langs], np.int8)
-                of = np.repeat(own, np.diff(offsets))
-                for k in np.unique(own):
-                    name = named[k] if k < len(named) else SHARED
-                    add = np.bincount(keys[of == k], minlength=1 << (BITS * ORDER))
-                    seen[name] = seen[name] + add if name in seen else add
-        for name, c in seen.items():
-            keys = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys.astype(np.int32)),
-                                              pa.array(c[keys].astype(np.int64))], names=["model", "key", "c"])
-
-    top = (docs.select("lang", F.coalesce("text", F.lit("")).alias("text"))
-           .mapInArrow(count, "model string, key int, c long").groupBy("model", "key").agg(F.sum("c").alias("c")))
-    table = top.toArrow()  # at most 2^20 rows a model
-    names = table.column("model").to_numpy(zero_copy_only=False)
-    keys, counts = (table.column(x).to_numpy().astype(np.int64) for x in ("key", "c"))
-    models = {}
-    for name in {*names.tolist(), EVERY}:
-        mine = (names == name) | (name == EVERY)
-        of = np.bincount(keys[mine], counts[mine], 1 << (BITS * ORDER))
-        found = np.flatnonzero(of)
-        m = Model({ORDER: found}, {ORDER: of[found].astype(np.int64)})
-        for order in range(ORDER - 1, 0, -1):
-            m.keys[order], m.counts[order] = np.unique(m.keys[order + 1] & ((1 << (BITS * order)) - 1), return_counts=True)
-        models[name] = m
-    return named, models
-
-
-_BITS: dict[tuple[str, str], np.ndarray] = {}
-
-
-class Scorer:
-    """Bits per letter of texts under their language's model; tables are made once per worker."""
-
-    def __init__(self, spark, named: list[str], models: dict[str, Model]):
-        import uuid
-
-        self.id, self.named = uuid.uuid4().hex, set(named)
-        self.models = spark.sparkContext.broadcast(models)
-
-    def model_of(self, lang) -> str:
-        return lang if lang in self.named else SHARED
-
-    def bits(self, buf, offsets, langs) -> np.ndarray:
-        keys, out = gram_keys(buf, offsets), np.zeros(len(langs))
-        each = np.zeros(len(keys), np.float32)
-        names = np.array([self.model_of(x) for x in langs], object)
-        of = owners(offsets)
-        for name in set(names.tolist()):
-            if (self.id, name) not in _BITS:
-                for old in [k for k in _BITS if k[0] != self.id]:
-                    del _BITS[old]
-                own, every = (self.models.value[x].probabilities() for x in (name, EVERY))
-                _BITS[self.id, name] = -np.log2(OWN_WEIGHT * own + (1 - OWN_WEIGHT) * every).astype(np.float32)
-            at = (names == name)[of]
-            each[at] = _BITS[self.id, name][keys[at]]
-        letters = segment_sums((LETTER[buf]).astype(np.int64), offsets)
-        return segment_sums(each.astype(np.float64), offsets) / np.maximum(letters, 1)
+            for part in row_slices(batch, "text", BLOCK_BYTES):
+                *_, counts, columns = grams_of(part.column("text"), part.column("model"))
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(counts)], names=["model", "ctx", "w", "c"])
+
+    found = rows.mapInArrow(count, "model string, ctx long, w int, c long").groupBy("model", "ctx", "w").agg(F.sum("c").alias("c"))
+    grams = stored(found, "grams")
+    both = grams.union(grams.groupBy(F.lit(EVERY).alias("model"), "ctx", "w").agg(F.sum("c").alias("c")))
+    p = orders(both).select("model", "ctx", "w", "q")
+    every = p.where(F.col("model") == EVERY).select("ctx", "w", F.col("q").alias("every"))
+    mixed = p.where(F.col("model") != EVERY).join(every, ["ctx", "w"])
+    bits = -F.log2(OWN_WEIGHT * F.col("q") + (1 - OWN_WEIGHT) * F.col("every"))
+    out = stored(mixed.select("model", "ctx", "w", bits.alias("bits")), "bits")
+    drop_stored(grams)
+    return out
 
 
 # -- rules -------------------------------------------------------------------------------------
@@ -242,78 +299,74 @@ def measures(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
             "n_repeat_words": repeated_words(values, bounds)}
 
 
-@dataclass
-class Bands:
-    """Median bits per symbol and its allowed deviation, for each model."""
-
-    by_model: dict[str, tuple[float, float, float]]
-
-    def inside(self, model: str, bits: float, n: int) -> bool:
-        low, mid, high = self.by_model.get(model, (-np.inf, 0.0, np.inf))
-        return low <= (bits * n + mid * PRIOR_SYMBOLS) / (n + PRIOR_SYMBOLS) <= high
-
-
-def fit(docs: DataFrame) -> tuple[Scorer, Bands]:
-    """Models and bands from all rows of ``docs`` (lang, text)."""
-    scorer = Scorer(docs.sparkSession, *language_models(docs))
-
-    def score(batches):
-        for batch in batches:
-            for part in row_slices(batch, "text", 1 << 20):
-                buf, offsets = utf8(part.column("text"))
-                langs = part.column("lang").to_pylist()
-                some = np.diff(offsets) > 0
-                models = pa.array([scorer.model_of(x) for x in langs], pa.string())
-                out = pa.RecordBatch.from_arrays([models, pa.array(scorer.bits(buf, offsets, langs))], names=["model", "bits"])
-                yield out.filter(pa.array(some))
-
-    rows = docs.select("lang", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(score, "model string, bits double")
-    bands = {}
-    for r in rows.groupBy("model").agg(F.percentile_approx("bits", [0.25, 0.5, 0.75], 10000).alias("q")).collect():
-        low, mid, high = r["q"]
-        wide = BAND_WIDTH * max((high - low) / 1.349, LEAST_DEVIATION)
-        bands[r["model"]] = (mid - wide, mid, mid + wide)
-    return scorer, Bands(bands)
-
-
-def judged(part: pa.RecordBatch, scorer: Scorer, bands: Bands) -> dict[str, np.ndarray]:
-    buf, offsets = utf8(part.column("text"))
-    langs = part.column("lang").to_pylist()
-    out = measures(buf, offsets)
-    bits, n = scorer.bits(buf, offsets, langs), np.diff(offsets)
-    out["base_failed"] = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > MAX_REPEAT_PERCENT * out["n_words"])
-    banded = np.array([bands.inside(scorer.model_of(x), b, m) for x, b, m in zip(langs, bits, n.tolist())], bool)
-    out["kept"] = ~out["base_failed"] & banded
-    out["perplexity"] = np.exp2(bits)
-    return out
-
-
-COLUMNS = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-           "base_failed boolean, kept boolean, perplexity double")
+def model_column(docs: DataFrame) -> Column:
+    """The model that a row belongs to."""
+    least = MIN_SHARE * docs.count()
+    shares = docs.groupBy("lang").count()
+    named = [r[0] for r in shares.where((F.col("count") >= least) & F.col("lang").isNotNull()).collect()]
+    return F.when(F.col("lang").isin(named), F.col("lang")).otherwise(SHARED) if named else F.lit(SHARED)
+
+
+MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, perplexity double"
+NAMES = [x.split()[0] for x in MEASURES.split(", ")]
+
+
+def scored(docs: DataFrame, columns: list[Column]) -> DataFrame:
+    """``columns`` of each row as c0, c1, ..., with MEASURES, base_failed and kept; stored."""
+    text = F.coalesce("text", F.lit(""))
+    own = [c.alias(f"c{i}") for i, c in enumerate(columns)]
+    carried = [f"c{i}" for i in range(len(own))]
+    rows = docs.select(*own, model_column(docs).alias("model"), text.alias("text"), F.xxhash64("doc_id", "text").alias("spread"))
+    bits = gram_bits(rows.select("model", "text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    parts = max(blocks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.withColumn("blk", F.pmod("spread", F.lit(blocks))).repartition(parts, "blk")
+
+    def ask(table: pa.Table) -> pa.Table:
+        *_, counts, columns = grams_of(table.column("text"), table.column("model"))
+        n = len(counts)
+        return pa.table([pa.array(np.full(n, table.column("blk")[0].as_py(), np.int64)), pa.array(np.arange(n, dtype=np.int32)), *columns],
+                        names=["blk", "at", "model", "ctx", "w"])
+
+    def answer(table: pa.Table, known: pa.Table) -> pa.Table:
+        buf, offsets, symbols, bounds, keys, different, _, _ = grams_of(table.column("text"), table.column("model"))
+        value = np.empty(len(different))
+        value[known.column("at").to_numpy()] = known.column("bits").to_numpy()
+        out = measures(buf, offsets)
+        # marks add bits but no length
+        letters = segment_sums(((symbols != ord(".")) & (symbols != ord("#"))).astype(np.int64), bounds)
+        per = segment_sums(value[np.searchsorted(different, keys)], bounds) / np.maximum(letters, 1)
+        out["perplexity"] = np.exp2(per)
+        return pa.table({**{x: table.column(x) for x in carried}, "model": table.column("model"), "bits": per,
+                         "n": np.diff(bounds), **{x: out[x] for x in NAMES}})
+
+    kinds = ", ".join(f"c{i} {kind}" for i, (_, kind) in enumerate(docs.select(*own).dtypes))
+    asked = dealt.groupBy("blk").applyInArrow(ask, "blk long, at int, model string, ctx long, w int")
+    answers = asked.join(bits, ["model", "ctx", "w"]).select("blk", "at", "bits")
+    out = stored(dealt.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(answer, f"{kinds}, model string, bits double, n long, {MEASURES}"), "scored")
+    drop_stored(bits)
+    return verdicts(out)
+
+
+def verdicts(rows: DataFrame) -> DataFrame:
+    """``rows`` with base_failed and kept: base rules, and the band of each model."""
+    q = F.percentile_approx("bits", [0.25, 0.5, 0.75], 10000)
+    bands = rows.where("n > 0").groupBy("model").agg(q.alias("q"))
+    wide = BAND_WIDTH * F.greatest((F.col("q")[2] - F.col("q")[0]) / 1.349, F.lit(LEAST_DEVIATION))
+    bands = bands.select("model", F.col("q")[1].alias("mid"), wide.alias("wide"))
+    off = F.abs(F.col("bits") - F.col("mid")) * F.col("n") / (F.col("n") + PRIOR_SYMBOLS)
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    return (rows.join(F.broadcast(bands), "model", "left").withColumn("base_failed", failed)
+            .withColumn("kept", ~failed & F.coalesce(off <= F.col("wide"), F.lit(True))))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, lang) with the base counts and the verdict."""
-    scorer, bands = fit(docs)
-
-    def run(batches):
-        for batch in batches:
-            for part in row_slices(batch, "text", 1 << 20):
-                out = judged(part, scorer, bands)
-                names = [x.split()[0] for x in COLUMNS.split(", ")][1:]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id")] + [pa.array(out[n]) for n in names], names=["doc_id", *names])
-
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.coalesce("text", F.lit("")).alias("text"))
-    return cols.mapInArrow(run, COLUMNS)
+    return scored(docs, [F.col("doc_id").cast("long")]).select(F.col("c0").alias("doc_id"), *NAMES[:-1], "base_failed", "kept", "perplexity")
 
 
 def keep_clean(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns; no shuffle."""
-    scorer, bands = fit(docs)
-
-    def run(batches):
-        for batch in batches:
-            for part in row_slices(batch, "text", 1 << 20):
-                yield part.filter(pa.array(judged(part, scorer, bands)["kept"]))
-
-    return docs.mapInArrow(run, docs.schema)
+    """The rows of ``docs`` that pass, with all their columns."""
+    out = scored(docs, [F.col(f"`{c}`") for c in docs.columns]).where("kept")
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -81,6 +81,46 @@ def test_quality_model_sums_to_one():
     assert np.allclose(m.probabilities().reshape(-1, 32).sum(1), 1)
 
 
+def prose(r, letters, n_texts, shortest=150, n_words=400):
+    """Texts of invented words of the given letters, common words first."""
+    vocab = ["".join(r.choice(letters) for _ in range(r.randint(2, 9))) for _ in range(n_words)]
+    weights = [1 / (k + 1) for k in range(n_words)]
+    return [" ".join(r.choices(vocab, weights, k=r.randint(shortest, 2 * shortest))) for _ in range(n_texts)]
+
+
+CYRILLIC, GREEK = "абвгдежзийклмнопрстуфхцчшщыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"
+
+
+def test_quality_band_sees_random_letters_of_other_scripts(spark):
+    r = random.Random(8)
+    clean = prose(r, CYRILLIC, 120)
+    junk = ["".join(c if c == " " else r.choice(CYRILLIC) for c in t) for t in clean[:4]]  # the same word lengths
+    rows = [(i, t, "ru") for i, t in enumerate(clean + junk)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {x["doc_id"] for x in quality.quality_rules(df).where("kept").collect()}
+    assert not kept & set(range(120, 124)) and len(kept) >= 115
+    assert {x["doc_id"] for x in quality.keep_clean(df).collect()} == kept
+
+
+def test_quality_orders_against_the_dense_model(spark):
+    r = random.Random(9)
+    text = " ".join(prose(r, "abcdefgh", 6, 40, 30))
+    known = {c: k for k, c in enumerate(" abcdefgh")}
+    s = [0, 0, 0] + [known[c] for c in text]
+    c = Counter(tuple(s[i:i + 4]) for i in range(len(s) - 3))
+    pack = lambda g: sum(x << (5 * k) for k, x in enumerate(reversed(g)))
+    keys = sorted(c, key=pack)
+    m = quality.Model({4: np.array([pack(g) for g in keys])}, {4: np.array([c[g] for g in keys])})
+    for order in (3, 2, 1):
+        m.keys[order], m.counts[order] = np.unique(m.keys[order + 1] & ((1 << (5 * order)) - 1), return_counts=True)
+    dense = m.probabilities()
+    point = {k: ord(ch) for ch, k in known.items()}
+    table = [("x", point[a] << 42 | point[b] << 21 | point[d], point[w], n) for (a, b, d, w), n in c.items()]
+    got = {(x["ctx"], x["w"]): x["p"] for x in quality.orders(spark.createDataFrame(table, "model string, ctx long, w int, c long")).collect()}
+    for (a, b, d, w), _ in c.items():  # only the share below order 1 differs: 1/32 there, 1/2^17 here
+        assert abs(got[point[a] << 42 | point[b] << 21 | point[d], point[w]] - dense[pack((a, b, d, w))]) < 2e-3
+
+
 def reached(a, links):
     reach, todo = {a}, [a]
     while todo:
