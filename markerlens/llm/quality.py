@@ -6,11 +6,11 @@ are a symbol each) is counted by Spark for each language, with as many rows as t
 by Spark; each gram is scored without one occurrence of its own, so that a text can't vouch for itself.
 Texts are dealt into blocks of about BLOCK_BYTES, and a block asks for each of its different grams once.
 The distribution of bits per letter of all documents of a language gives its bands; a document outside
-its language's band is rejected, as is one that fails the base rules. (Languages with 1 % of the rows or
-more have their own model; all other rows share one.)
+its language's band is rejected, as is one that fails the base rules. Every language has its own model and
+band, whatever its share; a small one leans on the model and the deviations of all rows by its counts.
 
-Defined cases: null or empty text has no words and fails the base rule; null language belongs to
-the shared model; repeated rows are judged alike; an empty table gives an empty result; extra
+Defined cases: null or empty text has no words and fails the base rule; null language is a
+language of its own; repeated rows are judged alike; an empty table gives an empty result; extra
 columns are ignored (``keep_clean`` passes them through).
 """
 
@@ -33,11 +33,14 @@ POINT, BITS = 21, 5
 BLOCK_BYTES = 4 << 20
 #: Below the order 1: as many symbols as there are assigned characters, about.
 UNIFORM = 1 / (1 << 17)
-SHARED = "\x00rest"
+NO_LANGUAGE = "\x00none"
 #: The model of all rows; a language's model is mixed with it, so that a passage in another language isn't junk.
 EVERY = "\x00every"
+#: A language of n symbols has the weight OWN_WEIGHT * n / (n + PRIOR_TEXT) in the mixture.
 OWN_WEIGHT = 0.5
-MIN_SHARE = 0.01
+PRIOR_TEXT = 20_000
+#: As many documents does the common deviation count for in that of a language.
+PRIOR_DOCS = 30
 #: Half width of a band in robust standard deviations, and the least such deviation in bits.
 BAND_WIDTH = 4.5
 LEAST_DEVIATION = 0.05
@@ -238,8 +241,10 @@ def gram_bits(rows: DataFrame) -> DataFrame:
     both = grams.union(grams.groupBy(F.lit(EVERY).alias("model"), "ctx", "w").agg(F.sum("c").alias("c")))
     p = orders(both).select("model", "ctx", "w", "q")
     every = p.where(F.col("model") == EVERY).select("ctx", "w", F.col("q").alias("every"))
-    mixed = p.where(F.col("model") != EVERY).join(every, ["ctx", "w"])
-    bits = -F.log2(OWN_WEIGHT * F.col("q") + (1 - OWN_WEIGHT) * F.col("every"))
+    own = grams.groupBy("model").agg(F.sum("c").alias("size"))
+    mixed = p.where(F.col("model") != EVERY).join(every, ["ctx", "w"]).join(F.broadcast(own), "model")
+    weight = OWN_WEIGHT * F.col("size") / (F.col("size") + PRIOR_TEXT)
+    bits = -F.log2(weight * F.col("q") + (1 - weight) * F.col("every"))
     out = stored(mixed.select("model", "ctx", "w", bits.alias("bits")), "bits")
     drop_stored(grams)
     return out
@@ -299,14 +304,6 @@ def measures(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
             "n_repeat_words": repeated_words(values, bounds)}
 
 
-def model_column(docs: DataFrame) -> Column:
-    """The model that a row belongs to."""
-    least = MIN_SHARE * docs.count()
-    shares = docs.groupBy("lang").count()
-    named = [r[0] for r in shares.where((F.col("count") >= least) & F.col("lang").isNotNull()).collect()]
-    return F.when(F.col("lang").isin(named), F.col("lang")).otherwise(SHARED) if named else F.lit(SHARED)
-
-
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, perplexity double"
 NAMES = [x.split()[0] for x in MEASURES.split(", ")]
 
@@ -316,7 +313,7 @@ def scored(docs: DataFrame, columns: list[Column]) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     own = [c.alias(f"c{i}") for i, c in enumerate(columns)]
     carried = [f"c{i}" for i in range(len(own))]
-    rows = docs.select(*own, model_column(docs).alias("model"), text.alias("text"), F.xxhash64("doc_id", "text").alias("spread"))
+    rows = docs.select(*own, F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("model"), text.alias("text"), F.xxhash64("doc_id", "text").alias("spread"))
     bits = gram_bits(rows.select("model", "text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
@@ -350,11 +347,18 @@ def scored(docs: DataFrame, columns: list[Column]) -> DataFrame:
 
 
 def verdicts(rows: DataFrame) -> DataFrame:
-    """``rows`` with base_failed and kept: base rules, and the band of each model."""
-    q = F.percentile_approx("bits", [0.25, 0.5, 0.75], 10000)
-    bands = rows.where("n > 0").groupBy("model").agg(q.alias("q"))
-    wide = BAND_WIDTH * F.greatest((F.col("q")[2] - F.col("q")[0]) / 1.349, F.lit(LEAST_DEVIATION))
-    bands = bands.select("model", F.col("q")[1].alias("mid"), wide.alias("wide"))
+    """``rows`` with base_failed and kept: base rules, and the band of each language.
+
+    A band lies about the median of its language. Its deviation is drawn towards the common one, that of
+    all documents about their own languages' medians, by the number of documents."""
+    some = rows.where("n > 0")
+    q = lambda x: F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
+    spread = lambda x: (x[2] - x[0]) / 1.349
+    bands = some.groupBy("model").agg(q("bits").alias("q"), F.count("*").alias("docs")).select("model", "docs", F.col("q")[1].alias("mid"), spread(F.col("q")).alias("dev"))
+    common = some.join(F.broadcast(bands), "model").agg(spread(q(F.col("bits") - F.col("mid"))).alias("common"))
+    drawn = (F.col("docs") * F.col("dev") + PRIOR_DOCS * F.col("common")) / (F.col("docs") + PRIOR_DOCS)
+    wide = BAND_WIDTH * F.greatest(drawn, F.lit(LEAST_DEVIATION))
+    bands = bands.crossJoin(F.broadcast(common)).select("model", "mid", wide.alias("wide"))
     off = F.abs(F.col("bits") - F.col("mid")) * F.col("n") / (F.col("n") + PRIOR_SYMBOLS)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return (rows.join(F.broadcast(bands), "model", "left").withColumn("base_failed", failed)

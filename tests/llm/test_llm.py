@@ -102,6 +102,19 @@ def test_quality_band_sees_random_letters_of_other_scripts(spark):
     assert {x["doc_id"] for x in quality.keep_clean(df).collect()} == kept
 
 
+def test_quality_bands_of_small_languages(spark):
+    r = random.Random(10)
+    texts = {"en": prose(r, "abcdefghiklmnoprstuvwyz", 6000, 12), "ru": prose(r, CYRILLIC, 50, 150, 30), "el": prose(r, GREEK, 10)}
+    spoilt = lambda lang, letters: [(lang, "".join(c if c == " " else r.choice(letters) for c in t)) for t in texts[lang][:3]]
+    made = [(lang, t) for lang, ts in texts.items() for t in ts] + spoilt("ru", CYRILLIC) + spoilt("el", GREEK)
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(made)], "doc_id long, text string, lang string")
+    clean = range(6000, 6060)  # 0.8 and 0.2 % of the rows
+    kept = {x["doc_id"] for x in quality.quality_rules(df).where("kept").collect()}
+    assert not kept & set(range(6060, 6066)) and len(kept & set(clean)) >= 58
+    alone = {x["doc_id"] for x in quality.quality_rules(df.where("lang != 'el'")).where("kept").collect()}
+    assert alone & set(range(6000, 6050)) == kept & set(range(6000, 6050))
+
+
 def test_quality_orders_against_the_dense_model(spark):
     r = random.Random(9)
     text = " ".join(prose(r, "abcdefgh", 6, 40, 30))
