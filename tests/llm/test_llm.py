@@ -310,6 +310,20 @@ def test_decontamination_paraphrase_and_awkward_rows(spark, docs, rows):
     assert kept.columns == docs.columns and kept.count() == len(rows) - 1
 
 
+def test_decontamination_without_a_sample(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SAMPLE_WORDS", 0)  # as with few long texts, none of which the hash picks
+    bench = spark.createDataFrame([(1, " ".join(words(rows[16][1])[5:40]))], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()} == {(16, 1)}
+    assert decontaminate.keep_uncontaminated(docs, bench).count() == len(rows) - 1
+
+
+def test_decontamination_of_items_without_a_vector():
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    space = decontaminate.Space(np.ones(decontaminate.TERMS), np.zeros((decontaminate.TERMS, decontaminate.RANK), np.float32))
+    found = decontaminate.Searcher(space, [decontaminate.item_of(7, text)]).search(*utf8(pa.array(["a b c", "so " + text + " so"])))
+    assert found == [(1, 7, 12, 12, True)]
+
+
 def test_lattice_scores(docs, rows):
     low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
     parsed = [(i, i is None or zlib.crc32(str(i).encode()) % 10 == 0, words(low(t))) for i, t, _ in rows]
