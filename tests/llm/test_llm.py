@@ -324,6 +324,47 @@ def test_decontamination_of_items_without_a_vector():
     assert found == [(1, 7, 12, 12, True)]
 
 
+def test_decontamination_of_short_items(spark, docs, rows):
+    bench = spark.createDataFrame([(1, " ".join(words(rows[17][1])[20:25])), (2, "words that stand nowhere"), (3, "?!")], "item_id long, text string")
+    fold = lambda t: " " + " ".join(re.sub(r"[!-/:-@\[-`{-~]", " ", t or "").lower().split()) + " "
+    item = fold(" ".join(words(rows[17][1])[20:25]))
+    got = {(r["doc_id"], r["item_id"], r["common_words"], r["item_words"]) for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == {(i, 1, 5, 5) for i, t, _ in rows if item in fold(t)} and (17, 1, 5, 5) in got
+
+
+def common(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for k, y in enumerate(b):
+            new.append(row[k] + 1 if x == y else max(row[k + 1], new[-1]))
+        row = new
+    return row[-1]
+
+
+def test_decontamination_paraphrases_against_all_windows():
+    """Without the cosine cut (no vectors), all windows with a common subsequence of 3/4 are found, also where rare words changed."""
+    r = random.Random(12)
+    frequent, rare = [f"w{k}" for k in range(40)], iter(f"rare{k}" for k in range(10_000))
+    idf = np.full(decontaminate.TERMS, 9.0)
+    hashes, _ = decontaminate.folded_words(*utf8(pa.array([" ".join(frequent)])))
+    idf[decontaminate.terms_of(hashes)] = 1.0
+    space = decontaminate.Space(idf, np.zeros((decontaminate.TERMS, decontaminate.RANK), np.float32))
+    items, texts = [], []
+    for _ in range(12):
+        own = r.choices(frequent, k=18)
+        places = sorted(r.sample(range(24), 6))
+        fill = lambda: [next(rare) if k in places else own[k - sum(p < k for p in places)] for k in range(24)]
+        items.append(fill())
+        texts.append([next(rare) for _ in range(r.randint(5, 30))] + fill() + [next(rare) for _ in range(20)])
+    width = 8 * -(-(24 + 7) // 8)
+    want = {(d, i) for d, t in enumerate(texts) for i, it in enumerate(items)
+            if max(common(it, t[s: s + width]) for s in range(0, len(t), 8)) >= 18}
+    found = decontaminate.Searcher(space, [decontaminate.item_of(i, " ".join(it)) for i, it in enumerate(items)]).search(*utf8(pa.array([" ".join(t) for t in texts])))
+    assert len(want) >= 12 and {(d, i) for d, i, c, *_ in found if c >= 18} == want
+
+
 def test_lattice_scores(docs, rows):
     low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
     parsed = [(i, i is None or zlib.crc32(str(i).encode()) % 10 == 0, words(low(t))) for i, t, _ in rows]
