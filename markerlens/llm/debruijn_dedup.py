@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from markerlens.llm.anchors import covered, distinct_runs, repeated_runs, run_rows, with_requests, with_spans
 from markerlens.llm.common import drop_stored, stored, text_rows
-from markerlens.llm.text_arrays import span_hashes, window_hashes, word_spans
+from markerlens.llm.text_arrays import window_hashes, word_hashes, word_spans
 
 K = 35
 ANCHOR = 16
@@ -32,7 +32,7 @@ ANCHOR = 16
 
 def word_units(buf, offsets):
     starts, ends, bounds = word_spans(buf, offsets)
-    return span_hashes(buf, starts, ends), bounds
+    return word_hashes(buf, starts, ends), bounds
 
 
 def opened(batches):

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from markerlens.llm.common import drop_stored, stored, text_rows
-from markerlens.llm.text_arrays import (BASES, mix, owners, row_slices, segment_sums, span_hashes, utf8,
-                                        window_hashes, word_spans)
+from markerlens.llm.text_arrays import (BASES, mix, owners, row_slices, segment_sums, utf8,
+                                       window_hashes, word_hashes, word_spans)
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -57,7 +57,7 @@ def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) ->
 def shingle_sets(buf, offsets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shingle hashes of all texts (with repeats), their bounds, and a hash of each word sequence."""
     starts, ends, bounds = word_spans(buf, offsets)
-    words = span_hashes(buf, starts, ends)
+    words = word_hashes(buf, starts, ends)
     n = np.diff(bounds)
     of = owners(bounds)
     full = window_hashes(words, SHINGLE)

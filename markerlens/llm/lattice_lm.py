@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from markerlens.llm.common import drop_stored, is_held_out, stored
-from markerlens.llm.text_arrays import BASES, mix, owners, powers, row_slices, segment_sums, span_hashes, utf8, word_spans
+from markerlens.llm.text_arrays import (BASES, mix, owners, powers, row_slices, segment_sums,
+                                       span_hashes, utf8, word_hashes, word_spans)
 
 FOLDS = 10
 SMOOTHING = 0.1
@@ -54,7 +55,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 buf = LOWER[buf]
                 starts, ends, bounds = word_spans(buf, offsets)
                 train = (~part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)).astype(np.int64)
-                _, first, of = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+                _, first, of = np.unique(word_hashes(buf, starts, ends), return_index=True, return_inverse=True)
                 c = np.bincount(of, train[owners(bounds)], len(first)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([strings_at(buf, starts[first], ends[first]), pa.array(c)], names=["word", "c"])
 
@@ -204,7 +205,7 @@ def lm_scores(docs: DataFrame, vocabulary: str) -> DataFrame:
     def weigh(batches):
         for batch in batches:
             buf, offsets = utf8(batch.column("word"))
-            keys = span_hashes(buf, offsets[:-1], offsets[1:])
+            keys = word_hashes(buf, offsets[:-1], offsets[1:])
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("c"), pa.array(pieces.value.score(batch.column("word")))],
                                              names=["key", "c", "log"])
 
@@ -218,7 +219,7 @@ def lm_scores(docs: DataFrame, vocabulary: str) -> DataFrame:
         buf, offsets = utf8(column)
         buf = LOWER[buf]
         starts, ends_, bounds = word_spans(buf, offsets)
-        return span_hashes(buf, starts, ends_).view(np.int64), bounds
+        return word_hashes(buf, starts, ends_).view(np.int64), bounds
 
     def ask(table: pa.Table) -> pa.Table:
         keys = np.unique(keys_of(table.column("text"))[0])

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from markerlens.llm.common import stored
-from markerlens.llm.text_arrays import row_slices, span_hashes, utf8, word_spans
+from markerlens.llm.text_arrays import row_slices, utf8, word_hashes, word_spans
 
 CAPACITY = 4096
 END = 1
@@ -93,7 +93,7 @@ class WordIds:
         if b"<|" not in data:  # special strings are told by case; all else the tokenizer lowers itself
             buf = LOWER[buf]
             data = buf.tobytes()
-        names, first, of = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        names, first, of = np.unique(word_hashes(buf, starts, ends), return_index=True, return_inverse=True)
         if len(self.names) + len(names) > MEMORY:
             self.clear()
         new = np.flatnonzero(~np.isin(names, self.names, assume_unique=True))

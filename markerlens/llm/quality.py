@@ -24,8 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from markerlens.llm.common import drop_stored, stored
-from markerlens.llm.text_arrays import (mix, owners, row_slices, segment_sums, span_hashes, utf8,
-                                        window_hashes, word_spans)
+from markerlens.llm.text_arrays import mix, owners, row_slices, segment_sums, utf8, window_hashes, word_hashes, word_spans
 
 ORDER = 4
 #: Bits of a code point; of a symbol in the small dense model.
@@ -285,7 +284,7 @@ def repeated_lines(buf, offsets, starts, bounds) -> np.ndarray:
     worded = np.searchsorted(starts, ends) > np.searchsorted(starts, begins)
     begins, ends = begins[worded], ends[worded]
     of = np.searchsorted(offsets, begins, "right") - 1
-    keys = mix(span_hashes(buf, begins, ends) + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    keys = mix(word_hashes(buf, begins, ends) + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     _, first = np.unique(keys, return_index=True)
     n = len(offsets) - 1
     return np.bincount(of, minlength=n) - np.bincount(of[first], minlength=n)
@@ -296,7 +295,7 @@ def measures(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     starts, ends, bounds = word_spans(buf, offsets)
     heads = np.zeros(len(buf) + 1, np.int64)
     np.cumsum((buf & 0xC0) != 0x80, out=heads[1:])
-    values = span_hashes(buf, starts, ends)
+    values = word_hashes(buf, starts, ends)
     symbols = np.zeros(256, np.int64)
     symbols[list(SYMBOLS)] = 1
     return {"n_words": np.diff(bounds), "word_chars": segment_sums(heads[ends] - heads[starts], bounds),

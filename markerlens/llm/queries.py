@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from markerlens.llm import (bwt_dedup, debruijn_dedup, decontaminate, jaccard_join, lattice_lm, packing, quality,
+from markerlens.llm import (bottomk_dedup, bwt_dedup, debruijn_dedup, decontaminate, jaccard_join, lattice_lm, packing, quality,
                             token_counts, toxicity, warc_revisits)
 from markerlens.llm.common import read_table
 
@@ -75,6 +75,11 @@ def op10_lattice_lm(spark, sf_dir):
     return lattice_lm.lm_scores(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op11_bottomk_near_dedup(spark, sf_dir):
+    return bottomk_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
