@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from markerlens.llm import (bottomk_dedup, bwt_dedup, debruijn_dedup, decontaminate, jaccard_join, lattice_lm, packing, quality,
-                            token_counts, toxicity, warc_revisits)
+from markerlens.llm import (bottomk_dedup, bwt_dedup, debruijn_dedup, decontaminate, jaccard_join, jd_whitening, lattice_lm,
+                            orchard_codes, packing, quality, token_counts, toxicity, warc_revisits)
 from markerlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,16 @@ def op11_bottomk_near_dedup(spark, sf_dir):
     return bottomk_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_jd_whitening(spark, sf_dir):
+    return jd_whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_orchard_codes(spark, sf_dir):
+    return orchard_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

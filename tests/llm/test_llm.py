@@ -441,4 +441,4 @@ def test_pipeline(spark):
 
 
 def test_queries_are_registered():
-    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted([f"op{i}" for i in range(1, 11)] + ["pipeline"])
+    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted([f"op{i}" for i in range(1, 14)] + ["pipeline"])

@@ -1,5 +1,6 @@
 """Bottom-k near duplicates, whitening and vector codes against brute force."""
 
+import hashlib
 import random
 import re
 from collections import Counter
@@ -7,9 +8,8 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
-from markerlens.llm import bottomk_dedup
+from markerlens.llm import bottomk_dedup, jd_whitening, orchard_codes
 from markerlens.llm.text_arrays import utf8, word_hashes, word_spans
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -65,7 +65,7 @@ def near_rows(r, n_groups, n_each, passage):
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, block_rows):
     monkeypatch.setattr(bottomk_dedup, "BLOCK_ROWS", block_rows)
     r = random.Random(3)
-    texts = near_rows(r, 40, 7, 120)
+    texts = near_rows(r, 24, 6, 120)
     made = texts + [texts[0].upper(), "  \t" + texts[1], None, None, "", " \n", "tie", "tie", "Tie tie", "a b", "A  b", "a b c", "x" * 5000, "x" * 5000 + " y"]
     rows = [(i, t) for i, t in enumerate(made)]
     r.shuffle(rows)
@@ -93,3 +93,93 @@ def test_word_hashes_tell_thue_morse_words_apart():
     starts, ends, _ = word_spans(buf, offsets)
     hashes = word_hashes(buf, starts, ends).tolist()
     assert len(set(hashes)) == len(words) and hashes[: len(words)] == hashes[len(words):]
+
+
+def vector_rows(r, n, width, spread=0.2):
+    out = [(i, [float(np.float32(r.gauss(0, spread * (1 + 3 / (k + 1))))) for k in range(width)], r.choice([0, 1, None])) for i in range(n)]
+    out += [(n, None, 1), (n + 1, [None] * width, 1), (n + 2, [float("nan")] * width, 0), (n + 3, [float("inf")] + [0.0] * (width - 1), 0),
+            (n + 4, [-0.0] * width, 2), out[3], (out[4][0], out[5][1], 1), (None, out[6][1], None), (n + 5, out[6][1], 2)]
+    return out
+
+
+def vector_frame(spark, rows):
+    schema = "vec_id long, embedding array<float>, label int, x string, n string, code string, part string"
+    return spark.createDataFrame([(*t, "x", "x", "x", "x") for t in rows], schema).repartition(3)
+
+
+def sound(rows):
+    return [t for t in rows if t[1] is not None and all(c is not None and np.isfinite(c) for c in t[1])]
+
+
+@pytest.mark.parametrize("width, n", [(16, 300), (3, 60), (8, 2)])
+def test_whitening_equals_a_dense_solver(spark, width, n):
+    rows = vector_rows(random.Random(width), n, width) if n > 7 else [(1, [0.5] * width, 0), (2, [0.25] * width, 0), (3, [0.5] * width, 1)]
+    kept = sound(rows)
+    x = np.floor(np.array([t[1] for t in kept]) * 256).astype(np.int64)
+    fit = np.unique(x, axis=0)
+    m, s = len(fit), fit.sum(0)
+    cov = np.cov(fit.T, bias=True)
+    e, v = np.linalg.eigh(cov)
+    e, v = e[::-1], v[:, ::-1]
+    k = min(4, width, int((e > 1e-9 * e[0]).sum()))
+    white = (x - s / m) @ v[:, :k] / np.sqrt(e[:k])
+    got = jd_whitening.whiten(vector_frame(spark, rows)).collect()
+    assert len(got) == k * len(kept) and {r["n"] for r in got} == {m} and max(r["identity_error"] for r in got) < 1e-9
+    dev = Counter((t[0], int(((m * a - s) ** 2).sum())) for t, a in zip(kept, x))
+    for c in range(1, k + 1):
+        own = [r for r in got if r["component"] == c]
+        assert Counter((r["vec_id"], r["deviation"]) for r in own) == dev
+        assert np.allclose([r["explained"] for r in own], e[c - 1] / np.trace(cov), rtol=1e-9)
+        have = sorted((repr(r["vec_id"]), r["deviation"], r["whitened"]) for r in own)
+        want = sorted((repr(t[0]), int(((m * a - s) ** 2).sum()), w) for t, a, w in zip(kept, x, white[:, c - 1]))
+        a, b = np.array([r[2] for r in have]), np.array([r[2] for r in want])
+        assert min(np.abs(a - b).max(), np.abs(a + b).max()) < 1e-7
+
+
+def test_jacobi_davidson_close_and_equal_eigenvalues():
+    rng = np.random.default_rng(2)
+    q, _ = np.linalg.qr(rng.standard_normal((60, 60)))
+    for e in (np.r_[5, 5, 5 - 1e-6, 4.999, np.linspace(4, 0.1, 56)], np.r_[3.0, 1.0, np.zeros(58)], np.linspace(1, 0.9, 60)):
+        a = (q * e) @ q.T
+        calls = []
+        values, vectors = jd_whitening.jacobi_davidson(lambda v: calls.append(1) or a @ v, 60)
+        assert np.allclose(values, np.sort(e)[::-1][:4], atol=1e-12)
+        assert np.abs(a @ vectors - vectors * values).max() < 1e-12 and np.abs(vectors.T @ vectors - np.eye(4)).max() < 1e-12
+
+
+def test_vectors_that_have_no_result(spark):
+    none = vector_frame(spark, [(1, None, 0), (2, [], 1), (3, [None] * 4, 1)])
+    assert jd_whitening.whiten(none).count() == 0 and orchard_codes.compress(none).count() == 0
+    assert jd_whitening.whiten(vector_frame(spark, [(1, [0.5, 0.25], 0), (2, [0.5, 0.25], 0)])).count() == 0
+    with pytest.raises(ValueError):
+        jd_whitening.whiten(vector_frame(spark, [(1, [0.5, 0.25], 0), (2, [0.5], 0)])).count()
+    with pytest.raises(ValueError):
+        orchard_codes.compress(vector_frame(spark, [(1, [0.5] * 6, 0)])).count()
+
+
+def plain_codes(rows, width):
+    kept = sound(rows)
+    x = np.floor(np.array([t[1] for t in kept]) * 1024).astype(np.int64)
+    order = sorted(range(len(kept)), key=lambda i: (kept[i][0] is None, kept[i][0] or 0, x[i].tolist()))[:256]
+    part = width // 4
+    books = [x[order, p * part: (p + 1) * part] for p in range(4)]
+    assign = lambda: [((x[:, None, p * part: (p + 1) * part] - b[None]) ** 2).sum(2) for p, b in enumerate(books)]
+    for _ in range(4):
+        near = [d.argmin(1) for d in assign()]
+        books = [np.array([x[c == e, p * part: (p + 1) * part].sum(0) // (c == e).sum() if (c == e).any() else b[e] for e in range(len(b))])
+                 for p, (b, c) in enumerate(zip(books, near))]
+    dist = assign()
+    code = np.stack([d.argmin(1) for d in dist], 1)
+    error = sum(d.min(1) for d in dist)
+    total = Counter()
+    for t, e in zip(kept, error.tolist()):
+        total[t[2]] += e
+    name = hashlib.sha256(",".join(str(v) for b in books for v in b.reshape(-1)).encode()).hexdigest()
+    return [(t[0], "".join(f"{v:02x}" for v in c), e, total[t[2]], name) for t, c, e in zip(kept, code.tolist(), error.tolist())]
+
+
+@pytest.mark.parametrize("width, n, spread", [(16, 700, 0.2), (8, 900, 0.002), (4, 40, 0.2)])
+def test_vector_codes_equal_brute_force(spark, width, n, spread):
+    rows = vector_rows(random.Random(n), n, width, spread)
+    got = orchard_codes.compress(vector_frame(spark, rows))
+    assert collected(got, ("vec_id", "code", "error", "label_error", "codebooks_sha256")) == sorted(plain_codes(rows, width), key=repr)
