@@ -25,7 +25,7 @@ from markerlens.session import checkpointed
 K1 = 1.2
 B = 0.75
 # Insertion order of the sources in the index: annotated, AI, corpus.
-SOURCE_RANK = {"annotated": 0, "gemini": 1, "corpus": 2}
+SOURCE_RANK = {"annotated": 0, "ai": 1, "corpus": 2}
 MAIN_SOURCES = ("annotated", "corpus")
 
 
@@ -63,12 +63,12 @@ def build_documents(annotated: DataFrame, ai: DataFrame, corpus: DataFrame) -> D
                 .where(F.length("text") > 0)
                 .select(F.concat(F.lit(prefix), F.col("ordinal").cast("string")).alias("doc_id"),
                         "text", F.lit(source).alias("source"), F.lit(SOURCE_RANK[source]).alias("source_rank"),
-                        "ordinal", "tags", F.coalesce(F.col("label"), F.lit("")).alias("misinformation_label")))
+                        "ordinal", "tags", F.coalesce(F.col("label"), F.lit("")).alias("doc_label")))
 
-    docs = (prep(annotated, "annotated", "annot_").unionByName(prep(ai, "gemini", "ai_"))
+    docs = (prep(annotated, "annotated", "annot_").unionByName(prep(ai, "ai", "ai_"))
             .unionByName(prep(corpus, "corpus", "corpus_")))
     # Seen-set per group: main (annotated + corpus) and AI apart; first by (source_rank, ordinal).
-    group = F.when(F.col("source") == "gemini", F.lit("ai")).otherwise(F.lit("main"))
+    group = F.when(F.col("source") == "ai", F.lit("ai")).otherwise(F.lit("main"))
     w = Window.partitionBy(group, T.clean_key("text")).orderBy("source_rank", "ordinal")
     return docs.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
@@ -106,14 +106,14 @@ def index_stats(lengths: DataFrame) -> DataFrame:
 def facet_filter(docs: DataFrame, source: str = "all", tags: Sequence[str] = (),
                  label: str = "all") -> DataFrame:
     """SRCH-5 facets AND-ed: FLT-9 source, FLT-10 all requested tags, FLT-11 label."""
-    if source in ("annotated", "gemini", "corpus"):
+    if source in ("annotated", "ai", "corpus"):
         d = docs.where(F.col("source") == source)
     else:
         d = docs.where(F.col("source").isin(*MAIN_SOURCES))
     if tags:
         d = d.where(F.size(F.array_except(F.array(*[F.lit(t) for t in tags]), F.col("tags"))) == 0)
     if label in ("0", "1"):
-        d = d.where(F.col("misinformation_label") == label)
+        d = d.where(F.col("doc_label") == label)
     return d
 
 
@@ -133,7 +133,7 @@ def search(docs: DataFrame, postings: DataFrame, terms: Sequence[str], mode: str
     cand = facet_filter(docs, source, tags, label)
     terms = [t.lower() for t in terms if t and t.strip()]
     if not terms:
-        res = cand.select("doc_id", "source", "tags", "misinformation_label", "source_rank", "ordinal",
+        res = cand.select("doc_id", "source", "tags", "doc_label", "source_rank", "ordinal",
                           F.lit(None).cast("double").alias("score"))
         ordered = res.orderBy("source_rank", "ordinal")
         return ordered.limit(limit) if limit else ordered
@@ -149,7 +149,7 @@ def search(docs: DataFrame, postings: DataFrame, terms: Sequence[str], mode: str
     if mode == "all":
         per_doc = per_doc.where(F.col("_matched") == len(set(terms)))
     res = cand.join(per_doc, "doc_id", "inner").select(
-        "doc_id", "source", "tags", "misinformation_label", "source_rank", "ordinal", "score")
+        "doc_id", "source", "tags", "doc_label", "source_rank", "ordinal", "score")
     ordered = res.orderBy(F.desc("score"), "source_rank", "ordinal")
     return ordered.limit(limit) if limit else ordered
 
@@ -185,7 +185,7 @@ def two_panel(docs: DataFrame, postings: DataFrame, terms: Sequence[str], show_a
     if not show_ai:
         return main
     f = dict(facets)
-    f["source"] = "gemini"
+    f["source"] = "ai"
     return main.unionByName(search(docs, postings, terms, **f).withColumn("panel", F.lit("ai")))
 
 

@@ -53,17 +53,17 @@ _TAGS_SQL = "list_filter([" + ", ".join(f"CASE WHEN {_CHECKS[t]} THEN '{t}' END"
 
 DOCS_SQL = f"""src0 AS (
   SELECT 'annot_' || CAST(item_id AS VARCHAR) AS doc_id, text, 'annotated' AS source, 0 AS source_rank,
-         item_id AS ordinal, '' AS misinformation_label FROM benchmark
+         item_id AS ordinal, '' AS doc_label FROM benchmark
   UNION ALL
-  SELECT 'ai_' || CAST(conv_id * 1000 + turn AS VARCHAR), text, 'gemini', 1, conv_id * 1000 + turn, '' FROM conversations
+  SELECT 'ai_' || CAST(conv_id * 1000 + turn AS VARCHAR), text, 'ai', 1, conv_id * 1000 + turn, '' FROM conversations
   WHERE role = 'assistant'
   UNION ALL
   SELECT 'corpus_' || CAST(d.doc_id AS VARCHAR), d.text, 'corpus', 2, d.doc_id, coalesce(CAST(l.quality AS VARCHAR), '')
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
-src AS (SELECT doc_id, {S.strip_ws('text')} AS text, source, source_rank, ordinal, misinformation_label,
+src AS (SELECT doc_id, {S.strip_ws('text')} AS text, source, source_rank, ordinal, doc_label,
                {_TAGS_SQL} AS tags FROM src0),
 docs AS (SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY CASE WHEN source = 'gemini' THEN 'ai' ELSE 'main' END, {S.clean_key('text')}
+  SELECT *, row_number() OVER (PARTITION BY CASE WHEN source = 'ai' THEN 'ai' ELSE 'main' END, {S.clean_key('text')}
                                ORDER BY source_rank, ordinal) AS rn
   FROM src WHERE length(text) > 0) WHERE rn = 1),
 tok AS (SELECT doc_id, unnest(st) AS term, unnest(range(len(st))) AS pos FROM (SELECT doc_id, {S.search_tokens('text')} AS st FROM docs)),
@@ -97,12 +97,12 @@ def _out(df):
 
 @register("search_documents", ("SRCH-1", "DED-3", "FN-4", "FN-18", "FN-24", "JN-5", "SET-1"), sql=f"""
 WITH {DOCS_SQL}
-SELECT doc_id, source, ordinal, array_to_string(tags, ' ') AS tags, misinformation_label, length(text) AS n_chars
+SELECT doc_id, source, ordinal, array_to_string(tags, ' ') AS tags, doc_label, length(text) AS n_chars
 FROM docs""")
 def search_documents(spark, sf):
     docs, _ = index(spark, sf)
     return docs.select("doc_id", "source", "ordinal", F.array_join("tags", " ").alias("tags"),
-                       "misinformation_label", F.length("text").cast("long").alias("n_chars"))
+                       "doc_label", F.length("text").cast("long").alias("n_chars"))
 
 
 @register("postings", ("SRCH-2",), sql=f"""
@@ -130,7 +130,7 @@ def bm25_any_term(spark, sf):
 
 @register("faceted_search", ("SRCH-5", "FLT-9", "FLT-10", "FLT-11"),
           sql=_search_sql(("the",), "all", "source IN ('annotated', 'corpus') AND list_has_all(tags, ['adjectives']) "
-                                           "AND misinformation_label = '1'"))
+                                           "AND doc_label = '1'"))
 def faceted_search(spark, sf):
     docs, post = index(spark, sf)
     return _out(Q.search(docs, post, ["the"], source="all", tags=["adjectives"], label="1"))
@@ -176,7 +176,7 @@ sc AS (SELECT h.doc_id, sum({_bm25_sql('h.tf', 'd.df')}) AS score
 main AS (SELECT 'main' AS panel, docs.doc_id, source, round(score, 6) AS score FROM docs JOIN sc ON docs.doc_id = sc.doc_id
          WHERE source IN ('annotated', 'corpus') ORDER BY sc.score DESC, source_rank, ordinal LIMIT 50),
 ai AS (SELECT 'ai' AS panel, docs.doc_id, source, round(score, 6) AS score FROM docs JOIN sc ON docs.doc_id = sc.doc_id
-       WHERE source = 'gemini' ORDER BY sc.score DESC, source_rank, ordinal LIMIT 50)
+       WHERE source = 'ai' ORDER BY sc.score DESC, source_rank, ordinal LIMIT 50)
 SELECT * FROM main UNION ALL SELECT * FROM ai""")
 def two_panel_search(spark, sf):
     docs, post = index(spark, sf)
@@ -187,13 +187,13 @@ def two_panel_search(spark, sf):
 @register("human_ai_pairing", ("JN-2", "SRCH-1"), sql=f"""
 WITH {DOCS_SQL},
 ai AS (SELECT lower({S.strip_ws('text')}) AS k, arg_max(doc_id, ordinal) AS ai_doc_id FROM docs
-       WHERE source = 'gemini' GROUP BY k)
+       WHERE source = 'ai' GROUP BY k)
 SELECT d.doc_id, ai.ai_doc_id FROM docs d LEFT JOIN ai ON lower({S.strip_ws('d.text')}) = ai.k
 WHERE d.source IN ('annotated', 'corpus')""")
 def human_ai_pairing(spark, sf):
     docs, _ = index(spark, sf)
     main = docs.where(F.col("source").isin("annotated", "corpus")).select("doc_id", "text")
-    ai = docs.where(F.col("source") == "gemini").select("doc_id", "text", "ordinal")
+    ai = docs.where(F.col("source") == "ai").select("doc_id", "text", "ordinal")
     return Q.pair_with_ai(main, ai).select("doc_id", "ai_doc_id")
 
 

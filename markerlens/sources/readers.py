@@ -121,14 +121,14 @@ def _truthy_id(c: Column) -> Column:
 
 def flatten_span_export(df: DataFrame, tags: Sequence[str] = TAGS) -> DataFrame:
     """AGG-14 / FN-1 / FN-3 / FLT-8 one flat row per record: ID (first truthy of
-    ``Unnamed: 0``, ``id``, ``ID``), Text, misinformation_label and, per known tag, the spans of
+    ``Unnamed: 0``, ``id``, ``ID``), Text, doc_label and, per known tag, the spans of
     the record's first annotation (unknown labels ignored). No shuffle."""
     results = F.coalesce(F.get(F.col("annotations"), 0)["result"], F.array().cast(
         Ty.ArrayType(EXPORT_SCHEMA["annotations"].dataType.elementType["result"].dataType.elementType)))
     data = F.col("data")
     ident = F.coalesce(_truthy_id(data["Unnamed: 0"]), _truthy_id(data["id"]), data["ID"].try_cast("long"))
     cols = [ident.alias("ID"), F.coalesce(data["text"], data["Text"]).alias("Text"),
-            data["label"].try_cast("int").alias("misinformation_label")]
+            data["label"].try_cast("int").alias("doc_label")]
     for tag in tags:
         hits = F.filter(results, lambda r: F.array_contains(r["value"]["labels"], tag))
         cols.append(F.transform(hits, lambda r: F.struct(r["value"]["text"].alias("text"),
@@ -164,13 +164,14 @@ def spans_from_arrays(c: Column) -> Column:
                                              a[2].try_cast("int").alias("end")))
 
 
-def read_consolidated(spark: SparkSession, path: str, tags: Sequence[str] = TAGS) -> DataFrame:
-    """SRC-13 consolidated annotations: JSON array of flat rows with mixed-array spans."""
+def read_consolidated(spark: SparkSession, path: str, tags: Sequence[str] = TAGS, label_key: str = "label") -> DataFrame:
+    """SRC-13 consolidated annotations: JSON array of flat rows with mixed-array spans; ``label_key`` is the file's
+    name of the label, here ``doc_label``."""
     fields = [Ty.StructField("ID", Ty.LongType()), Ty.StructField("Text", Ty.StringType()),
-              Ty.StructField("misinformation_label", Ty.StringType()), Ty.StructField("Annotator", Ty.StringType())]
+              Ty.StructField(label_key, Ty.StringType()), Ty.StructField("Annotator", Ty.StringType())]
     fields += [Ty.StructField(t, Ty.ArrayType(Ty.ArrayType(Ty.StringType()))) for t in tags]
     df = spark.read.schema(Ty.StructType(fields)).option("multiLine", True).json(path)
-    return df.select("ID", "Text", "misinformation_label", "Annotator",
+    return df.select("ID", "Text", F.col(label_key).alias("doc_label"), "Annotator",
                      *[spans_from_arrays(F.col(t)).alias(t) for t in tags])
 
 

@@ -63,9 +63,9 @@ def test_annotators_and_consolidated(spark, tmpdir_path):
     caps = {r["annotator"]: r["category"] for r in long.where("feature = 'all_caps'").collect()}
     assert caps["alice"] == caps["bob"]
     c = write(os.path.join(tmpdir_path, "cons.json"), json.dumps([
-        {"ID": 3, "Text": "t", "misinformation_label": "1", "Annotator": "x", "hedging": [["maybe", 0, 5]]}]))
+        {"ID": 3, "Text": "t", "label": "1", "Annotator": "x", "hedging": [["maybe", 0, 5]]}]))
     row = R.read_consolidated(spark, c).first()
-    assert row["hedging"][0]["start"] == 0 and row["hedging"][0]["text"] == "maybe"
+    assert row["doc_label"] == "1" and row["hedging"][0]["start"] == 0 and row["hedging"][0]["text"] == "maybe"
 
 
 def test_feed_vectors_lexicon(spark, tmpdir_path):
