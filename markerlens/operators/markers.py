@@ -1,13 +1,11 @@
 """Rule-based marker extraction (MRK-1…6) and the span operators built on it (FN-15, FN-18,
 FN-30, AGG-22, AGG-23).
 
-Each word rule is a whole-token regular expression (lookarounds keep a match to a maximal
+The fixed rules are whole-token regular expressions (lookarounds keep a match to a maximal
 ASCII letter run); only the matches are exploded, and ``split`` by the same expression gives
 the gaps, so a running sum over the matches of one document yields the character offsets.
 The documents are hash-partitioned by id first, so that window needs no second exchange.
-Very large word lists take the piece path instead: the text is cut into pieces (letter runs,
-``!`` runs, the rest) covering it end to end, each with offsets, joined to the list. Output
-is the flat span shape
+Word lists of any size are matched by ``lexicon_match``. Output is the flat span shape
 ``(doc_id, feature, text, start, end)``, which can join the annotation tables as one more
 annotator.
 """
@@ -21,6 +19,8 @@ from pyspark.sql import functions as F
 
 from markerlens.functions.lexicons import ADJECTIVE_SUFFIXES
 from markerlens.functions.text import TAGS
+from markerlens.operators.lexicon_match import lexicon_spans
+from markerlens.operators.spans import non_overlapping
 
 PIECE = "[a-zA-Z]+|!+|[^a-zA-Z!]+"
 ADJECTIVE = "^[a-zA-Z]+(" + "|".join(ADJECTIVE_SUFFIXES) + ")$"
@@ -38,33 +38,10 @@ def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(side, on, how)
 
 
-def pieces(df: DataFrame, text: str = "text", doc: str = "doc_id",
-           partitions: int | None = None) -> DataFrame:
-    """(doc, pos, piece, start, end) for every piece of every text; offsets in code points."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = df.select(doc, text).repartition(n, doc)
-    ex = d.select(doc, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(PIECE), 0)).alias("pos", "piece"))
-    w = Window.partitionBy(doc).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.length("piece")).over(w), F.lit(0))
-    return ex.withColumn("start", start.cast("int")).withColumn("end", (F.col("start") + F.length("piece")).cast("int"))
-
-
-def _quote(term: str) -> str:
-    return "".join("\\" + ch if not ch.isalnum() else ch for ch in term)
-
-
-def _word_alternation(terms: Sequence[str]) -> str:
-    """A whole-letter-run match of any of ``terms`` (case-insensitive, ASCII letters)."""
-    alts = "|".join(_quote(t) for t in sorted(set(terms), key=lambda t: (-len(t), t)))
-    return f"(?<![a-zA-Z])(?i:{alts})(?![a-zA-Z])"
-
-
 # Whole-token forms of the word rules (Java regex; a token is a maximal ASCII letter run).
 CAPS_RUN = "(?<![a-zA-Z])[A-Z]{2,}(?![a-zA-Z])"
 ADJECTIVE_RUN = "(?<![a-zA-Z])[a-zA-Z]+(?i:" + "|".join(ADJECTIVE_SUFFIXES) + ")(?![a-zA-Z])"
 EXCLAMATION_RUN = "!+"
-MAX_REGEX_TERMS = 5000
 
 
 def regex_spans(df: DataFrame, pattern: str, feature: str, text: str = "text", doc: str = "doc_id",
@@ -93,68 +70,24 @@ def marker_spans(df: DataFrame, lexicon: DataFrame, text: str = "text", doc: str
                  hedge_match: str = "exact") -> DataFrame:
     """MRK-1…5 spans ``(doc, feature, text, start, end)``.
 
-    lexicon: (category, term) hedge terms; acronyms: (term) upper-case words that are not
-    all-caps markers; profanity: (term) words for ``unk``. Word lists up to
-    ``MAX_REGEX_TERMS`` terms become one whole-word pattern and only matches are exploded;
-    larger lists, and root (prefix) matching, take the piece path: every letter run with its
-    offsets, joined to the list (broadcast after a row-count check). That path refuses terms that
-    are not one letter run.
+    lexicon: (category, term) hedge terms, words or phrases, matched whole or by root
+    (``hedge_match='root'``); acronyms: (term) upper-case words that are not all-caps markers;
+    profanity: (term) words or phrases for ``unk``. Lists may have any size (``lexicon_match``).
     """
-    terms = [r[0] for r in lexicon.select(F.lower("term")).distinct().limit(MAX_REGEX_TERMS + 1).collect()]
-    prof = [] if profanity is None else \
-        [r[0] for r in profanity.select(F.lower("term")).distinct().limit(MAX_REGEX_TERMS + 1).collect()]
-    small = len(terms) <= MAX_REGEX_TERMS and len(prof) <= MAX_REGEX_TERMS and hedge_match == "exact"
-    if not small:
-        return piece_marker_spans(df, lexicon, text, doc, acronyms, profanity, hedge_match)
     caps = regex_spans(df, CAPS_RUN, "all_caps", text, doc)
     if acronyms is not None:
         caps = sized_join(caps, acronyms.select(F.col("term").alias("text")).distinct(), "text", "left_anti")
     parts = [regex_spans(df, EXCLAMATION_RUN, "exclamation_marks", text, doc), caps.select(
-        doc, "feature", "text", "start", "end"), regex_spans(df, ADJECTIVE_RUN, "adjectives", text, doc)]
-    if terms:
-        parts.append(regex_spans(df, _word_alternation(terms), "hedging", text, doc))
-    if prof:
-        parts.append(regex_spans(df, _word_alternation(prof), "unk", text, doc))
+        doc, "feature", "text", "start", "end"), regex_spans(df, ADJECTIVE_RUN, "adjectives", text, doc),
+        lexicon_spans(df, lexicon, "hedging", hedge_match, text, doc)]
+    if profanity is not None:
+        parts.append(lexicon_spans(df, profanity, "unk", "exact", text, doc))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def piece_marker_spans(df: DataFrame, lexicon: DataFrame, text: str = "text", doc: str = "doc_id",
-                       acronyms: DataFrame | None = None, profanity: DataFrame | None = None,
-                       hedge_match: str = "exact") -> DataFrame:
-    """Piece path of ``marker_spans``: every piece with offsets, word lists joined.
-
-    A piece is one letter run, so a term of several words, with a hyphen or an apostrophe can't be
-    found here; a list that holds one is refused rather than matched in part."""
-    lists = lexicon.select("term") if profanity is None else lexicon.select("term").unionByName(profanity.select("term"))
-    odd = lists.where(~F.col("term").rlike("^[a-zA-Z]+$")).first()
-    if odd is not None:
-        raise ValueError(f"term {odd[0]!r} is not one run of letters: such lists hold at most {MAX_REGEX_TERMS} terms, exact match")
-    p = pieces(df, text, doc)
-    word = p.where(F.col("piece").rlike("^[a-zA-Z]+$")).withColumn("_lw", F.lower("piece"))
-    excl = p.where(F.col("piece").rlike("^!+$")).select(doc, F.lit("exclamation_marks").alias("feature"),
-                                                        "piece", "start", "end")
-    caps = word.where((F.length("piece") >= 2) & (F.upper("piece") == F.col("piece")))
-    if acronyms is not None:
-        caps = sized_join(caps, acronyms.select(F.col("term").alias("piece")).distinct(), "piece", "left_anti")
-    caps = caps.select(doc, F.lit("all_caps").alias("feature"), "piece", "start", "end")
-    adj = word.where(F.col("_lw").rlike(ADJECTIVE)).select(doc, F.lit("adjectives").alias("feature"),
-                                                          "piece", "start", "end")
-    terms = lexicon.select(F.lower("term").alias("_term")).distinct()
-    if hedge_match == "prefix":
-        hedge = sized_join(word, terms, F.col("_lw").startswith(F.col("_term")), "left_semi")
-    else:
-        hedge = sized_join(word, terms.withColumnRenamed("_term", "_lw"), "_lw", "left_semi")
-    hedge = hedge.select(doc, F.lit("hedging").alias("feature"), "piece", "start", "end")
-    out = excl.unionByName(caps).unionByName(adj).unionByName(hedge)
-    if profanity is not None:
-        unk = sized_join(word, profanity.select(F.lower("term").alias("_lw")).distinct(), "_lw", "left_semi")
-        out = out.unionByName(unk.select(doc, F.lit("unk").alias("feature"), "piece", "start", "end"))
-    return out.withColumnRenamed("piece", "text")
-
-
 def marker_counts(docs: DataFrame, spans: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts per document and feature as five columns, plus MRK-6 density (count / length)."""
     counts = (spans.groupBy(doc).pivot("feature", list(TAGS)).agg(F.count(F.lit(1))))
@@ -186,24 +119,5 @@ def tag_distribution(flags: DataFrame, tags: Sequence[str] = TAGS) -> DataFrame:
 
 
 def resolve_spans(spans: DataFrame, doc: str = "doc_id", tag: str = "feature") -> DataFrame:
-    """FN-30 non-overlapping span resolution per document.
-
-    Tags are grouped per (start, end); spans are sorted by (start, end); a span is kept when
-    it starts at or after the end of the last kept span. The greedy pass is one ``aggregate``
-    over the document's sorted span array (one document's spans, bounded by its length),
-    carrying (last end, kept count, covered characters, kept spans with their tags).
-    """
-    grouped = (spans.groupBy(doc, "start", "end")
-               .agg(F.array_sort(F.collect_set(tag)).alias("tags")))
-    per_doc = grouped.groupBy(doc).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "tags"))).alias("_spans"))
-    init = F.struct(F.lit(-1).alias("last_end"), F.lit(0).alias("n_kept"), F.lit(0).alias("covered"))
-
-    def step(acc, x):
-        keep = x["start"] >= acc["last_end"]
-        return F.when(keep, F.struct(x["end"].alias("last_end"), (acc["n_kept"] + 1).alias("n_kept"),
-                                     (acc["covered"] + x["end"] - x["start"]).alias("covered"))).otherwise(acc)
-
-    res = F.aggregate("_spans", init, step)
-    return per_doc.select(doc, F.size("_spans").alias("n_spans"), res["n_kept"].alias("n_kept"),
-                          res["covered"].alias("covered_chars"))
+    """FN-30 the spans (doc, start, end, tags) that stay when overlapping ones go (``spans.non_overlapping``)."""
+    return non_overlapping(spans, doc, tag)

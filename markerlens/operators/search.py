@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from markerlens.functions import text as T
 from markerlens.operators.markers import ADJECTIVE
 from markerlens.operators.ordering import with_scalars
+from markerlens.operators.spans import no_raw_tags, raw_tags, tag_words
 from markerlens.session import checkpointed
 
 # BM25F parameters of the search library's default scorer.
@@ -81,6 +82,22 @@ def build_index(annotated: DataFrame, ai: DataFrame, corpus: DataFrame) -> tuple
     return docs, build_postings(docs)
 
 
+def with_raw_tags(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """SRCH-1 the stored fields of a result: raw_text, and raw_tags, a map of every tag to its spans (text, start, end) in
+    the document's text; documents without a span have every tag with none."""
+    own = raw_tags(spans)
+    return (docs.join(own, "doc_id", "left").withColumn("raw_tags", F.coalesce("raw_tags", no_raw_tags()))
+            .withColumn("raw_text", F.col("text")))
+
+
+def result_entry(docs: DataFrame) -> DataFrame:
+    """FN-19 what a result card shows: doc_id, tag_labels (upper-case tags), tag_words (upper-case tag to the different words of its
+    spans, tags with words only) and a preview."""
+    words = F.map_filter(tag_words("raw_tags"), lambda _, w: F.size(w) > 0)
+    return docs.select("doc_id", F.transform("tags", lambda t: F.upper(t)).alias("tag_labels"),
+                       F.transform_keys(words, lambda t, _: F.upper(t)).alias("tag_words"), T.preview("text", 140).alias("preview"))
+
+
 def source_counts(docs: DataFrame) -> DataFrame:
     """Documents per source (the counts the index build reports)."""
     return docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))

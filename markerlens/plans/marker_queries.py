@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from markerlens.functions.lexicons import STANDIN_LEXICON
 from markerlens.functions.text import TAGS
+from markerlens.operators import lexicon_match as L
 from markerlens.operators import markers as M
+from markerlens.operators import spans as P
 from markerlens.plans import sqlbits as S
 from markerlens.plans.registry import register
 from markerlens.session import table
@@ -14,6 +16,11 @@ from markerlens.session import table
 # Stand-in word lists (parameters of the marker rules; the data is the documents table).
 ACRONYMS = ("USA", "UK", "EU", "UN", "NATO", "FBI", "CEO", "TV", "IT")
 PROFANITY = ("damn", "crap", "worthless")
+# Words and phrases with overlaps, and word beginnings, for the lexicon queries.
+PHRASE_TERMS = ("the", "of the", "the the", "the of", "and the", "worthless")
+ROOT_TERMS = ("thor", "worth", "ha", "onin")
+# Letter runs, runs of "!" and the rest cover a text end to end.
+PIECE = "[a-zA-Z]+|!+|[^a-zA-Z!]+"
 
 
 def _inputs(spark):
@@ -35,11 +42,11 @@ def counts_df(spark, sf):
 
 
 _TERMS = S.str_list(sorted({t for _, t in STANDIN_LEXICON}))
-SPANS_SQL = f"""d AS (SELECT doc_id, text, regexp_extract_all(text, {S.q(M.PIECE)}) AS p FROM documents),
+SPANS_SQL = f"""d AS (SELECT doc_id, text, regexp_extract_all(text, {S.q(PIECE)}) AS p FROM documents),
 pc AS (SELECT doc_id, unnest(p) AS piece, unnest(range(len(p))) AS pos FROM d),
-po AS (SELECT doc_id, piece, CAST(coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pos
+po AS (SELECT doc_id, pos, piece, CAST(coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pos
          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS start FROM pc),
-sp AS (SELECT doc_id, piece, start, CAST(start + length(piece) AS INTEGER) AS "end",
+sp AS (SELECT doc_id, pos, piece, start, CAST(start + length(piece) AS INTEGER) AS "end",
               regexp_matches(piece, '^[a-zA-Z]+$') AS is_word FROM po),
 spans AS (
   SELECT doc_id, 'exclamation_marks' AS feature, piece AS text, start, "end" FROM sp WHERE regexp_matches(piece, '^!+$')
@@ -113,17 +120,93 @@ def tag_distribution(spark, sf):
     return td.select("tag", "tag_order", "n", F.round("share_of_max", 6).alias("share_of_max"))
 
 
+def tag_list_sql(tags: str) -> str:
+    """The distinct features of a group as words in the fixed tag order."""
+    return f"array_to_string(list_filter({S.str_list(TAGS)}, lambda t: list_contains(list(DISTINCT {tags}), t)), ' ')"
+
+
+def sweep_sql(grouped: str, by: str = '"end"') -> str:
+    """Kept rows (doc_id, start, "end", tags) of the CTE ``grouped``: a fold over each document's sorted spans."""
+    return f"""SELECT doc_id, x.s AS start, x.e AS "end", x.t AS tags FROM (
+  SELECT doc_id, unnest(list_reduce(l, lambda acc, x: CASE WHEN x.k[1].s >= acc.e
+           THEN {{'e': x.e, 'k': list_concat(acc.k, x.k)}} ELSE acc END).k) AS x
+  FROM (SELECT doc_id, list({{'e': "end", 'k': [{{'s': start, 'e': "end", 't': tags}}]}} ORDER BY start, {by}) AS l
+        FROM {grouped} GROUP BY doc_id))"""
+
+
 @register("resolve_spans", ("FN-30", "MRK-1", "MRK-4"), sql=f"""
 WITH {SPANS_SQL},
-grouped AS (SELECT doc_id, start, "end" FROM spans GROUP BY doc_id, start, "end"),
-per_doc AS (
-  SELECT doc_id, count(*) AS n_spans,
-         list({{'s': start, 'e': "end", 'k': 1, 'c': "end" - start}} ORDER BY start, "end") AS l
-  FROM grouped GROUP BY doc_id)
-SELECT doc_id, CAST(n_spans AS INTEGER) AS n_spans, r.k AS n_kept, r.c AS covered_chars
-FROM (SELECT doc_id, n_spans,
-             list_reduce(l, lambda acc, x: CASE WHEN x.s >= acc.e
-                 THEN {{'s': x.s, 'e': x.e, 'k': acc.k + 1, 'c': acc.c + x.c}} ELSE acc END) AS r
-      FROM per_doc)""")
+grouped AS (SELECT doc_id, start, "end", {tag_list_sql('feature')} AS tags FROM spans GROUP BY doc_id, start, "end")
+{sweep_sql('grouped')}""")
 def resolve_spans(spark, sf):
-    return M.resolve_spans(spans_df(spark, sf))
+    kept = M.resolve_spans(spans_df(spark, sf))
+    return kept.select("doc_id", "start", "end", F.array_join("tags", " ").alias("tags"))
+
+
+def _highlight_sql(active: tuple[str, ...]) -> str:
+    return f"""
+WITH {SPANS_SQL},
+words AS (SELECT doc_id, text AS word, feature FROM spans WHERE list_contains({S.str_list(active)}, feature) GROUP BY ALL),
+gaps AS (SELECT w.doc_id, w.word, unnest(list_transform(l[:-2], lambda g: length(g))) AS gap, unnest(range(len(l) - 1)) AS i
+         FROM (SELECT DISTINCT x.doc_id, word, string_split(d.text, word) AS l FROM words x JOIN documents d ON x.doc_id = d.doc_id) w),
+hit AS (SELECT doc_id, word, CAST(sum(gap) OVER (PARTITION BY doc_id, word ORDER BY i ROWS UNBOUNDED PRECEDING) + i * length(word) AS INTEGER) AS start
+        FROM gaps),
+grouped AS (SELECT h.doc_id, h.start, CAST(h.start + length(h.word) AS INTEGER) AS "end", {tag_list_sql('w.feature')} AS tags
+            FROM hit h JOIN words w ON h.doc_id = w.doc_id AND h.word = w.word GROUP BY h.doc_id, h.start, h.word),
+kept AS ({sweep_sql('grouped')})
+SELECT doc_id, start, "end", tags,
+       CASE WHEN starts_with(tags, 'all_caps ') THEN string_split(tags, ' ')[2] ELSE string_split(tags, ' ')[1] END AS style_tag,
+       starts_with(tags, 'all_caps ') AS with_capitals FROM kept"""
+
+
+def _highlights(spark, sf, active=()):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    own = P.raw_tags(spans_df(spark, sf)).select("doc_id", P.tag_words().alias("tag_words"))
+    out = P.highlights(docs.join(own, "doc_id"), active=active)
+    return out.select("doc_id", "start", "end", F.array_join("tags", " ").alias("tags"), "style_tag", "with_capitals")
+
+
+@register("highlight_spans", ("FN-30", "FN-19"), sql=_highlight_sql(TAGS))
+def highlight_spans(spark, sf):
+    """Each document's own tag words, wherever they stand in its text, without overlaps."""
+    return _highlights(spark, sf)
+
+
+ACTIVE = ("all_caps", "adjectives")
+
+
+@register("highlight_active_tags", ("FN-30",), sql=_highlight_sql(ACTIVE))
+def highlight_active_tags(spark, sf):
+    return _highlights(spark, sf, ACTIVE)
+
+
+def _phrase_sql(term: str) -> str:
+    words = term.split(" ")
+    joins = "".join(f" JOIN sp s{k} ON s{k}.doc_id = w0.doc_id AND s{k}.pos = w0.pos + {2 * k - 1} AND s{k}.piece = ' '"
+                    f" JOIN sp w{k} ON w{k}.doc_id = w0.doc_id AND w{k}.pos = w0.pos + {2 * k} AND lower(w{k}.piece) = {S.q(w)}"
+                    for k, w in enumerate(words) if k)
+    return f'SELECT w0.doc_id, w0.start, w{len(words) - 1}."end" FROM sp w0{joins} WHERE lower(w0.piece) = {S.q(words[0])}'
+
+
+@register("marker_phrases", ("MRK-3",), sql=f"""
+WITH {SPANS_SQL},
+found AS ({" UNION ".join(_phrase_sql(t) for t in PHRASE_TERMS)}),
+grouped AS (SELECT *, '' AS tags FROM found),
+kept AS ({sweep_sql('grouped', '"end" DESC')})
+SELECT k.doc_id, substr(d.text, k.start + 1, k."end" - k.start) AS text, k.start, k."end" FROM kept k JOIN documents d ON k.doc_id = d.doc_id""")
+def marker_phrases(spark, sf):
+    """Words and phrases of a list; of overlapping ones the leftmost longest."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    terms = spark.createDataFrame([(t,) for t in PHRASE_TERMS], "term string")
+    return L.lexicon_spans(docs, terms, "hedging").select("doc_id", "text", "start", "end")
+
+
+@register("marker_roots", ("MRK-3", "MRK-5"), sql=f"""
+WITH {SPANS_SQL}
+SELECT doc_id, piece AS text, start, "end" FROM sp
+WHERE is_word AND ({" OR ".join(f"starts_with(lower(piece), '{t}')" for t in ROOT_TERMS)})""")
+def marker_roots(spark, sf):
+    """Words that begin with a term of a list."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    terms = spark.createDataFrame([(t,) for t in ROOT_TERMS], "term string")
+    return L.lexicon_spans(docs, terms, "hedging", match="root").select("doc_id", "text", "start", "end")

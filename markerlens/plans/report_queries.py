@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from markerlens.functions import text as T
+from markerlens.operators import search as Q
 from markerlens.plans import sqlbits as S
 from markerlens.plans.evaluate_queries import ACQ_SQL, _acquisition
 from markerlens.plans.registry import register
-from markerlens.plans.search_queries import DOCS_SQL, index
+from markerlens.plans.search_queries import DOC_SPANS_SQL, index_with_raw_tags
 from markerlens.plans.standins import ANNOTATORS, RATINGS_SQL, ratings
 from markerlens.session import table
 
@@ -62,14 +63,21 @@ def annotator_one_hot(spark, sf):
                     .alias("annotator_group"))
 
 
+_ENTRY_WORDS = ", ".join(
+    f"""CASE WHEN len({t}_words) > 0 THEN '{t.upper()}: ' || array_to_string(list_filter({t}_words, lambda w, i: list_position({t}_words, w) = i), ' ') END"""
+    for t in T.TAGS)
+
+
 @register("result_entries", ("FN-19", "FN-24", "SRCH-1"), sql=f"""
-WITH {DOCS_SQL}
-SELECT doc_id, array_to_string(list_transform(tags, lambda t: upper(t)), ',') AS tag_labels,
-       len(tags) AS n_tags, substr(text, 1, 140) AS preview FROM docs""")
+WITH {DOC_SPANS_SQL}
+SELECT docs.doc_id, array_to_string(list_transform(tags, lambda t: upper(t)), ',') AS tag_labels,
+       concat_ws('; ', {_ENTRY_WORDS}) AS tag_words, substr(docs.text, 1, 140) AS preview
+FROM docs LEFT JOIN raw ON docs.doc_id = raw.doc_id""")
 def result_entries(spark, sf):
-    docs, _ = index(spark, sf)
-    return docs.select("doc_id", F.array_join(F.transform("tags", lambda t: F.upper(t)), ",").alias("tag_labels"),
-                       F.size("tags").cast("long").alias("n_tags"), T.preview("text", 140).alias("preview"))
+    """Tags in upper case, each with the words that carry it, in the order of the text."""
+    e = Q.result_entry(index_with_raw_tags(spark, sf))
+    words = F.transform(F.map_entries("tag_words"), lambda x: F.concat(x["key"], F.lit(": "), F.array_join(x["value"], " ")))
+    return e.select("doc_id", F.array_join("tag_labels", ",").alias("tag_labels"), F.array_join(words, "; ").alias("tag_words"), "preview")
 
 
 @register("model_task_keys", ("FN-33",), sql="""

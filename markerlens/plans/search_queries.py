@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from markerlens.functions import text as T
 from markerlens.functions.lexicons import STANDIN_LEXICON
+from markerlens.operators import markers as M
 from markerlens.operators import search as Q
+from markerlens.operators import spans as P
 from markerlens.plans import sqlbits as S
-from markerlens.plans.marker_queries import ACRONYMS, PROFANITY
+from markerlens.plans.marker_queries import ACRONYMS, PROFANITY, SPANS_SQL, _inputs
 from markerlens.plans.registry import register
 from markerlens.session import table
 
@@ -95,14 +97,29 @@ def _out(df):
     return df.select("doc_id", "source", F.array_join("tags", " ").alias("tags"), F.round("score", 6).alias("score"))
 
 
+DOC_SPANS_SQL = f"""{DOCS_SQL},
+{SPANS_SQL.replace('FROM documents', 'FROM docs')},
+raw AS (SELECT doc_id, {", ".join(f"""array_to_string(list(to_json([text])[:-2] || ', ' || start || ', ' || "end" || ']' ORDER BY start)
+          FILTER (WHERE feature = '{t}'), ', ') AS {t}_spans, list(text ORDER BY start) FILTER (WHERE feature = '{t}') AS {t}_words"""
+                                  for t in T.TAGS)} FROM spans GROUP BY doc_id)"""
+_RAW_JSON = " || ', ' || ".join(f"""'"{t}": [' || coalesce({t}_spans, '') || ']'""" for t in T.TAGS)
+
+
+def index_with_raw_tags(spark, sf):
+    docs, _ = index(spark, sf)
+    lex, acr, prof = _inputs(spark)
+    return Q.with_raw_tags(docs, M.marker_spans(docs.select("doc_id", "text"), lex, acronyms=acr, profanity=prof))
+
+
 @register("search_documents", ("SRCH-1", "DED-3", "FN-4", "FN-18", "FN-24", "JN-5", "SET-1"), sql=f"""
-WITH {DOCS_SQL}
-SELECT doc_id, source, ordinal, array_to_string(tags, ' ') AS tags, doc_label, length(text) AS n_chars
-FROM docs""")
+WITH {DOC_SPANS_SQL}
+SELECT docs.doc_id, source, ordinal, array_to_string(tags, ' ') AS tags, doc_label, length(docs.text) AS n_chars,
+       docs.text AS raw_text, '{{' || {_RAW_JSON} || '}}' AS raw_tags
+FROM docs LEFT JOIN raw ON docs.doc_id = raw.doc_id""")
 def search_documents(spark, sf):
-    docs, _ = index(spark, sf)
-    return docs.select("doc_id", "source", "ordinal", F.array_join("tags", " ").alias("tags"),
-                       "doc_label", F.length("text").cast("long").alias("n_chars"))
+    docs = index_with_raw_tags(spark, sf)
+    return docs.select("doc_id", "source", "ordinal", F.array_join("tags", " ").alias("tags"), "doc_label",
+                       F.length("text").cast("long").alias("n_chars"), "raw_text", P.raw_tags_json().alias("raw_tags"))
 
 
 @register("postings", ("SRCH-2",), sql=f"""
