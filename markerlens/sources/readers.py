@@ -35,30 +35,75 @@ def _file_ordinal(df: DataFrame) -> DataFrame:
     return d.join(F.broadcast(first), "_file").withColumn("_row", F.col("_mid") - F.col("_m0")).drop("_mid", "_m0")
 
 
-def read_csv_detect_header(spark: SparkSession, path: str, wanted: Sequence[str] = ("text", "label"),
+def csv_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(source_file, rec, record, width): the records of CSV files as text, numbered from 0 in each file.
+
+    A record ends with a line after which all quotes are closed, so the number of quotes in a file up to a line tells
+    where records start; that count and the numbering are one window over a file's lines (short rows, sorted and spilled by Spark, and a
+    file is never one row). Blank lines between records don't count; line ends inside quotes become ``\\n``."""
+    paths = [path] if isinstance(path, str) else list(path)
+    lines = (spark.read.option("lineSep", "\n").text(paths)
+             .select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_mid"), F.regexp_replace("value", "\r$", "").alias("value")))
+    order = Window.partitionBy("source_file").orderBy("_block", "_mid")
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
+    before = F.coalesce(F.sum(quotes).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.when((before % 2 == 0) & (F.trim("value") != ""), 1).otherwise(0)
+    numbered = (lines.withColumn("_inside", before % 2 == 1).withColumn("_start", starts)
+                .withColumn("rec", F.sum("_start").over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+                .where(F.col("_inside") | (F.col("_start") == 1)))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_block", "_mid", "value"))), lambda x: x["value"]), "\n")
+    records = numbered.groupBy("source_file", "rec").agg(text.alias("record"))
+    # outside quotes every comma parts two fields; a doubled quote is two quoted pieces side by side
+    bare = F.regexp_replace("record", '"[^"]*"', "")
+    return records.withColumn("width", F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1)
+
+
+def csv_headers(records: DataFrame, wanted: Sequence[str], look: int = 2) -> DataFrame:
+    """(source_file, header_row, names, ok): the first of a file's first ``look`` records that holds all ``wanted`` names, else
+    the first one, and whether it holds them."""
+    first = records.where(F.col("rec") < look)
+    widest = first.agg(F.max("width")).first()[0] or 1
+    names = F.transform(_fields("record", widest), F.trim)
+    ok = F.size(F.array_except(F.array(*[F.lit(w) for w in wanted]), F.col("names"))) == 0
+    best = F.min(F.struct(~F.col("ok"), F.col("rec"), F.col("names"), F.col("ok")))
+    return (first.select("source_file", "rec", F.filter(names, lambda n: n.isNotNull()).alias("names")).withColumn("ok", ok)
+            .groupBy("source_file").agg(best.alias("b"))
+            .select("source_file", F.col("b.rec").alias("header_row"), F.col("b.names").alias("names"), F.col("b.ok").alias("ok")))
+
+
+def _fields(record: str, width: int) -> Column:
+    """A record's first ``width`` fields as an array; those that it doesn't have are null."""
+    schema = ", ".join(f"c{k} string" for k in range(width))
+    row = F.from_csv(F.col(record), F.lit(schema), {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxCharsPerColumn": "-1", "maxColumns": str(width + 1)})
+    return F.array(*[row[f"c{k}"] for k in range(width)])
+
+
+def csv_files(spark: SparkSession, path: str | Sequence[str], wanted: Sequence[str] = ("text", "label"), look: int = 2) -> DataFrame:
+    """(source_file, ok, reason) for every file, also empty ones: whether ``read_csv_detect_header`` can read it."""
+    paths = [path] if isinstance(path, str) else list(path)
+    # the file index that the reader keeps on the driver anyway; a scan would leave out empty files
+    names = spark.read.format("binaryFile").load(paths).inputFiles()
+    files = spark.createDataFrame([(n,) for n in names], "source_file string")
+    heads = csv_headers(csv_records(spark, paths), wanted, look)
+    missing = F.array_except(F.array(*[F.lit(w) for w in wanted]), F.col("names"))
+    reason = (F.when(F.col("ok").isNull(), "no records")
+              .when(~F.col("ok"), F.concat(F.lit("columns missing: "), F.array_join(missing, ", "))))
+    return files.join(heads, "source_file", "left").select("source_file", F.coalesce("ok", F.lit(False)).alias("ok"), reason.alias("reason"))
+
+
+def read_csv_detect_header(spark: SparkSession, path: str | Sequence[str], wanted: Sequence[str] = ("text", "label"),
                            look: int = 2) -> DataFrame:
-    """SRC-2 per file, the first of the first ``look`` physical rows holding all ``wanted``
-    names is the header (row 0 by default); rows after it are kept, projected to ``wanted``
-    by the header's positions. Adds ``source_file``."""
-    raw = (spark.read.option("header", False).option("multiLine", True).option("quote", '"')
-           .option("escape", '"').csv(path))
-    cols = [c for c in raw.columns]
-    d = _file_ordinal(raw.select("*", "_metadata"))
-    arr = F.array(*[F.trim(F.col(c)) for c in cols])
-    has_all = None
-    for w in wanted:
-        cond = F.array_contains(arr, w)
-        has_all = cond if has_all is None else has_all & cond
-    cand = d.where(F.col("_row") < look).select(
-        "_file", "_row", has_all.alias("_ok"), arr.alias("_names"))
-    hdr = cand.groupBy("_file").agg(
-        F.coalesce(F.min(F.when(F.col("_ok"), F.col("_row"))), F.lit(0)).alias("_hrow"),
-        F.collect_list(F.struct("_row", "_names")).alias("_c"))
-    hdr = hdr.select("_file", "_hrow", F.filter("_c", lambda s: s["_row"] == F.col("_hrow"))[0]["_names"].alias("_names"))
-    body = d.join(F.broadcast(hdr), "_file").where(F.col("_row") > F.col("_hrow"))
-    out = [F.element_at(F.array(*[F.col(c) for c in cols]), F.array_position("_names", w).cast("int")).alias(w)
-           for w in wanted]
-    return body.select(*out, F.col("_file").alias("source_file"))
+    """SRC-2 per file, the first of the first ``look`` records holding all ``wanted`` names is the header; rows after it
+    are kept, projected to ``wanted`` by the header's positions, whatever the widths of the files. Adds ``source_file`` and ``source_row``
+    (the record's number in its file). Files without such a header give no rows (``csv_files`` names them)."""
+    records = csv_records(spark, path)
+    heads = csv_headers(records, wanted, look).where("ok")
+    place = [F.array_position("names", w).cast("int").alias(f"_p{k}") for k, w in enumerate(wanted)]
+    heads = heads.select("source_file", "header_row", *place)
+    most = heads.agg(F.max(F.greatest(*[f"_p{k}" for k in range(len(wanted))], F.lit(1)))).first()[0] or 1
+    body = records.join(heads, "source_file").where(F.col("rec") > F.col("header_row")).withColumn("_f", _fields("record", most))
+    return body.select(*[F.get("_f", F.col(f"_p{k}") - 1).alias(w) for k, w in enumerate(wanted)], "source_file", F.col("rec").alias("source_row"))
 
 
 def read_corpus_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -24,6 +24,27 @@ def test_header_detection(spark, tmpdir_path):
     assert got == [("first", "1"), ("hello, world", "0"), ("multi\nline", "1"), ("second", "0")]
 
 
+def test_files_of_different_widths(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "widths")
+    os.makedirs(d)
+    write(f"{d}/a.csv", "One title cell\na,b,c,label,d,text\n1,2,3,0,5,\"six, \"\"6\"\"\n\nstill six\"\n\n1,2,3,1,5,short\n")
+    write(f"{d}/b.csv", "text,label\nplain,1\nonly text\n\"\",0\n")
+    write(f"{d}/c.csv", "no,header\nhere,at all\n")
+    write(f"{d}/e.csv", "x\ny\ntext,label\nlate,1\n")
+    write(f"{d}/f.csv", "")
+    write(f"{d}/g.csv", "label,text\n" + "".join(f"{k % 2},\"row {k}\nof \"\"many\"\", with a comma\"\n" for k in range(3000)))
+    got = R.read_csv_detect_header(spark, d).cache()
+    by = {}
+    for r in got.orderBy("source_row").collect():
+        by.setdefault(os.path.basename(r["source_file"]), []).append((r["text"], r["label"]))
+    many = by.pop("g.csv")
+    assert by == {"a.csv": [('six, "6"\n\nstill six', "0"), ("short", "1")], "b.csv": [("plain", "1"), ("only text", None), (None, "0")]}
+    assert many == [(f'row {k}\nof "many", with a comma', str(k % 2)) for k in range(3000)]
+    told = {os.path.basename(r["source_file"]): (r["ok"], r["reason"]) for r in R.csv_files(spark, d).collect()}
+    assert told["c.csv"] == told["e.csv"] == (False, "columns missing: text, label") and told["f.csv"] == (False, "no records")
+    assert all(told[f"{k}.csv"] == (True, None) for k in "abg")
+
+
 def test_manifest_and_corpus_csv(spark, tmpdir_path):
     m = write(os.path.join(tmpdir_path, "m.csv"), "filename,url\na, https://x/a.csv\nb,https://x/b.csv\n")
     assert [r["url"] for r in R.read_manifest(spark, m).collect()] == ["https://x/a.csv", "https://x/b.csv"]
