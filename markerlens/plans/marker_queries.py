@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from markerlens.functions.lexicons import STANDIN_LEXICON
@@ -11,7 +13,8 @@ from markerlens.operators import markers as M
 from markerlens.operators import spans as P
 from markerlens.plans import sqlbits as S
 from markerlens.plans.registry import register
-from markerlens.session import table
+from markerlens.session import ensure_checkpoint_dir, table
+from markerlens.sources import readers as R
 
 # Stand-in word lists (parameters of the marker rules; the data is the documents table).
 ACRONYMS = ("USA", "UK", "EU", "UN", "NATO", "FBI", "CEO", "TV", "IT")
@@ -210,3 +213,28 @@ def marker_roots(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     terms = spark.createDataFrame([(t,) for t in ROOT_TERMS], "term string")
     return L.lexicon_spans(docs, terms, "hedging", match="root").select("doc_id", "text", "start", "end")
+
+
+_ROUND_TRIP_TAGS = "UNION ALL".join(f"""
+SELECT a.annotator, d.doc_id AS item_id, '{t}' AS feature,
+       coalesce((SELECT string_agg(text || '@' || start || '-' || "end", ' ' ORDER BY start) FROM spans s
+                 WHERE s.doc_id = d.doc_id AND s.feature = '{t}' AND (a.annotator = 'rules' OR s.start < 200)), '') AS spans
+FROM documents d, (VALUES ('rules'), ('beginnings')) a(annotator)
+""" for t in TAGS)
+
+
+@register("annotation_round_trip", ("SRC-8", "SNK-3", "AGG-14", "FN-2", "SRC-13"), sql=f"""
+WITH {SPANS_SQL}
+{_ROUND_TRIP_TAGS}""")
+def annotation_round_trip(spark, sf):
+    """Two annotators' spans of every document (all rule spans, and those of its beginning), written as annotation files and read as ratings."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    spans = spans_df(spark, sf)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/annotations-{uuid.uuid4().hex}"
+    for annotator, own in (("rules", spans), ("beginnings", spans.where(F.col("start") < 200))):
+        tagged = docs.join(P.raw_tags(own), "doc_id", "left").withColumn("raw_tags", F.coalesce("raw_tags", P.no_raw_tags()))
+        arrays = [F.transform(F.col("raw_tags")[t], lambda s: F.array(s["text"], s["start"].cast("string"), s["end"].cast("string"))).alias(t) for t in TAGS]
+        tagged.select(F.col("doc_id").alias("ID"), F.col("text").alias("Text"), *arrays).write.json(f"{folder}/{annotator}_annotations_cleaned.json")
+    long = R.read_annotators(spark, f"{folder}/*_annotations_cleaned.json", lines=True)
+    shown = F.array_join(F.transform("spans", lambda s: F.concat(s["text"], F.lit("@"), s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))), " ")
+    return long.select("annotator", "item_id", "feature", shown.alias("spans"))

@@ -84,8 +84,9 @@ def csv_files(spark: SparkSession, path: str | Sequence[str], wanted: Sequence[s
     paths = [path] if isinstance(path, str) else list(path)
     # the file index that the reader keeps on the driver anyway; a scan would leave out empty files
     names = spark.read.format("binaryFile").load(paths).inputFiles()
-    files = spark.createDataFrame([(n,) for n in names], "source_file string")
-    heads = csv_headers(csv_records(spark, paths), wanted, look)
+    same = lambda c: F.regexp_replace(c, "^file:/+", "file:/")  # noqa: E731  one spelling of local paths
+    files = spark.createDataFrame([(n,) for n in names], "source_file string").withColumn("source_file", same("source_file"))
+    heads = csv_headers(csv_records(spark, paths), wanted, look).withColumn("source_file", same("source_file"))
     missing = F.array_except(F.array(*[F.lit(w) for w in wanted]), F.col("names"))
     reason = (F.when(F.col("ok").isNull(), "no records")
               .when(~F.col("ok"), F.concat(F.lit("columns missing: "), F.array_join(missing, ", "))))
@@ -182,27 +183,41 @@ def flatten_span_export(df: DataFrame, tags: Sequence[str] = TAGS) -> DataFrame:
     return df.select(*cols)
 
 
-def read_annotators(spark: SparkSession, glob: str, suffix: str = "_annotations_cleaned.json",
-                    tags: Sequence[str] = TAGS) -> DataFrame:
-    """SRC-8 many annotators' flat files → long ratings (annotator, item_id, text, feature,
-    spans, category). Annotator = file name minus ``suffix``. Records are parsed as string maps,
-    so ``ID``/``id``/``Unnamed: 0`` stay distinct whatever the session's case sensitivity, and
-    spans arrive as mixed arrays ``[text, start, end]`` (``array<array<string>>``, no loss)."""
-    files = spark.read.option("wholetext", True).text(glob).select("value", "_metadata")
-    recs = files.select(F.col("_metadata.file_name").alias("_name"),
-                        F.explode(F.from_json("value", Ty.ArrayType(Ty.MapType(Ty.StringType(), Ty.StringType()))))
-                        .alias("m"))
-    m = F.col("m")
-    annotator = F.regexp_replace(F.col("_name"), suffix.replace(".", "\\.") + "$", "")
-    item = F.coalesce(m["ID"], m["id"], m["Unnamed: 0"]).try_cast("long")
+def read_annotators(spark: SparkSession, glob: str | Sequence[str], suffix: str = "_annotations_cleaned.json",
+                    tags: Sequence[str] = TAGS, lines: bool = False, repair_ids: bool = False) -> DataFrame:
+    """SRC-8 many annotators' flat files → long ratings (annotator, item_id, text, feature, spans, category).
+
+    The annotator is the name of the file, or of the folder that Spark wrote in its place, minus ``suffix``. Files hold
+    one JSON array, or with ``lines`` one record a line; a record is a row either way. Of records with the same annotator, id and text the first one
+    stays. A null id stays null (``without_id`` puts such rows aside), or becomes 0 with ``repair_ids`` (FN-2).
+    Spans arrive as mixed arrays ``[text, start, end]``, also with numbers as text.
+    """
+    keys = ("ID", "id", "Unnamed: 0", "Text", "text")
+    # these names differ in case only, which this session alone has to tell apart
+    exact = spark.newSession()
+    exact.conf.set("spark.sql.caseSensitive", "true")
+    schema = Ty.StructType([Ty.StructField(k, Ty.StringType()) for k in (*keys, *tags)])
+    raw = exact.read.schema(schema).option("multiLine", not lines).json([glob] if isinstance(glob, str) else list(glob))
+    name = F.regexp_extract(F.col("_metadata.file_path"), f"([^/]+){suffix.replace('.', chr(92) + '.')}(?:/[^/]*)?$", 1)
+    item = F.coalesce(F.col("ID"), F.col("id"), F.col("`Unnamed: 0`")).try_cast("long")
+    recs = raw.select(F.url_decode(name).alias("annotator"), (F.coalesce(item, F.lit(0)) if repair_ids else item).alias("item_id"),
+                      F.coalesce(F.col("Text"), F.col("text")).alias("text"), F.struct(*tags).alias("_tags"),
+                      F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                      F.monotonically_increasing_id().alias("_mid"))
+    first = Window.partitionBy("annotator", "item_id", F.sha2("text", 256)).orderBy("_file", "_block", "_mid")
+    recs = recs.withColumn("_rn", F.row_number().over(first)).where("_rn = 1")
     arr = Ty.ArrayType(Ty.ArrayType(Ty.StringType()))
     per_tag = F.array(*[F.struct(F.lit(t).alias("feature"),
-                                 spans_from_arrays(F.from_json(m[t], arr)).alias("spans")) for t in tags])
-    long = recs.select(annotator.alias("annotator"), item.alias("item_id"),
-                       F.coalesce(m["Text"], m["text"]).alias("text"), F.inline(per_tag))
+                                 spans_from_arrays(F.from_json(F.col("_tags")[t], arr)).alias("spans")) for t in tags])
+    long = recs.select("annotator", "item_id", "text", F.inline(per_tag))
     return long.withColumn("category", F.when(F.col("spans").isNotNull(), T.spans_key("spans")))
 
 
+def without_id(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ratings with an item id, and those without one, which nothing can align."""
+    return ratings.where(F.col("item_id").isNotNull()), ratings.where(F.col("item_id").isNull())
+
+
 def spans_from_arrays(c: Column) -> Column:
     """SRC-13 mixed arrays ``[text, start, end]`` → ``array<struct<text,start,end>>``."""
     return F.transform(c, lambda a: F.struct(a[0].alias("text"), a[1].try_cast("int").alias("start"),

@@ -89,6 +89,28 @@ def test_annotators_and_consolidated(spark, tmpdir_path):
     assert row["doc_label"] == "1" and row["hedging"][0]["start"] == 0 and row["hedging"][0]["text"] == "maybe"
 
 
+def test_annotator_records_are_rows_and_the_first_stays(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "many")
+    os.makedirs(f"{d}/cy_annotations_cleaned.json")
+    recs = [{"ID": k // 2, "Text": f"t{k // 2}", "hedging": [[f"w{k}", k, k + 2]], "unk": None} for k in range(2000)]
+    write(f"{d}/al_annotations_cleaned.json", json.dumps(recs))  # one line, one array
+    write(f"{d}/bo_annotations_cleaned.json", json.dumps([
+        {"Unnamed: 0": None, "id": None, "text": "no id", "hedging": []}, {"id": 7, "Text": "t", "hedging": [["a", 0, 1]]},
+        {"id": 7, "Text": "other", "hedging": [["b", 0, 1]]}, {"id": 7, "Text": "t", "hedging": [["c", 0, 1]]}], indent=2))
+    write(f"{d}/cy_annotations_cleaned.json/part-0.json", json.dumps(recs[0]) + "\n" + json.dumps({"id": None, "text": None}) + "\n")
+    arrays = [f"{d}/al_annotations_cleaned.json", f"{d}/bo_annotations_cleaned.json"]
+    long = R.read_annotators(spark, arrays).where("feature = 'hedging'").cache()
+    al = {r["item_id"]: r["spans"] for r in long.where("annotator = 'al'").collect()}
+    assert len(al) == 1000 and all(s[0]["text"] == f"w{2 * k}" and s[0]["start"] == 2 * k for k, s in al.items())
+    whole, aside = R.without_id(long.where("annotator = 'bo'"))
+    assert sorted((r["item_id"], r["text"], r["spans"][0]["text"]) for r in whole.collect()) == [(7, "other", "b"), (7, "t", "a")]
+    assert [(r["text"], r["spans"]) for r in aside.collect()] == [("no id", [])]
+    zero = R.read_annotators(spark, arrays[1], repair_ids=True)
+    assert {r["item_id"] for r in zero.collect()} == {0, 7}
+    cy = R.read_annotators(spark, f"{d}/cy_annotations_cleaned.json", lines=True).where("feature = 'hedging'")
+    assert sorted((r["annotator"], r["item_id"] or -1, r["category"] is None) for r in cy.collect()) == [("cy", -1, False), ("cy", -1, True)]
+
+
 def test_feed_vectors_lexicon(spark, tmpdir_path):
     x = write(os.path.join(tmpdir_path, "feed.xml"),
               "<rss><channel><item><title>Hello</title><link> https://n/1 </link></item>"
