@@ -57,17 +57,22 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("canon").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = lasts.select("canon", "bucket", F.max("last").over(earlier).alias("carried"))
     found = (near.join(carried, ["canon", "bucket"])
-             .select("record_id", "ts", F.coalesce("near", "carried")["record_id"].alias("response_id")).where("response_id IS NOT NULL").distinct())
+             .select("record_id", "canon", "ts", F.coalesce("near", "carried").alias("full")).where("full IS NOT NULL").distinct()
+             .select("record_id", "canon", "ts", F.col("full.record_id").alias("response_id"), F.col("full.ts").alias("r_ts")))
     revisits = rows.where("kind = 'revisit'").select("record_id", "canon", "ts", "etag", "last_modified", "headers")
-    full = (rows.where("kind = 'response'").dropDuplicates(["record_id"])
-            .select(F.col("record_id").alias("response_id"), F.col("etag").alias("r_etag"),
+    # a response is named by its id, URL and time together, as ids may repeat
+    full = (rows.where("kind = 'response'").dropDuplicates(["record_id", "canon", "ts"])
+            .select(F.col("record_id").alias("f_id"), F.col("canon").alias("f_canon"), F.col("ts").alias("f_ts"), F.col("etag").alias("r_etag"),
                     F.col("last_modified").alias("r_modified"), F.col("headers").alias("r_headers")))
     # found first, so that the unresolved do not meet under one null key
-    joined = revisits.join(found.join(full, "response_id"), ["record_id", "ts"], "left")
+    resolved = found.join(full, F.col("response_id").eqNullSafe(F.col("f_id")) & (F.col("canon") == F.col("f_canon")) & (F.col("r_ts") == F.col("f_ts"))).select(
+        F.col("record_id").alias("w_id"), F.col("canon").alias("w_canon"), F.col("ts").alias("w_ts"), F.lit(True).alias("has_full"),
+        "response_id", "r_etag", "r_modified", "r_headers")
+    joined = revisits.join(resolved, F.col("record_id").eqNullSafe(F.col("w_id")) & (F.col("canon") == F.col("w_canon")) & (F.col("ts") == F.col("w_ts")), "left")
     weak = lambda c: F.regexp_replace(F.trim(c), "^W/", "")
     agrees = F.when(F.col("etag").isNotNull(), F.coalesce(weak(F.col("etag")) == weak(F.col("r_etag")), F.lit(False))) \
         .otherwise(F.coalesce(F.col("last_modified") == F.col("r_modified"), F.lit(False)))
-    status = F.when(F.col("response_id").isNull(), "no_earlier_response").when(agrees, "resolved").otherwise("validator_mismatch")
+    status = F.when(F.col("has_full").isNull(), "no_earlier_response").when(agrees, "resolved").otherwise("validator_mismatch")
     lowered = lambda c: F.transform_keys(c, lambda k, _: F.lower(k))
     renewed = F.map_filter(lowered(F.col("headers")), lambda k, _: ~k.isin(*KEPT_HEADERS))
     old = F.map_filter(lowered(F.col("r_headers")), lambda k, _: ~F.map_contains_key(renewed, k))

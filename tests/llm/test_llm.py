@@ -412,6 +412,26 @@ def test_revisits(spark):
     assert got[3]["headers"] == {"etag": '"a"', "content-type": "text/html", "content-length": "9", "x": "1"}
 
 
+def test_revisits_with_repeated_ids(spark):
+    h = {"ETag": "x"}
+    recs = [(1, "http://x.com/a", 10, "response", '"a"', None, h), (1, "http://x.com/b", 10, "response", '"b"', None, h),
+            (1, "http://x.com/a", 20, "response", '"c"', None, h), (None, "http://x.com/n", 5, "response", '"n"', None, h),
+            (7, "http://x.com/a", 15, "revisit", '"a"', None, {}), (7, "http://x.com/b", 15, "revisit", '"b"', None, {}),
+            (8, "http://x.com/a", 30, "revisit", '"c"', None, {}), (9, "http://x.com/a", 15, "revisit", '"c"', None, {}),
+            (None, "http://x.com/a", 15, "revisit", '"a"', None, {}), (10, "http://x.com/n", 9, "revisit", '"n"', None, {}),
+            (11, "http://x.com/a", 15, "revisit", '"a"', None, {}), (11, "http://x.com/a", 15, "revisit", '"a"', None, {})]
+    df = spark.createDataFrame(recs, "record_id long, url string, ts long, kind string, etag string, last_modified string, headers map<string,string>")
+    assert collected(warc_revisits.resolve_revisits(df), ("record_id", "canon", "status")) == sorted([
+        (7, "x.com/a", "resolved"), (7, "x.com/b", "resolved"), (8, "x.com/a", "resolved"), (9, "x.com/a", "validator_mismatch"),
+        (None, "x.com/a", "resolved"), (10, "x.com/n", "resolved"), (11, "x.com/a", "resolved"), (11, "x.com/a", "resolved")], key=repr)
+
+
+def test_short_benchmark_items_with_null_ids(spark):
+    docs = spark.createDataFrame([(1, "so here the short item words stand"), (2, "nothing of it")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "the short item words"), (4, "the short item words"), (4, "the short item words")], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.leaks(docs, bench).collect()} == {1}
+
+
 def test_empty_tables(spark, none):
     path = public_tokenizers.path
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
