@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from markerlens.operators.ordering import with_scalars
+
 # Kappa interpretation bands (upper bounds, exclusive) and their names.
 KAPPA_BANDS = ((0.0, "Poor"), (0.20, "Slight"), (0.40, "Fair"), (0.60, "Moderate"), (0.80, "Substantial"))
 TOP_BAND = "Almost Perfect"
@@ -63,9 +65,10 @@ def _kappa_from_items(items: DataFrame, by: list[str]) -> DataFrame:
 def one_rating(ratings: DataFrame) -> DataFrame:
     """One row per (annotator, item, feature): the first by ``ord`` where there is one. Rows without an
     item id are no ratings of one common item and are put aside."""
-    pick = F.struct("ord", "category") if "ord" in ratings.columns else F.struct("category")
+    # without ``ord`` the least category; a null is no rating and gives way to one
+    pick = F.min(F.struct("ord", "category"))["category"] if "ord" in ratings.columns else F.min("category")
     return (ratings.where(F.col("item_id").isNotNull()).groupBy("annotator", "item_id", "feature")
-            .agg(F.min(pick)["category"].alias("category")))
+            .agg(pick.alias("category")))
 
 
 def fleiss(ratings: DataFrame, by: Sequence[str] = ("feature",), exclude_annotators: Sequence[str] = (),
@@ -123,43 +126,66 @@ def fleiss_overall(ratings: DataFrame, exclude_annotators: Sequence[str] = ()) -
     return res.select("kappa", kappa_band("kappa").alias("agreement"), F.col("items_used").alias("pairs"), "raters")
 
 
-def annotator_list(ratings: DataFrame) -> list[str]:
-    """The annotator vocabulary: the result has a row per pair of these names, so it is small by nature."""
-    return sorted(r[0] for r in ratings.where(F.col("annotator").isNotNull()).select("annotator").distinct().collect())
+#: Raters of one item that stand in a block; a work unit holds two blocks at most.
+BLOCK_RATERS = 256
+#: Parts that the ratings of an item with more raters are spread over while they learn its number of blocks.
+SALTS = 64
+
+
+def rater_pairs(rows: DataFrame, group: Sequence[str], block: int = BLOCK_RATERS, salts: int = SALTS) -> DataFrame:
+    """JN-1 (group…, annotator_1, annotator_2, c1, c2) for the rows (group…, annotator, category) of each group,
+    annotator_1 < annotator_2; an annotator stands in a group once.
+
+    A group of more than ``block`` raters is dealt into hash blocks, and two blocks are a work unit, so a
+    group of any size is the work of many tasks. The number of blocks reaches the rows by a join on the
+    group and a salt: the rows of a large group do not meet in one task there either.
+    """
+    group = list(group)
+    salt = F.pmod(F.xxhash64("annotator", F.lit(1)), F.lit(salts)).cast("int").alias("_salt")
+    large = (rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block)
+             .select(*group, F.ceil(F.col("_n") / block).cast("int").alias("_blocks"),
+                     F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")))
+    dealt = (rows.select(*group, "annotator", "category", salt).join(large, [*group, "_salt"], "left")
+             .select(*group, "annotator", "category", F.coalesce("_blocks", F.lit(1)).alias("_blocks"))
+             .withColumn("_blk", F.pmod(F.xxhash64("annotator"), F.col("_blocks")).cast("int")))
+    units = (dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_o"))
+             .groupBy(*group, F.least("_blk", "_o").alias("_ua"), F.greatest("_blk", "_o").alias("_ub"))
+             .agg(F.array_sort(F.collect_list(F.struct("annotator", "category", "_blk"))).alias("_r")))
+    # two different blocks: only pairs across them, the others have units of their own
+    ones = units.select(*group, "_ua", "_ub", "_r", F.posexplode("_r").alias("_i", "_a"))
+    after = F.filter(F.slice("_r", F.col("_i") + 2, F.size("_r")),
+                     lambda b: (F.col("_ua") == F.col("_ub")) | (b["_blk"] != F.col("_a._blk")))
+    pairs = ones.select(*group, "_a", F.explode(after).alias("_b"))
+    return pairs.select(*group, F.col("_a.annotator").alias("annotator_1"), F.col("_b.annotator").alias("annotator_2"),
+                        F.col("_a.category").alias("c1"), F.col("_b.category").alias("c2"))
 
 
 def cohen_pairwise(ratings: DataFrame, annotators: Sequence[str] | None = None,
                    min_items: int = 2) -> DataFrame:
     """AGG-20 Cohen kappa for every annotator pair (a < b) and feature, on aligned items.
 
-    Each (feature, item) gathers its own present ratings, sorted by annotator, and emits their
-    pairs: the work follows the raters that an item has, not all annotators. Pairs with fewer
-    than ``min_items`` aligned items, or with expected agreement 1, give a null kappa.
+    The raters of an item are paired block by block (``rater_pairs``) and counted map-side per annotator pair and
+    pair of categories. Pairs with fewer than ``min_items`` aligned items, or with expected agreement 1, give a
+    null kappa; a pair without a common item has a row too, for each feature of the table.
     """
-    names = list(annotators) if annotators is not None else annotator_list(ratings)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
-    if not pairs:
-        schema = "feature string, annotator_1 string, annotator_2 string, n_items long, kappa double"
-        return ratings.sparkSession.createDataFrame([], schema)
-    rated = one_rating(ratings).where(F.col("category").isNotNull() & F.col("annotator").isin(*names))
-    items = rated.groupBy("feature", "item_id").agg(F.array_sort(F.collect_list(F.struct("annotator", "category"))).alias("_r"))
-    others = items.select("feature", "_r", F.posexplode("_r").alias("_i", "_a"))
-    aligned = others.select("feature", F.col("_a.annotator").alias("annotator_1"), F.col("_a.category").alias("c1"),
-                            F.explode(F.slice("_r", F.col("_i") + 2, F.size("_r"))).alias("_b")) \
-        .select("feature", "annotator_1", F.col("_b.annotator").alias("annotator_2"), "c1", F.col("_b.category").alias("c2"))
+    named = ratings.where(F.col("annotator").isNotNull())
+    if annotators is not None:
+        named = named.where(F.col("annotator").isin(*annotators))
+    rated = one_rating(named).where(F.col("category").isNotNull())
     keys = ["feature", "annotator_1", "annotator_2"]
     # joint table: one row per (feature, pair, category of 1, category of 2) — small.
-    joint = aligned.groupBy(*keys, "c1", "c2").agg(F.count(F.lit(1)).alias("c"))
+    joint = rater_pairs(rated, ["feature", "item_id"]).groupBy(*keys, "c1", "c2").agg(F.count(F.lit(1)).alias("c"))
     obs = joint.groupBy(*keys).agg(F.sum("c").alias("n_items"),
                                    F.sum(F.when(F.col("c1") == F.col("c2"), F.col("c")).otherwise(0)).alias("agree"))
     m1 = joint.groupBy(*keys, F.col("c1").alias("category")).agg(F.sum("c").alias("m1"))
     m2 = joint.groupBy(*keys, F.col("c2").alias("category")).agg(F.sum("c").alias("m2"))
     exp = m1.join(m2, keys + ["category"], "inner").groupBy(*keys).agg(
         F.sum(F.col("m1") * F.col("m2")).alias("_e"))
-    # Every (feature, pair) appears, null kappa where the pair shares no items: the fixed
-    # pair list is inlined per feature (no join).
-    grid = ratings.select("feature").distinct().select("feature", F.inline(F.array(*[
-        F.struct(F.lit(a).alias("annotator_1"), F.lit(b).alias("annotator_2")) for a, b in pairs])))
+    # every (feature, pair) is a row of the result: the annotators of the table are paired like the raters of one item
+    names = named.select("annotator").distinct().select(F.lit(0).alias("_g"), "annotator", F.lit("").alias("category"))
+    features = ratings.agg(F.collect_set("feature").alias("_features"))  # one row
+    grid = (with_scalars(rater_pairs(names, ["_g"]).select("annotator_1", "annotator_2"), features)
+            .select(F.explode("_features").alias("feature"), "annotator_1", "annotator_2"))
     res = grid.join(obs, keys, "left").join(exp, keys, "left")
     n = F.col("n_items")
     p_o = F.col("agree") / n

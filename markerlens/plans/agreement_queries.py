@@ -237,3 +237,43 @@ def assignment_range_join(spark, sf):
     joined = K.range_assignment(items, ranges)
     return joined.groupBy("annotator").agg(F.count(F.lit(1)).alias("n_assigned"),
                                            F.min("item_id").alias("first_item"), F.max("item_id").alias("last_item"))
+
+
+# The reference's own rule: items 0 to 40 by vote, the others by rank.
+TRUTH_RANGES = ((0, 40, "vote"), (41, None, "ranked"))
+
+
+def with_texts(r):
+    """Stand-in span texts of a rating: the words in the brackets of its category."""
+    inner = F.expr("substring(category, 2, length(category) - 2)")
+    return r.withColumn("texts", F.when(F.length("category") > 2, F.split(inner, ";")).otherwise(F.array().cast("array<string>")))
+
+
+@register("consolidated", ("FLT-6", "SET-1", "JN-13", "WIN-1", "WIN-2", "WIN-3", "FN-22"), sql=f"""
+WITH {RATINGS_SQL},
+{COHEN_SQL},
+{RANKING_SQL},
+rows0 AS (
+  SELECT annotator, item_id, min(ord) AS ord, {_ROW_COLS},
+         flatten(list(CASE WHEN length(category) > 2 THEN string_split(substring(category, 2, length(category) - 2), ';')
+                           ELSE [] END)) AS texts
+  FROM ratings GROUP BY annotator, item_id),
+rows_ AS (SELECT *, CAST(to_json(list_sort(texts)) AS VARCHAR) AS vote_key FROM rows0),
+cast_ AS (SELECT r.*, coalesce(k.rank, {1 << 30}) AS rk, count(*) OVER (PARTITION BY item_id, vote_key) AS n,
+                 min(ord) OVER (PARTITION BY item_id, vote_key) AS first_ord
+          FROM rows_ r LEFT JOIN ranking k ON r.annotator = k.annotator),
+top AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY n DESC, first_ord, ord) AS rn FROM cast_),
+best AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY rk, ord) AS rn FROM cast_),
+voted AS (SELECT * FROM top WHERE rn = 1 AND item_id BETWEEN 0 AND 40 AND n >= 2),
+picked AS (
+  SELECT item_id, 'vote' AS rule, 'majority' AS method, 'Majority Vote' AS annotator, vote_key, {_KEY_LIST} FROM voted
+  UNION ALL
+  SELECT item_id, 'vote', 'ranked', 'Majority Vote', vote_key, {_KEY_LIST} FROM best
+  WHERE rn = 1 AND item_id BETWEEN 0 AND 40 AND item_id NOT IN (SELECT item_id FROM voted)
+  UNION ALL
+  SELECT item_id, 'ranked', 'ranked', annotator, vote_key, {_KEY_LIST} FROM best WHERE rn = 1 AND item_id >= 41)
+SELECT p.*, t.n AS votes FROM picked p JOIN top t ON p.item_id = t.item_id AND t.rn = 1""")
+def consolidated(spark, sf):
+    rows = K.annotation_rows(with_texts(ratings(spark, sf)))
+    ranges = spark.createDataFrame(TRUTH_RANGES, "lo long, hi long, rule string")
+    return K.consolidated(rows, _ranking(spark, sf), ranges)

@@ -132,3 +132,57 @@ def test_same_spans_in_other_order_agree(spark):
                                f"annotator string, item_id long, spans {sp}")
     keys = [r[0] for r in df.select(T.spans_key("spans")).collect()]
     assert keys[0] == keys[1]
+
+
+def test_cohen_of_an_item_with_many_raters_is_dealt_into_blocks(spark, monkeypatch):
+    import random
+    r = random.Random(8)
+    pairs = A.rater_pairs
+    monkeypatch.setattr(A, "rater_pairs", lambda rows, group: pairs(rows, group, block=4, salts=3))
+    data = [(f"r{k:02d}", item, "f", r.choice("abc"), 100 * item + k) for item, n in ((1, 23), (2, 30), (3, 4), (4, 17)) for k in range(n)]
+    data += [("r00", 1, "f", "z", 5000), (None, 1, "f", "a", 5001), ("r01", None, "f", "a", 5002), ("r02", 5, "f", None, 5003)]
+    got = A.cohen_pairwise(spark.createDataFrame(data, SCHEMA).repartition(3)).collect()
+    votes = {}
+    for a, item, _, c, _ in reversed(data):
+        if a and item and c:
+            votes[a, item] = c
+    names = sorted({a for a, _ in votes})
+    assert len(got) == len(names) * (len(names) - 1) // 2
+    for row in got:
+        both = [i for i in range(1, 5) if (row.annotator_1, i) in votes and (row.annotator_2, i) in votes]
+        want = cohen_py(*([votes[a, i] for i in both] for a in (row.annotator_1, row.annotator_2))) if len(both) > 1 else None
+        assert row.n_items == len(both)
+        assert row.kappa is None if want is None else row.kappa == pytest.approx(want)
+
+
+def test_a_null_rating_gives_way_without_an_order(spark):
+    df = spark.createDataFrame([("p", 1, "f", None), ("p", 1, "f", "b"), ("p", 1, "f", "c")], "annotator string, item_id long, feature string, category string")
+    assert [r.category for r in A.one_rating(df).collect()] == ["b"]
+
+
+def test_range_assignment_equals_all_comparisons(spark):
+    import random
+    r = random.Random(9)
+    items = sorted({r.choice([r.randrange(-50, 50), r.randrange(5000), 10 ** 15 + r.randrange(9)]) for _ in range(400)})
+    ranges = [(a, a + r.choice([0, 3, 40, 3000, 10 ** 15]), f"n{k}") for k, a in enumerate(r.randrange(-60, 5000) for _ in range(40))]
+    ranges += [(None, 7, "low"), (4000, None, "high"), (None, None, "all"), (9, 3, "none"), (10 ** 17, 10 ** 18, "beyond")]
+    got = K.range_assignment(spark.createDataFrame([(i,) for i in items], "item_id long"), spark.createDataFrame(ranges, "lo long, hi long, name string"))
+    want = [(i, n) for i in items for lo, hi, n in ranges if (lo is None or i >= lo) and (hi is None or i <= hi)]
+    assert sorted((x.item_id, x.name) for x in got.collect()) == sorted(want)
+
+
+def test_truth_set_routes_items_by_range(spark):
+    sp = "array<struct<text:string,start:int,end:int>>"
+    one, moved, other = [("so", 0, 2)], [("so", 9, 11)], [("no", 0, 2)]
+    data = [("a", 1, one), ("b", 1, moved), ("c", 1, other),           # same texts at other places: a majority
+            ("a", 2, one), ("b", 2, other), ("c", 2, None),            # none: the best-ranked annotator
+            ("x", 50, one), ("b", 50, one), ("c", 50, other),          # by rank, whatever the votes
+            ("x", 51, other), ("a", -1, one), ("a", None, one)]
+    df = spark.createDataFrame([(a, i, "unk", o, s) for o, (a, i, s) in enumerate(data)], f"annotator string, item_id long, feature string, ord long, spans {sp}")
+    from markerlens.functions import text as T
+    rows = K.annotation_rows(df.withColumn("category", T.spans_key("spans")).withColumn("texts", K.span_texts("spans")), ["unk"])
+    ranking = spark.createDataFrame([("c", 1), ("b", 2), ("a", 3)], "annotator string, rank int")
+    ranges = spark.createDataFrame([(0, 40, "vote"), (41, None, "ranked")], "lo long, hi long, rule string")
+    got = {r.item_id: (r.rule, r.method, r.annotator, r.vote_key, r.votes) for r in K.consolidated(rows, ranking, ranges, ["unk"]).collect()}
+    assert got == {1: ("vote", "majority", "Majority Vote", '["so"]', 2), 2: ("vote", "ranked", "Majority Vote", "[]", 1),
+                   50: ("ranked", "ranked", "c", '["no"]', 2), 51: ("ranked", "ranked", "x", '["no"]', 1)}
