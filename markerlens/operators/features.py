@@ -12,13 +12,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from markerlens.functions import text as T
+from markerlens.operators import agreement as A
 from markerlens.operators.corpus import occurrence_key
 from markerlens.operators.markers import sized_join
 from markerlens.operators.ordering import contiguous_index, with_scalars
+from markerlens.session import checkpointed
 
 PAD_ID, OOV_ID = 0, 1
 PAD, OOV = "<PAD>", "<OOV>"
@@ -136,6 +140,43 @@ def standardise_apply(df: DataFrame, fit: DataFrame, cols: Sequence[str]) -> Dat
     return j.select(*out)
 
 
+# ---------------------------------------------------------------- augmented training set (ML-13)
+
+def replace_labels(rows: DataFrame, labels: DataFrame, cols: Sequence[str], key: str = "id") -> DataFrame:
+    """The rows with ``cols`` taken from ``labels`` alone (null where it has no row for the key). Of several
+    label rows of a key the least counts, so no row is doubled; a null key meets no label."""
+    one = labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*cols)).alias("_l"))
+    return (rows.drop(*cols).join(one, key, "left")
+            .select(*[c for c in rows.columns if c not in cols], *[F.col(f"_l.{c}").alias(c) for c in cols]))
+
+
+def binarised(rows: DataFrame, tags: Sequence[str], annotator: str, annotators: Sequence[str], split: str = "train") -> DataFrame:
+    """Extra annotated rows in the shape of training rows: ``<tag>_bin`` flags (FN-15), the constant annotator with
+    its 0/1 columns (FN-16) and the split."""
+    return rows.withColumns({**{f"{t}_bin": A.is_present(t).cast("int") for t in tags}, "annotator": F.lit(annotator),
+                             **{a: F.lit(int(a == annotator)) for a in annotators}, "split": F.lit(split)})
+
+
+def augmented_train(parts: Sequence[tuple[str, DataFrame]], key: str = "id", flag: str = "provenance") -> DataFrame:
+    """ML-13: training sets of different columns in one, merged by ``key``.
+
+    ``parts`` are (name, rows) in order of precedence: all rows of a key come from the first part that has it, under that
+    part's name in ``flag``; rows of one part that share a key all stay, and so do rows without a key. Columns that a part
+    lacks are null. A column must have one type in all parts. Keys are compared by a count per (key, part), joined by equality.
+    """
+    out, held = None, None
+    for i, (name, rows) in enumerate(parts):
+        tagged = rows.withColumns({flag: F.lit(name), "_part": F.lit(i)})
+        out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
+        keys = rows.select(F.col(key).alias("_key"), F.lit(i).alias("_part"))
+        held = keys if held is None else held.unionByName(keys)
+    # keys that several parts have, and the first of these parts
+    first = (held.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.min("_part").alias("_first"), F.max("_part").alias("_last"))
+             .where("_first < _last").select("_key", "_first"))
+    return (out.join(first, F.col(key) == F.col("_key"), "left").where("_first IS NULL OR _first = _part")
+            .drop("_key", "_first", "_part"))
+
+
 # ---------------------------------------------------------------- vectors (SRC-11, JN-7, AGG-34…37)
 
 def vector_std(vectors: DataFrame, vector: str = "vector") -> DataFrame:
@@ -146,10 +187,10 @@ def vector_std(vectors: DataFrame, vector: str = "vector") -> DataFrame:
 def _noise(token: Column, dim: int, seed: int, std: Column) -> Column:
     """Deterministic N(0, std²) components from a hash of (token, dimension, seed) (Box–Muller)."""
     def u(d, salt):
-        h = F.xxhash64(token, F.lit(d), F.lit(seed), F.lit(salt))
+        h = F.xxhash64(token, d, F.lit(seed), F.lit(salt))
         return ((F.pmod(h, F.lit(1 << 30)).cast("double") + 0.5) / float(1 << 30))
-    comps = [F.sqrt(-2.0 * F.log(u(d, 1))) * F.cos(2 * 3.141592653589793 * u(d, 2)) * std for d in range(dim)]
-    return F.array(*[c.cast("float") for c in comps])
+    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda d: (
+        F.sqrt(-2.0 * F.log(u(d, 1))) * F.cos(2 * 3.141592653589793 * u(d, 2)) * std).cast("float"))
 
 
 def token_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 581) -> DataFrame:
@@ -177,33 +218,29 @@ def doc_embedding(df: DataFrame, vocab: DataFrame, vecs: DataFrame, dim: int, do
     weighted mean Σ w·v / Σ w with w = the token's TF-IDF weight in the document (JN-8, default
     0.001 outside the TF-IDF vocabulary). Empty text → zero vector; Σ w = 0 → plain mean.
 
-    Tokens are counted per (doc, token) inside the doc partitioning; the per-document sum is
-    one ``aggregate`` over that document's distinct tokens (bounded by its length).
+    Tokens are counted per (doc, token) inside the doc partitioning, where a window tells whether a document's
+    weights are all 0. Tokens without a vector count as a zero vector. The mean is ``Summarizer``'s weighted one: vectors are
+    added up before the exchange, so that a document is one running vector per task, however long it is.
     """
     toks = _by_doc(df, doc).select(doc, F.explode(word_token_column(text)).alias("token"))
     tf = toks.groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf"))
-    ids = sized_join(tf, vocab.select("token", "token_id"), "token", "left") \
-        .withColumn("token_id", F.coalesce(F.col("token_id"), F.lit(OOV_ID)))
-    v = sized_join(ids, vecs.select("token_id", "vector"), "token_id", "left")
     if weights is not None:
         # tokens hold no blank, so n-gram terms (with blanks) can never match: drop them before the join
         uni = weights.where(~F.col("term").contains(" "))
-        v = v.join(uni.select(doc, F.col("term").alias("token"), F.col("weight").alias("_w")), [doc, "token"], "left")
-        w = F.coalesce(F.col("_w"), F.lit(DEFAULT_WEIGHT))
+        tf = tf.join(uni.select(doc, F.col("term").alias("token"), F.col("weight").alias("_w")), [doc, "token"], "left") \
+            .withColumn("_c", F.col("tf") * F.coalesce(F.col("_w"), F.lit(DEFAULT_WEIGHT)))
+        some = F.sum("_c").over(Window.partitionBy(doc)) > 0
+        tf = tf.select(doc, "token", F.when(some, F.col("_c")).otherwise(F.col("tf")).cast("double").alias("_c"))
     else:
-        w = F.lit(1.0)
+        tf = tf.select(doc, "token", F.col("tf").cast("double").alias("_c"))
     zeros = F.array_repeat(F.lit(0.0), dim)
-    per_doc = v.groupBy(doc).agg(
-        F.collect_list(F.struct(F.col("tf").alias("n"), (F.col("tf") * w).alias("c"),
-                                F.col("vector").alias("v"))).alias("_items"),
-        F.sum(F.col("tf") * w).alias("_wsum"), F.sum("tf").alias("_n"))
-
-    def total(weight: str) -> Column:
-        return F.aggregate("_items", zeros,
-                           lambda acc, x: F.zip_with(acc, x["v"], lambda a, b: a + x[weight] * b))
-    emb = F.when(F.col("_wsum") > 0, F.transform(total("c"), lambda a: a / F.col("_wsum"))) \
-        .otherwise(F.transform(total("n"), lambda a: a / F.col("_n")))
-    res = per_doc.select(doc, emb.alias("embedding"))
+    # each token's vector is made once and stored, which also makes its rows cheap to count
+    known = checkpointed(vocab.select("token", "token_id").join(vecs.select("token_id", "vector"), "token_id")
+                         .select("token", array_to_vector(F.col("vector").cast("array<double>")).alias("_vec")))
+    v = sized_join(tf, known, "token", "left")
+    vec = F.coalesce("_vec", array_to_vector(zeros))
+    per_doc = v.groupBy(doc).agg(Summarizer.mean(vec, F.col("_c")).alias("_mean"))
+    res = per_doc.select(doc, vector_to_array("_mean").alias("embedding"))
     return df.select(doc).join(res, doc, "left").select(doc, F.coalesce("embedding", zeros).alias("embedding"))
 
 

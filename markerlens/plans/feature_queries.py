@@ -84,14 +84,21 @@ st AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term),
 n AS (SELECT count(*) AS n FROM tr),
 model AS (SELECT term, df, ln((1 + n.n) / (1 + df)) + 1 AS idf FROM
           (SELECT * FROM st WHERE df >= 2 ORDER BY cf DESC, term LIMIT 10000), n),
-w0 AS (SELECT tf.doc_id, tf.term, (1 + ln(tf.tf)) * m.idf AS w FROM tf JOIN model m ON tf.term = m.term),
+all_tf AS (SELECT doc_id, term, count(*) AS tf FROM (
+             SELECT doc_id, unnest(list_concat(t, {S.bigrams('t')})) AS term FROM (SELECT doc_id, {_TOKS_SQL} AS t FROM documents))
+           GROUP BY ALL),
+w0 AS (SELECT tf.doc_id, tf.term, (1 + ln(tf.tf)) * m.idf AS w FROM all_tf tf JOIN model m ON tf.term = m.term),
 tfidf AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w0)"""
 
 
+def all_rows(spark, sf):
+    """Every document: the model of the training rows is applied to all."""
+    return table(spark, sf, "documents").select("doc_id", "text")
+
+
 def _tfidf(spark, sf):
-    tr = train_rows(spark, sf)
-    model = X.tfidf_fit(tr)
-    return model, X.tfidf_transform(tr, model)
+    model = X.tfidf_fit(train_rows(spark, sf))
+    return model, X.tfidf_transform(all_rows(spark, sf), model)
 
 
 @register("tfidf_vocabulary", ("ML-1", "AGG-32", "FLT-15", "FN-32", "FN-11"), sql=f"""
@@ -145,7 +152,7 @@ EMB_SQL = f"""{VOCAB_SQL},
 nv AS (SELECT count(*) AS nv FROM embeddings),
 vec AS (SELECT v.token_id, e.embedding FROM vocab v, nv JOIN embeddings e ON e.vec_id = (v.token_id - 2) % nv.nv
         WHERE v.token_id >= 2),
-dtok AS (SELECT doc_id, unnest({S.word_tokens('text')}) AS token FROM tr),
+dtok AS (SELECT doc_id, unnest({S.word_tokens('text')}) AS token FROM documents),
 tfc AS (SELECT doc_id, token, count(*) AS tf FROM dtok GROUP BY ALL),
 tv AS (SELECT t.doc_id, t.token, t.tf, coalesce(v.token_id, 1) AS token_id FROM tfc t LEFT JOIN vocab v ON t.token = v.token),
 comp AS (SELECT tv.doc_id, tv.token, tv.tf, unnest(range(64)) AS dim, unnest(CAST(vec.embedding AS DOUBLE[])) AS x
@@ -153,11 +160,11 @@ comp AS (SELECT tv.doc_id, tv.token, tv.tf, unnest(range(64)) AS dim, unnest(CAS
 
 
 def _emb(spark, sf, weighted: bool):
-    tr = train_rows(spark, sf)
+    docs = all_rows(spark, sf)
     vocab = vocab_df(spark, sf)
     vecs = X.token_vectors(vocab, vectors_df(spark, sf, vocab), DIM)
-    weights = X.tfidf_transform(tr, X.tfidf_fit(tr)) if weighted else None
-    e = X.doc_embedding(tr, vocab, vecs, DIM, weights=weights)
+    weights = _tfidf(spark, sf)[1] if weighted else None
+    e = X.doc_embedding(docs, vocab, vecs, DIM, weights=weights)
     return e.select("doc_id", F.posexplode("embedding").alias("dim", "value")) \
         .select("doc_id", F.col("dim").cast("long").alias("dim"), r6("value").alias("value"))
 
@@ -166,7 +173,7 @@ def _emb(spark, sf, weighted: bool):
 WITH {EMB_SQL},
 ntok AS (SELECT doc_id, sum(tf) AS n FROM tfc GROUP BY doc_id),
 s AS (SELECT doc_id, dim, sum(tf * x) AS sx FROM comp GROUP BY doc_id, dim),
-grid AS (SELECT doc_id, unnest(range(64)) AS dim FROM tr)
+grid AS (SELECT doc_id, unnest(range(64)) AS dim FROM documents)
 SELECT g.doc_id, CAST(g.dim AS BIGINT) AS dim, round(coalesce(s.sx / ntok.n, 0), 6) AS value
 FROM grid g LEFT JOIN ntok ON g.doc_id = ntok.doc_id LEFT JOIN s ON g.doc_id = s.doc_id AND g.dim = s.dim""")
 def doc_embedding_mean(spark, sf):
@@ -181,7 +188,7 @@ tw AS (SELECT tfc.doc_id, tfc.token, tfc.tf * coalesce(tfidf.weight, 0.001::DOUB
 wsum AS (SELECT doc_id, sum(c) AS ws FROM tw GROUP BY doc_id),
 s AS (SELECT comp.doc_id, comp.dim, sum(tw.c * comp.x) AS sx FROM comp JOIN tw ON comp.doc_id = tw.doc_id AND comp.token = tw.token
       GROUP BY comp.doc_id, comp.dim),
-grid AS (SELECT doc_id, unnest(range(64)) AS dim FROM tr)
+grid AS (SELECT doc_id, unnest(range(64)) AS dim FROM documents)
 SELECT g.doc_id, CAST(g.dim AS BIGINT) AS dim, round(coalesce(s.sx / wsum.ws, 0), 6) AS value
 FROM grid g LEFT JOIN wsum ON g.doc_id = wsum.doc_id LEFT JOIN s ON g.doc_id = s.doc_id AND g.dim = s.dim""")
 def doc_embedding_weighted(spark, sf):
@@ -243,15 +250,70 @@ _SHARES = ", ".join(
 
 @register("tag_distribution_vector", ("AGG-38",), sql=f"""
 WITH {VOCAB_SQL},
-dtok AS (SELECT doc_id, unnest({S.word_tokens('text')}) AS token FROM tr),
+dtok AS (SELECT doc_id, unnest({S.word_tokens('text')}) AS token FROM documents),
 cls AS (SELECT dtok.doc_id, CASE WHEN v.token IS NULL THEN NULL ELSE {_class_sql('v.token')} END AS cls
         FROM dtok LEFT JOIN (SELECT token FROM vocab WHERE token_id >= 2) v ON dtok.token = v.token),
 n AS (SELECT doc_id, count(*) AS n FROM dtok GROUP BY doc_id)
-SELECT tr.doc_id, {_SHARES.replace("ELSE 0 END", "ELSE 0.0 END")}
-FROM tr LEFT JOIN cls ON tr.doc_id = cls.doc_id LEFT JOIN n ON tr.doc_id = n.doc_id GROUP BY tr.doc_id, n.n""")
+SELECT d.doc_id, {_SHARES.replace("ELSE 0 END", "ELSE 0.0 END")}
+FROM documents d LEFT JOIN cls ON d.doc_id = cls.doc_id LEFT JOIN n ON d.doc_id = n.doc_id GROUP BY d.doc_id, n.n""")
 def tag_distribution_vector(spark, sf):
-    tr = train_rows(spark, sf)
     vocab = vocab_df(spark, sf).where(F.col("token_id") >= 2)
     classes = vocab.select("token", _class_expr(F.col("token")).alias("class"))
-    d = X.tag_distribution_vector(tr, classes)
+    d = X.tag_distribution_vector(all_rows(spark, sf), classes)
     return d.select("doc_id", *[r6(c).alias(c) for c in X.POS_CLASSES])
+
+
+# ---- ML-13: the labelled documents are the first training set; unlabelled documents with marker tags as span strings are the extra
+# annotated rows, whose labels come from another table (two of three have one); assistant turns are the generated rows. Every
+# tenth generated row repeats the id of a document, as a set that was generated from training rows would.
+EXTRA_ANNOTATOR, TRAIN_ANNOTATORS = "rater_3", ("rater_0", "rater_1", "rater_2", "rater_3")
+
+
+def _training_parts(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    lab = table(spark, sf, "labels").select("doc_id", "quality", "toxic")
+    ident = F.col("doc_id").cast("string").alias("id")
+    base = docs.join(lab, "doc_id").select(ident, "text", "lang", F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic"),
+                                           F.concat(F.lit("rater_"), (F.col("doc_id") % 3).cast("string")).alias("annotator"))
+    base = base.withColumns({a: (F.col("annotator") == a).cast("int") for a in TRAIN_ANNOTATORS} | {"split": F.lit("train")})
+    spans = lambda c, name: F.when(c, F.lit(f"[{name}]")).otherwise(F.lit("[]")).alias(name)
+    extra = docs.join(lab.select("doc_id"), "doc_id", "left_anti").select(
+        ident, "text", F.lit(9).alias("quality"), F.lit(9).alias("toxic"),
+        spans(F.col("text").contains("!"), "exclamation_marks"), spans(F.col("text").rlike("[0-9]"), "unk"))
+    found = docs.where(F.col("doc_id") % 3 != 0).select(ident, (F.length("text") % 2).cast("int").alias("quality"),
+                                                        (F.length("text") % 5 == 0).cast("int").alias("toxic"))
+    turns = table(spark, sf, "conversations").where(F.col("role") == "assistant")
+    made = F.concat_ws("/", F.lit("c"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    llm = turns.select(F.when(F.col("conv_id") % 10 == 0, F.col("conv_id").cast("string")).otherwise(made).alias("id"), "text",
+                       (F.col("conv_id") % 2).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    return base, extra, found, llm
+
+
+@register("augmented_train", ("ML-13", "JN-3", "SET-2", "FN-15", "FN-16"), sql=f"""
+WITH base AS (
+  SELECT CAST(d.doc_id AS VARCHAR) AS id, d.text, d.lang, CAST(l.quality AS INTEGER) AS quality, CAST(l.toxic AS INTEGER) AS toxic,
+         'rater_' || CAST(d.doc_id % 3 AS VARCHAR) AS annotator, NULL::VARCHAR AS exclamation_marks, NULL::VARCHAR AS unk,
+         NULL::INTEGER AS exclamation_marks_bin, NULL::INTEGER AS unk_bin, 'train' AS split, 'original' AS provenance
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+extra AS (
+  SELECT CAST(d.doc_id AS VARCHAR) AS id, d.text, NULL AS lang,
+         CASE WHEN doc_id % 3 <> 0 THEN CAST(length(text) % 2 AS INTEGER) END AS quality,
+         CASE WHEN doc_id % 3 <> 0 THEN CAST(length(text) % 5 = 0 AS INTEGER) END AS toxic, 'rater_3' AS annotator,
+         CASE WHEN contains(text, '!') THEN '[exclamation_marks]' ELSE '[]' END AS exclamation_marks,
+         CASE WHEN regexp_matches(text, '[0-9]') THEN '[unk]' ELSE '[]' END AS unk,
+         CAST(coalesce(contains(text, '!'), FALSE) AS INTEGER), CAST(coalesce(regexp_matches(text, '[0-9]'), FALSE) AS INTEGER), 'train', 'annotated'
+  FROM documents d WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
+llm AS (
+  SELECT CASE WHEN conv_id % 10 = 0 THEN CAST(conv_id AS VARCHAR) ELSE 'c/' || conv_id || '/' || turn END AS id, text, NULL,
+         CAST(conv_id % 2 AS INTEGER), 0, NULL, NULL, NULL, NULL, NULL, NULL, 'generated'
+  FROM conversations WHERE role = 'assistant'),
+kept AS (
+  SELECT * FROM base
+  UNION ALL SELECT * FROM extra WHERE id NOT IN (SELECT id FROM base)
+  UNION ALL SELECT * FROM llm WHERE id NOT IN (SELECT id FROM base) AND id NOT IN (SELECT id FROM extra))
+SELECT *, {", ".join(f"CAST(annotator = '{a}' AS INTEGER) AS {a}" for a in TRAIN_ANNOTATORS)} FROM kept""")
+def augmented_train(spark, sf):
+    base, extra, found, llm = _training_parts(spark, sf)
+    extra = X.binarised(extra, ("exclamation_marks", "unk"), EXTRA_ANNOTATOR, TRAIN_ANNOTATORS)
+    extra = X.replace_labels(extra, found, ("quality", "toxic"))
+    return X.augmented_train([("original", base), ("annotated", extra), ("generated", llm)])

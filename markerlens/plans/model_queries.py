@@ -140,7 +140,7 @@ def self_training(spark, sf):
     return V.class_metrics(s, ("task", "model"))
 
 
-@register("accumulation_test", ("ML-11", "ML-12", "WIN-9", "JN-4", "FN-25", "AGG-39", "ML-13", "SET-2"))
+@register("accumulation_test", ("ML-11", "ML-12", "WIN-9", "JN-4", "FN-25", "AGG-39", "SET-2"))
 def accumulation_test(spark, sf):
     """For p in 5, 10, 15, 20 %: the most uncertain pool rows keep their gold label, the rest
     take the base model's label; refit on train + pool; macro F1 on dev."""

@@ -79,6 +79,10 @@ def test_vectors_noise_and_embeddings(spark):
     wemb = {r["doc_id"]: r["embedding"] for r in X.doc_embedding(docs(spark), vocab, vecs, 2, weights=weights).collect()}
     ws = 2 * 0.5 + 2 * 0.25 + 0.001
     assert wemb[1][1] == pytest.approx((2 * 0.25 * 2 + 0.001 * sat[1]) / ws, rel=1e-5)
+    # weights that are all 0 give the plain mean
+    none = spark.createDataFrame([(1, t, 0.0) for t in ("the", "cat", "sat")], "doc_id long, term string, weight double")
+    zemb = {r["doc_id"]: r["embedding"] for r in X.doc_embedding(docs(spark), vocab, vecs, 2, weights=none).collect()}
+    assert zemb[1] == pytest.approx(emb[1], rel=1e-9)
 
 
 def test_tag_distribution_vector(spark):
@@ -99,3 +103,19 @@ def test_repartitioning_does_not_change_agreement(spark):
     v1 = sorted(tuple(r) for r in K.majority_vote(K.annotation_rows(df.repartition(1), ["f1", "f2"]), ranking).collect())
     v2 = sorted(tuple(r) for r in K.majority_vote(K.annotation_rows(df.repartition(5), ["f1", "f2"]), ranking).collect())
     assert v1 == v2
+
+
+def test_augmented_train_merges_by_key_with_precedence(spark):
+    base = spark.createDataFrame([("1", "a", 1), ("1", "a2", 0), (None, "n", 1)], "id string, text string, label int")
+    extra = spark.createDataFrame([("1", "b", 5, "[x]", "o"), ("2", "c", 5, "[]", "o"), ("3", "d", 5, None, "o"), (None, "m", 5, "[y]", "o")],
+                                  "id string, text string, label int, caps string, other string")
+    found = spark.createDataFrame([("2", 0), ("2", 1), ("1", 1), (None, 1)], "id string, label int")
+    flagged = X.replace_labels(X.binarised(extra, ["caps"], "q", ["p", "q"]), found, ["label"])
+    assert {(r.id, r.label, r.caps_bin, r.annotator, r.p, r.q, r.split) for r in flagged.collect()} == {
+        ("1", 1, 1, "q", 0, 1, "train"), ("2", 0, 0, "q", 0, 1, "train"), ("3", None, 0, "q", 0, 1, "train"), (None, None, 1, "q", 0, 1, "train")}
+    made = spark.createDataFrame([("3", "e", 1), ("4", "f", 1), ("4", "f", 1)], "id string, text string, label int")
+    got = X.augmented_train([("original", base), ("annotated", flagged), ("generated", made)])
+    assert sorted(((r.id, r.text, r.provenance, r.caps) for r in got.collect()), key=repr) == sorted([
+        ("1", "a", "original", None), ("1", "a2", "original", None), (None, "n", "original", None), ("2", "c", "annotated", "[]"),
+        ("3", "d", "annotated", None), (None, "m", "annotated", "[y]"), ("4", "f", "generated", None), ("4", "f", "generated", None)], key=repr)
+    assert X.augmented_train([("only", base.limit(0)), ("none", made.limit(0))]).count() == 0
