@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from markerlens.operators.ordering import with_scalars
+from markerlens.session import checkpointed
 
 # Kappa interpretation bands (upper bounds, exclusive) and their names.
 KAPPA_BANDS = ((0.0, "Poor"), (0.20, "Slight"), (0.40, "Fair"), (0.60, "Moderate"), (0.80, "Substantial"))
@@ -175,18 +176,25 @@ def cohen_pairwise(ratings: DataFrame, annotators: Sequence[str] | None = None,
     keys = ["feature", "annotator_1", "annotator_2"]
     # joint table: one row per (feature, pair, category of 1, category of 2) — small.
     joint = rater_pairs(rated, ["feature", "item_id"]).groupBy(*keys, "c1", "c2").agg(F.count(F.lit(1)).alias("c"))
-    obs = joint.groupBy(*keys).agg(F.sum("c").alias("n_items"),
-                                   F.sum(F.when(F.col("c1") == F.col("c2"), F.col("c")).otherwise(0)).alias("agree"))
-    m1 = joint.groupBy(*keys, F.col("c1").alias("category")).agg(F.sum("c").alias("m1"))
-    m2 = joint.groupBy(*keys, F.col("c2").alias("category")).agg(F.sum("c").alias("m2"))
-    exp = m1.join(m2, keys + ["category"], "inner").groupBy(*keys).agg(
-        F.sum(F.col("m1") * F.col("m2")).alias("_e"))
+    # both marginals in one pass: each cell counts for its category of 1 and for its category of 2
+    none = F.lit(0).cast("long")
+    sides = F.array(F.struct(F.col("c1").alias("category"), F.col("c").alias("m1"), none.alias("m2"),
+                             F.when(F.col("c1") == F.col("c2"), F.col("c")).otherwise(none).alias("agree")),
+                    F.struct(F.col("c2").alias("category"), none.alias("m1"), F.col("c").alias("m2"), none.alias("agree")))
+    marginals = (joint.select(*keys, F.inline(sides)).groupBy(*keys, "category")
+                 .agg(F.sum("m1").alias("m1"), F.sum("m2").alias("m2"), F.sum("agree").alias("agree")))
+    sums = marginals.groupBy(*keys).agg(F.sum("m1").alias("n_items"), F.sum("agree").alias("agree"),
+                                        F.sum(F.col("m1") * F.col("m2")).alias("_e"))
     # every (feature, pair) is a row of the result: the annotators of the table are paired like the raters of one item
-    names = named.select("annotator").distinct().select(F.lit(0).alias("_g"), "annotator", F.lit("").alias("category"))
-    features = ratings.agg(F.collect_set("feature").alias("_features"))  # one row
+    seen = checkpointed(ratings.select("feature", "annotator").distinct())
+    names = seen.where(F.col("annotator").isNotNull())
+    if annotators is not None:
+        names = names.where(F.col("annotator").isin(*annotators))
+    names = names.select(F.lit(0).alias("_g"), "annotator", F.lit("").alias("category")).distinct()
+    features = seen.agg(F.collect_set("feature").alias("_features"))  # one row
     grid = (with_scalars(rater_pairs(names, ["_g"]).select("annotator_1", "annotator_2"), features)
             .select(F.explode("_features").alias("feature"), "annotator_1", "annotator_2"))
-    res = grid.join(obs, keys, "left").join(exp, keys, "left")
+    res = grid.join(sums, keys, "left")
     n = F.col("n_items")
     p_o = F.col("agree") / n
     p_e = F.coalesce(F.col("_e"), F.lit(0)) / (n * n)
