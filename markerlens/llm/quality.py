@@ -2,9 +2,13 @@
 
 A modified Kneser-Ney model over 4-grams of code points (lower case; ASCII digits, white space and marks
 are a symbol each) is counted by Spark for each language, with as many rows as the corpus has different
-4-grams. Three code points are one exact 63-bit key, so no two grams are taken for one. Orders are joined
-by Spark; each gram is scored without one occurrence of its own, so that a text can't vouch for itself.
-Texts are dealt into blocks of about BLOCK_BYTES, and a block asks for each of its different grams once.
+4-grams. Counting is by exact keys: three code points are 63 bits, so no two grams are counted as one. Orders
+are joined by Spark; each gram is scored without one occurrence of its own, so that a text can't vouch for
+itself. The finished model is stored as sorted hash arrays, one row for each range of hashes: the 64-bit
+hashes of the grams in order and their bits. (Among 10^9 different grams, two share a hash with probability
+0.03; one of them then has the other's bits.) The texts of a language are dealt into blocks of about
+BLOCK_BYTES; a block asks for each of its different grams once, and the arrays answer by binary search.
+A block is worked on in slices of SLICE code points, a text longer than a slice in several.
 The distribution of bits per letter of all documents of a language gives its bands; a document outside
 its language's band is rejected, as is one that fails the base rules. Every language has its own model and
 band, whatever its share; a small one leans on the model and the deviations of all rows by its counts.
@@ -29,7 +33,13 @@ from markerlens.llm.text_arrays import mix, owners, row_slices, segment_sums, ut
 ORDER = 4
 #: Bits of a code point; of a symbol in the small dense model.
 POINT, BITS = 21, 5
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
+#: Code points that are worked on at once.
+SLICE = 1 << 20
+#: Keys below this number are counted in place; others are sorted.
+DENSE = 1 << 22
+#: Tables of a row a language are broadcast up to so many languages, about 64 MB.
+MOST_MODELS = 500_000
 #: Below the order 1: as many symbols as there are assigned characters, about.
 UNIFORM = 1 / (1 << 17)
 NO_LANGUAGE = "\x00none"
@@ -90,56 +100,92 @@ def symbols_of(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return point, heads[offsets]
 
 
-def gram_keys(symbols: np.ndarray, bounds: np.ndarray, model: np.ndarray):
-    """A key for the model and 4-gram at each symbol, equal for equal ones, and the function that gives
-    (model, context of three symbols, last symbol) for keys. Texts start after spaces."""
-    seen = np.bincount(symbols, minlength=33)
-    seen[32] += 1
-    names = np.flatnonzero(seen)
-    dense = np.zeros(len(seen), np.uint64)
-    dense[names] = np.arange(len(names))
-    s, space = dense[symbols], dense[32]
-    place = np.arange(len(s)) - np.repeat(bounds[:-1], np.diff(bounds))
-    back = []
-    for k in range(1, ORDER):
-        before = np.full(len(s), space, np.uint64)
-        before[k:] = s[:-k] if k < len(s) else s[:0]
-        before[place < k] = space
-        back.append(before)
-    n = np.uint64(len(names))
-    key = (model.astype(np.uint64) * n + back[2]) * n + back[1]
-    far = None
-    if (int(model.max(initial=0)) + 1) * len(names) ** ORDER >= 1 << 63:
-        far, key = np.unique(key, return_inverse=True)
-        key = key.astype(np.uint64)
-    key = (key * n + back[0]) * n + s
-
-    def parts(keys):
-        rest, out = keys, []
-        for _ in range(2):
-            out.append(names[(rest % n).astype(np.int64)])
-            rest = rest // n
-        rest = far[rest.astype(np.int64)] if far is not None else rest
-        for _ in range(2):
-            out.append(names[(rest % n).astype(np.int64)])
-            rest = rest // n
-        context = out[3] << (2 * POINT) | out[2] << POINT | out[1]
-        return rest.astype(np.int64), context, out[0].astype(np.int32)
-
-    return key, parts
-
-
-def grams_of(texts, models):
-    """For text and model columns: bytes, offsets, symbols and their bounds, key of each symbol, different keys
-    in order, their counts, and the columns model, ctx, w of the different keys."""
-    buf, offsets = utf8(texts)
-    symbols, bounds = symbols_of(buf, offsets)
-    names, of = np.unique(np.array(models.to_pylist(), object), return_inverse=True) if len(models) else (np.zeros(0, object), np.zeros(0, np.int64))
-    keys, parts = gram_keys(symbols, bounds, np.repeat(of, np.diff(bounds)))
-    different, counts = np.unique(keys, return_counts=True)
-    model, context, last = parts(different)
-    columns = [pa.array(names, pa.string()).take(pa.array(model)), pa.array(context), pa.array(last)]
-    return buf, offsets, symbols, bounds, keys, different, counts, columns
+def slices(n: int):
+    """Bounds of the slices of ``n`` code points."""
+    return ((a, min(a + SLICE, n)) for a in range(0, n, SLICE))
+
+
+class Grams:
+    """The 4-grams of texts of one language. A key is the ranks of its two pairs of symbols, so equal texts
+    in any order have equal keys. Texts start after spaces."""
+
+    def __init__(self, texts):
+        self.buf, self.offsets = utf8(texts)
+        self.symbols, self.bounds = symbols_of(self.buf, self.offsets)
+        seen = np.bincount(self.symbols, minlength=33)
+        seen[32] += 1
+        self.names = np.flatnonzero(seen)
+        n = len(self.names)
+        dense = np.zeros(len(seen), np.int64)
+        dense[self.names] = np.arange(n)
+        space = dense[32]
+        pairs = dense[self.symbols]
+        pairs[1:] += pairs[:-1] * n
+        starts = self.bounds[:-1][self.bounds[:-1] < self.bounds[1:]]
+        pairs[starts] = space * n + dense[self.symbols[starts]]
+        blank = space * n + space
+        if n * n <= DENSE:
+            found = np.zeros(n * n, bool)
+            found[pairs] = True
+            found[blank] = True
+            self.pairs = np.flatnonzero(found)
+            place = np.zeros(n * n, np.int32)
+            place[self.pairs] = np.arange(len(self.pairs), dtype=np.int32)
+            self.rank, self.blank = place[pairs], int(place[blank])
+        else:
+            self.pairs, rank = np.unique(np.append(pairs, blank), return_inverse=True)
+            self.rank, self.blank = rank[:-1].astype(np.int32), int(rank[-1])
+
+    def keys(self, a: int, b: int) -> np.ndarray:
+        """Keys of the 4-grams that end at the symbols from a to b."""
+        head = np.full(b - a, self.blank, np.int64)
+        early = self.rank[max(a - 2, 0):max(b - 2, 0)]
+        head[b - a - len(early):] = early
+        for k in (0, 1):
+            at = self.bounds[:-1] + k
+            at = at[(at < self.bounds[1:]) & (at >= a) & (at < b)]
+            head[at - a] = self.blank
+        return head * len(self.pairs) + self.rank[a:b]
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """The different keys in order, and their counts."""
+        size = len(self.pairs) ** 2
+        if size <= DENSE:
+            total = np.zeros(size, np.int64)
+            for a, b in slices(len(self.symbols)):
+                total += np.bincount(self.keys(a, b), minlength=size)
+            keys = np.flatnonzero(total)
+            return keys, total[keys]
+        parts = [np.unique(self.keys(a, b), return_counts=True) for a, b in slices(len(self.symbols))]
+        keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        counts = np.zeros(len(keys), np.int64)
+        np.add.at(counts, at, np.concatenate([c for _, c in parts]))
+        return keys, counts
+
+    def parts(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context of three symbols and last symbol of each key."""
+        n = len(self.names)
+        head, tail = self.pairs[keys // len(self.pairs)], self.pairs[keys % len(self.pairs)]
+        point = lambda x: self.names[x]
+        context = point(head // n) << (2 * POINT) | point(head % n) << POINT | point(tail // n)
+        return context, point(tail % n).astype(np.int32)
+
+    def sums(self, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per text, the sum of the values of its grams, and the number of its symbols other than marks."""
+        total, letters = np.zeros(len(self.bounds) - 1), np.zeros(len(self.bounds) - 1, np.int64)
+        size = len(self.pairs) ** 2
+        place = None
+        if size <= DENSE:
+            place = np.zeros(size, np.int32)
+            place[keys] = np.arange(len(keys), dtype=np.int32)
+        for a, b in slices(len(self.symbols)):
+            part = self.keys(a, b)
+            at = place[part] if place is not None else np.searchsorted(keys, part)
+            inside = np.clip(self.bounds, a, b) - a
+            total += segment_sums(values[at], inside)
+            symbols = self.symbols[a:b]
+            letters += segment_sums(((symbols != ord(".")) & (symbols != ord("#"))).astype(np.int64), inside)
+        return total, letters
 
 
 # -- model -------------------------------------------------------------------------------------
@@ -186,9 +232,9 @@ class Model:
         return p
 
 
-def orders(grams: DataFrame) -> DataFrame:
+def orders(grams: DataFrame, small=F.broadcast) -> DataFrame:
     """(model, ctx, w, p, q): p(w | ctx) of each 4-gram (model, ctx, w, c), and q, the same when one occurrence
-    is taken away. A row joins as many others as there are symbols at most."""
+    is taken away. A row joins as many others as there are symbols at most. ``small`` marks a table of a row a model."""
     counts = [grams]
     for order in range(ORDER - 1, 0, -1):
         shorter = F.col("ctx").bitwiseAND(F.lit((1 << (POINT * (order - 1))) - 1))
@@ -203,7 +249,7 @@ def orders(grams: DataFrame) -> DataFrame:
         classes = [F.col("c") == 1, F.col("c") == 2, F.col("c") >= 3]
         rows = table.select("*", F.sum("c").over(same).alias("total"),
                             *[F.sum(x.cast("long")).over(same).alias(f"n{k}") for k, x in enumerate(classes, 1)])
-        rows = rows.join(F.broadcast(of), "model")
+        rows = rows.join(small(of), "model")
         if lower is None:
             rows = rows.select("*", F.lit(UNIFORM).alias("lp"), F.lit(UNIFORM).alias("lq"))
         else:
@@ -226,27 +272,51 @@ def estimate(c: Column, total: Column, n: list[Column], lower: Column) -> Column
     return F.when(total > 0, F.greatest(c - cut, F.lit(0.0)) / total + held / total * lower).otherwise(lower)
 
 
-def gram_bits(rows: DataFrame) -> DataFrame:
-    """(model, ctx, w, bits) of every different 4-gram of ``rows`` (model, text)."""
+def gram_bits(rows: DataFrame, small=F.broadcast) -> tuple[DataFrame, DataFrame]:
+    """(model, ctx, w, bits) of every different 4-gram of ``rows`` (model, text), and the stored counts it reads."""
 
     def count(batches):
         for batch in batches:
             for part in row_slices(batch, "text", BLOCK_BYTES):
-                *_, counts, columns = grams_of(part.column("text"), part.column("model"))
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(counts)], names=["model", "ctx", "w", "c"])
-
-    found = rows.mapInArrow(count, "model string, ctx long, w int, c long").groupBy("model", "ctx", "w").agg(F.sum("c").alias("c"))
+                models = part.column("model").to_numpy()
+                order = np.argsort(models, kind="stable")
+                cuts = np.flatnonzero(np.diff(models[order])) + 1
+                for which in np.split(order, cuts):
+                    grams = Grams(part.column("text").take(pa.array(which)))
+                    keys, counts = grams.counted()
+                    model = np.full(len(keys), models[which[0]])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (model, *grams.parts(keys), counts)], names=["model", "ctx", "w", "c"])
+
+    found = rows.mapInArrow(count, "model long, ctx long, w int, c long").groupBy("model", "ctx", "w").agg(F.sum("c").alias("c"))
     grams = stored(found, "grams")
-    both = grams.union(grams.groupBy(F.lit(EVERY).alias("model"), "ctx", "w").agg(F.sum("c").alias("c")))
-    p = orders(both).select("model", "ctx", "w", "q")
-    every = p.where(F.col("model") == EVERY).select("ctx", "w", F.col("q").alias("every"))
+    name = F.xxhash64(F.lit(EVERY))
+    both = grams.union(grams.groupBy(name.alias("model"), "ctx", "w").agg(F.sum("c").alias("c")))
+    p = orders(both, small).select("model", "ctx", "w", "q")
+    every = p.where(F.col("model") == name).select("ctx", "w", F.col("q").alias("every"))
     own = grams.groupBy("model").agg(F.sum("c").alias("size"))
-    mixed = p.where(F.col("model") != EVERY).join(every, ["ctx", "w"]).join(F.broadcast(own), "model")
+    mixed = p.where(F.col("model") != name).join(every, ["ctx", "w"]).join(small(own), "model")
     weight = OWN_WEIGHT * F.col("size") / (F.col("size") + PRIOR_TEXT)
     bits = -F.log2(weight * F.col("q") + (1 - weight) * F.col("every"))
-    out = stored(mixed.select("model", "ctx", "w", bits.alias("bits")), "bits")
-    drop_stored(grams)
-    return out
+    return mixed.select("model", "ctx", "w", bits.alias("bits")), grams
+
+
+def hash_arrays(bits: DataFrame, ranges: int) -> DataFrame:
+    """(bucket, hashes, bits): the model, a row for each of ``ranges`` classes of hashes. The 64-bit hashes
+    of the grams in order and their bits, as little-endian arrays."""
+
+    def build(table: pa.Table) -> pa.Table:
+        h, value = table.column("h").to_numpy(), table.column("bits").to_numpy()
+        order = np.argsort(h)
+        return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "hashes": pa.array([h[order].tobytes()], pa.binary()),
+                         "bits": pa.array([value[order].tobytes()], pa.binary())})
+
+    return hashed(bits, ranges).select("bucket", "h", "bits").groupBy("bucket").applyInArrow(build, "bucket int, hashes binary, bits binary")
+
+
+def hashed(grams: DataFrame, ranges: int) -> DataFrame:
+    """``grams`` with the hash h of (model, ctx, w) and its class."""
+    h = F.xxhash64("model", "ctx", "w")
+    return grams.withColumn("h", h).withColumn("bucket", F.pmod(F.shiftright("h", 20), F.lit(ranges)).cast("int"))
 
 
 # -- rules -------------------------------------------------------------------------------------
@@ -312,40 +382,66 @@ def scored(docs: DataFrame, columns: list[Column]) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     own = [c.alias(f"c{i}") for i, c in enumerate(columns)]
     carried = [f"c{i}" for i in range(len(own))]
-    rows = docs.select(*own, F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("model"), text.alias("text"), F.xxhash64("doc_id", "text").alias("spread"))
-    bits = gram_bits(rows.select("model", "text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
-    parts = max(blocks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.withColumn("blk", F.pmod("spread", F.lit(blocks))).repartition(parts, "blk")
+    model = F.xxhash64(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)))
+    rows = docs.select(*own, model.alias("model"), text.alias("text"), F.xxhash64("doc_id", "text").alias("spread"))
+    sizes = stored(rows.groupBy("model").agg(F.sum(F.octet_length("text")).alias("bytes")), "sizes")
+    models, size = sizes.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    small = F.broadcast if models <= MOST_MODELS else lambda x: x
+    parts = max(-(-size // BLOCK_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bits, grams = gram_bits(rows.select("model", "text"), small)
+    arrays = stored(hash_arrays(bits, parts), "arrays")
+    drop_stored(grams)
+    blocks = F.greatest(F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1))
+    dealt = (rows.join(small(sizes.select("model", blocks.alias("blocks"))), "model")
+             .select(*carried, "model", "text", F.pmod("spread", "blocks").cast("int").alias("blk")).repartition(parts, "model", "blk"))
 
     def ask(table: pa.Table) -> pa.Table:
-        *_, counts, columns = grams_of(table.column("text"), table.column("model"))
-        n = len(counts)
-        return pa.table([pa.array(np.full(n, table.column("blk")[0].as_py(), np.int64)), pa.array(np.arange(n, dtype=np.int32)), *columns],
-                        names=["blk", "at", "model", "ctx", "w"])
+        block = Grams(table.column("text"))
+        keys, _ = block.counted()
+        context, last = block.parts(keys)
+        n = len(keys)
+        return pa.table([pa.array(np.full(n, table.column("model")[0].as_py(), np.int64)), pa.array(np.full(n, table.column("blk")[0].as_py(), np.int32)),
+                         pa.array(np.arange(n, dtype=np.int32)), pa.array(context), pa.array(last)], names=["model", "blk", "at", "ctx", "w"])
+
+    def look_up(asked: pa.Table, array: pa.Table) -> pa.Table:
+        names = ["model", "blk", "at"]
+        if not asked.num_rows:
+            return asked.select(names).append_column("bits", pa.array([], pa.float64()))
+        hashes = np.frombuffer(array.column("hashes")[0].as_py(), "<i8")
+        values = np.frombuffer(array.column("bits")[0].as_py(), "<f8")
+        h = asked.column("h").to_numpy()
+        order = np.argsort(h)
+        out = np.empty(len(h))
+        out[order] = values[np.searchsorted(hashes, h[order])]
+        return asked.select(names).append_column("bits", pa.array(out))
 
     def answer(table: pa.Table, known: pa.Table) -> pa.Table:
-        buf, offsets, symbols, bounds, keys, different, _, _ = grams_of(table.column("text"), table.column("model"))
-        value = np.empty(len(different))
+        block = Grams(table.column("text"))
+        keys, _ = block.counted()
+        value = np.empty(len(keys))
         value[known.column("at").to_numpy()] = known.column("bits").to_numpy()
-        out = measures(buf, offsets)
         # marks add bits but no length
-        letters = segment_sums(((symbols != ord(".")) & (symbols != ord("#"))).astype(np.int64), bounds)
-        per = segment_sums(value[np.searchsorted(different, keys)], bounds) / np.maximum(letters, 1)
+        total, letters = block.sums(keys, value)
+        per = total / np.maximum(letters, 1)
+        n = np.diff(block.bounds)
+        buf, offsets = block.buf, block.offsets
+        del block
+        out = measures(buf, offsets)
         out["perplexity"] = np.exp2(per)
         return pa.table({**{x: table.column(x) for x in carried}, "model": table.column("model"), "bits": per,
-                         "n": np.diff(bounds), **{x: out[x] for x in NAMES}})
+                         "n": n, **{x: out[x] for x in NAMES}})
 
     kinds = ", ".join(f"c{i} {kind}" for i, (_, kind) in enumerate(docs.select(*own).dtypes))
-    asked = dealt.groupBy("blk").applyInArrow(ask, "blk long, at int, model string, ctx long, w int")
-    answers = asked.join(bits, ["model", "ctx", "w"]).select("blk", "at", "bits")
-    out = stored(dealt.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(answer, f"{kinds}, model string, bits double, n long, {MEASURES}"), "scored")
-    drop_stored(bits)
-    return verdicts(out)
+    asked = dealt.groupBy("model", "blk").applyInArrow(ask, "model long, blk int, at int, ctx long, w int")
+    asked = hashed(asked, parts).select("bucket", "model", "blk", "at", "h")
+    answers = asked.groupBy("bucket").cogroup(arrays.groupBy("bucket")).applyInArrow(look_up, "model long, blk int, at int, bits double")
+    out = stored(dealt.groupBy("model", "blk").cogroup(answers.groupBy("model", "blk"))
+                 .applyInArrow(answer, f"{kinds}, model long, bits double, n long, {MEASURES}"), "scored")
+    drop_stored(arrays, sizes)
+    return verdicts(out, small)
 
 
-def verdicts(rows: DataFrame) -> DataFrame:
+def verdicts(rows: DataFrame, small=F.broadcast) -> DataFrame:
     """``rows`` with base_failed and kept: base rules, and the band of each language.
 
     A band lies about the median of its language. Its deviation is drawn towards the common one, that of
@@ -354,13 +450,13 @@ def verdicts(rows: DataFrame) -> DataFrame:
     q = lambda x: F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
     spread = lambda x: (x[2] - x[0]) / 1.349
     bands = some.groupBy("model").agg(q("bits").alias("q"), F.count("*").alias("docs")).select("model", "docs", F.col("q")[1].alias("mid"), spread(F.col("q")).alias("dev"))
-    common = some.join(F.broadcast(bands), "model").agg(spread(q(F.col("bits") - F.col("mid"))).alias("common"))
+    common = some.join(small(bands), "model").agg(spread(q(F.col("bits") - F.col("mid"))).alias("common"))
     drawn = (F.col("docs") * F.col("dev") + PRIOR_DOCS * F.col("common")) / (F.col("docs") + PRIOR_DOCS)
     wide = BAND_WIDTH * F.greatest(drawn, F.lit(LEAST_DEVIATION))
     bands = bands.crossJoin(F.broadcast(common)).select("model", "mid", wide.alias("wide"))
     off = F.abs(F.col("bits") - F.col("mid")) * F.col("n") / (F.col("n") + PRIOR_SYMBOLS)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return (rows.join(F.broadcast(bands), "model", "left").withColumn("base_failed", failed)
+    return (rows.join(small(bands), "model", "left").withColumn("base_failed", failed)
             .withColumn("kept", ~failed & F.coalesce(off <= F.col("wide"), F.lit(True))))
 
 

@@ -91,6 +91,92 @@ def prose(r, letters, n_texts, shortest=150, n_words=400):
 CYRILLIC, GREEK = "абвгдежзийклмнопрстуфхцчшщыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"
 
 
+def grams_by_hand(text):
+    padded = "   " + "".join(chr(x) for x in quality.symbols_of(*utf8(pa.array([text])))[0])
+    return [padded[i:i + 4] for i in range(len(padded) - 3)]
+
+
+@pytest.mark.parametrize("dense, cut", [(1 << 22, 1 << 20), (1 << 22, 3), (4, 5)])
+def test_quality_grams_in_slices_and_sorted(monkeypatch, dense, cut):
+    monkeypatch.setattr(quality, "DENSE", dense)
+    monkeypatch.setattr(quality, "SLICE", cut)
+    texts = ["", "ab", "The cat. The cat", None, "\u65e5\u672c\u8a9e the cat 12", "x", "\U0001f600abc"]
+    block = quality.Grams(pa.array(texts))
+    keys, counts = block.counted()
+    context, last = block.parts(keys)
+    got = {"".join(chr(int(c) >> s & 0x1FFFFF) for s in (42, 21, 0)) + chr(int(w)): int(n) for c, w, n in zip(context, last, counts)}
+    assert got == Counter(g for t in texts for g in grams_by_hand(t or ""))
+    values = np.arange(1.0, len(keys) + 1)
+    of = dict(zip(got, values))  # in the order of the keys
+    total, letters = block.sums(keys, values)
+    assert np.allclose(total, [sum(of[g] for g in grams_by_hand(t or "")) for t in texts])
+    assert letters.tolist() == [sum(g[3] not in ".#" for g in grams_by_hand(t or "")) for t in texts]
+    empty = quality.Grams(pa.array([None, ""]))
+    assert [len(x) for x in (*empty.counted(), *empty.sums(*empty.counted()))] == [0, 0, 2, 2]
+
+
+def left_out_probabilities(grams):
+    """Modified Kneser-Ney in plain Python: of each 4-gram, the probability without one occurrence."""
+    counts = {4: grams}
+    for k in (3, 2, 1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    p, q = {"": 1 / 2 ** 17}, {"": 1 / 2 ** 17}
+    for k in (1, 2, 3, 4):
+        c, heads = counts[k], {}
+        n = [sum(x == i for x in c.values()) for i in range(5)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0.5
+        d = [0] + [min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.1), i - 0.1) if n[i] else 0.5 for i in (1, 2, 3)]
+        for g, x in c.items():
+            heads.setdefault(g[:-1], Counter())[g] = x
+
+        def one(g, group, lower):
+            total = sum(group.values())
+            held = sum(d[min(x, 3)] for x in group.values())
+            return max(group[g] - d[min(group[g], 3)], 0) / total + held / total * lower if total else lower
+
+        np_, nq = {}, {}
+        for g, x in c.items():
+            group = heads[g[:-1]]
+            np_[g] = one(g, group, p[g[1:]])
+            nq[g] = one(g, Counter({**group, g: x - 1}), q[g[1:]] if x == 1 else p[g[1:]])
+        p, q = np_, nq
+    return q
+
+
+def test_quality_verdict_against_plain_python(spark):
+    r = random.Random(12)
+    made = [("a", t) for t in prose(r, "abcdefg", 30, 12, 40)] + [("b", t) for t in prose(r, "defghijk", 12, 12, 40)]
+    made += [("a", "".join(r.choice("abcdefg ") for _ in range(600))), (None, "Kurz, 12."), ("b", None), ("a", ""), ("a", "aa bb " * 30)]
+    made += [made[0], made[0]]
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(made)], "doc_id long, text string, lang string")
+    of = [grams_by_hand(t or "") for _, t in made]
+    every = left_out_probabilities(Counter(g for x in of for g in x))
+    bits = [0.0] * len(made)
+    for lang in ("a", "b", None):
+        mine = [i for i, (x, _) in enumerate(made) if x == lang]
+        grams = Counter(g for i in mine for g in of[i])
+        own, size = left_out_probabilities(grams), sum(grams.values())
+        share = quality.OWN_WEIGHT * size / (size + quality.PRIOR_TEXT)
+        for i in mine:
+            letters = sum(g[3] not in ".#" for g in of[i])
+            bits[i] = -sum(math.log2(share * own[g] + (1 - share) * every[g]) for g in of[i]) / max(letters, 1)
+    quarter = lambda x: [sorted(x)[max(math.ceil(f * len(x)) - 1, 0)] for f in (0.25, 0.5, 0.75)]
+    worded = [i for i in range(len(made)) if of[i]]
+    bands = {lang: quarter([bits[i] for i in worded if made[i][0] == lang]) for lang in ("a", "b", None)}
+    low, _, high = quarter([bits[i] - bands[made[i][0]][1] for i in worded])
+    kept = {}
+    for i in range(len(made)):
+        q = bands[made[i][0]]
+        docs_ = sum(made[k][0] == made[i][0] for k in worded)
+        dev = (docs_ * (q[2] - q[0]) + quality.PRIOR_DOCS * (high - low)) / 1.349 / (docs_ + quality.PRIOR_DOCS)
+        wide = quality.BAND_WIDTH * max(dev, quality.LEAST_DEVIATION)
+        kept[i] = not of[i] or abs(bits[i] - q[1]) * len(of[i]) / (len(of[i]) + quality.PRIOR_SYMBOLS) <= wide
+    got = {x["doc_id"]: x for x in quality.quality_rules(df).collect()}
+    assert np.allclose([got[i]["perplexity"] for i in range(len(made))], np.exp2(bits), rtol=1e-9)
+    assert {i for i, x in got.items() if x["kept"]} == {i for i, x in got.items() if kept[i] and not x["base_failed"]}
+    assert not kept[42] and kept[0]
+
+
 def test_quality_band_sees_random_letters_of_other_scripts(spark):
     r = random.Random(8)
     clean = prose(r, CYRILLIC, 120)
