@@ -1,26 +1,30 @@
 """Faceted, BM25-ranked keyword search as Spark jobs (pipeline C): SRCH-1 … SRCH-7, DED-3,
 FN-18, FN-24, FLT-9 … FLT-11, JN-2, JN-5, JN-10, WIN-11.
 
-The index is two tables: ``documents`` (one row per searchable document, with its source,
-tags, label and insertion order) and ``postings`` (term, doc_id, tf, positions). A search is
-one DataFrame: the query terms (a handful of rows, broadcast) join the postings, per
-document the BM25 parts are summed, facets filter the document table before the join, and
-``orderBy(...).limit(k)`` becomes a top-k (TakeOrderedAndProject), never a full sort.
+The index is written once, as four Parquet tables under one path (``write_index``, ``open_index``): ``documents`` (a row
+per searchable document, with its source, tags, label, insertion order and length in tokens), ``postings`` (term, doc_id,
+tf, positions, doc_len) and ``terms`` (term, df, cf, max_tf), both in folders by the hash of the term and sorted by term,
+and ``stats`` (one row). A search reads the folders of its terms, sums the BM25 parts per document, joins the facet
+columns of the documents, and ``orderBy(...).limit(k)`` becomes a top-k (TakeOrderedAndProject). No search reads a text.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from markerlens.functions import text as T
 from markerlens.operators.markers import ADJECTIVE
 from markerlens.operators.ordering import with_scalars
 from markerlens.operators.spans import no_raw_tags, raw_tags, tag_words
-from markerlens.session import checkpointed
+from markerlens.session import shared_path
 
 # BM25F parameters of the search library's default scorer.
 K1 = 1.2
@@ -74,12 +78,70 @@ def build_documents(annotated: DataFrame, ai: DataFrame, corpus: DataFrame) -> D
     return docs.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def build_index(annotated: DataFrame, ai: DataFrame, corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """SRCH-1 + SRCH-2 built once: the document table is checkpointed to the shared checkpoint
-    folder (tags, clean-key dedup and stripping run once), and the postings derive from it.
-    Every search then reads the same materialised documents."""
-    docs = checkpointed(build_documents(annotated, ai, corpus))
-    return docs, build_postings(docs)
+INDEX_SCHEMAS = {
+    "documents": "doc_id string, text string, source string, source_rank int, ordinal long, tags array<string>, doc_label string, doc_len int",
+    "postings": "term string, doc_id string, tf long, positions array<int>, doc_len int, bucket int",
+    "terms": "term string, df long, cf long, max_tf long, bucket int",
+    "stats": "n_docs long, avg_len double, buckets int",
+}
+
+
+class SearchIndex(NamedTuple):
+    """SRCH-2 the tables of an index; ``buckets`` is the number of folders by term, None for frames that are not stored."""
+
+    documents: DataFrame
+    postings: DataFrame
+    terms: DataFrame
+    stats: DataFrame
+    buckets: int | None = None
+
+
+def write_index(annotated: DataFrame, ai: DataFrame, corpus: DataFrame, path: str, buckets: int | None = None) -> SearchIndex:
+    """SRCH-1 + SRCH-2 write the index under ``path`` and open it.
+
+    Texts are tokenised from the stored documents. Postings are dealt by ranges of (folder, term, document), so a
+    term that every document holds is written by many tasks, and each task writes to few folders.
+    """
+    spark = annotated.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = build_documents(annotated, ai, corpus)
+    docs.withColumn("doc_len", _doc_len()).write.parquet(f"{path}/documents")
+    docs = spark.read.schema(INDEX_SCHEMAS["documents"]).parquet(f"{path}/documents")
+    order = ["bucket", "term", "doc_id"]
+    posts = with_lengths(build_postings(docs), docs).withColumn("bucket", term_bucket(F.col("term"), buckets))
+    posts.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("bucket").parquet(f"{path}/postings")
+    terms = term_table(spark.read.schema(INDEX_SCHEMAS["postings"]).parquet(f"{path}/postings"), "bucket")
+    terms.repartitionByRange("bucket", "term").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/terms")
+    index_stats(docs).withColumn("buckets", F.lit(buckets)).write.parquet(f"{path}/stats")
+    return open_index(spark, path)
+
+
+def open_index(spark: SparkSession, path: str) -> SearchIndex:
+    """The index that ``write_index`` left under ``path``."""
+    tables = {name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in INDEX_SCHEMAS.items()}
+    return SearchIndex(**tables, buckets=tables["stats"].first()["buckets"])
+
+
+def build_index(annotated: DataFrame, ai: DataFrame, corpus: DataFrame) -> SearchIndex:
+    """An index in the shared folder, under a name of its own."""
+    return write_index(annotated, ai, corpus, shared_path(annotated.sparkSession, f"index-{uuid.uuid4().hex}"))
+
+
+def index_of(docs: DataFrame, postings: DataFrame) -> SearchIndex:
+    """An index of frames that are not stored; its searches compute lengths and statistics from the texts."""
+    docs = docs if "doc_len" in docs.columns else docs.withColumn("doc_len", _doc_len())
+    return SearchIndex(docs, with_lengths(postings, docs), term_table(postings), index_stats(docs))
+
+
+def term_bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def of_terms(df: DataFrame, terms: Sequence[str], buckets: int | None) -> DataFrame:
+    """The rows of ``terms`` in a table with a term column; of a stored one only the folders of the terms are read."""
+    if buckets:
+        df = df.where(reduce(or_, [F.col("bucket") == term_bucket(F.lit(t), buckets) for t in dict.fromkeys(terms)]))
+    return df.where(F.col("term").isin(*dict.fromkeys(terms)))
 
 
 def with_raw_tags(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -110,9 +172,19 @@ def build_postings(docs: DataFrame) -> DataFrame:
                                              F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
-def doc_lengths(docs: DataFrame) -> DataFrame:
+def term_table(postings: DataFrame, *keys: str) -> DataFrame:
+    """Per term the documents that hold it, its occurrences and the most in one document."""
+    return postings.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("cf"),
+                                               F.max("tf").cast("long").alias("max_tf"))
+
+
+def _doc_len() -> Column:
     """Field length in index tokens (a match count; no token array is built)."""
-    return docs.select("doc_id", F.regexp_count(F.lower(F.col("text")), F.lit(T.SEARCH_TOKEN)).alias("doc_len"))
+    return F.regexp_count(F.lower(F.col("text")), F.lit(T.SEARCH_TOKEN))
+
+
+def with_lengths(postings: DataFrame, docs: DataFrame) -> DataFrame:
+    return postings.join(docs.select("doc_id", "doc_len"), "doc_id")
 
 
 def index_stats(lengths: DataFrame) -> DataFrame:
@@ -139,71 +211,84 @@ def _bm25(tf: Column, df: Column, doc_len: Column, n_docs: Column, avg_len: Colu
     return idf * (tf * (K1 + 1)) / (tf + K1 * ((1 - B) + B * doc_len / avg_len))
 
 
-def search(docs: DataFrame, postings: DataFrame, terms: Sequence[str], mode: str = "all",
-           source: str = "all", tags: Sequence[str] = (), label: str = "all",
-           limit: int | None = 50) -> DataFrame:
+def search(docs: DataFrame, postings: DataFrame, terms: Sequence[str], **options) -> DataFrame:
+    """``search_index`` over frames that are not stored."""
+    return search_index(index_of(docs, postings), terms, **options)
+
+
+def search_index(index: SearchIndex, terms: Sequence[str], mode: str = "all", source: str = "all", tags: Sequence[str] = (),
+                 label: str = "all", limit: int | None = 50) -> DataFrame:
     """SRCH-3/4/5/7 ranked search. ``terms`` empty → every document in insertion order.
 
     Scores use statistics of the whole index (facets never change them). ``mode='all'`` keeps
     documents holding every term, ``'any'`` those holding at least one.
     """
-    cand = facet_filter(docs, source, tags, label)
-    terms = [t.lower() for t in terms if t and t.strip()]
+    cand = facet_filter(index.documents, source, tags, label)
+    terms = list(dict.fromkeys(t.lower() for t in terms if t and t.strip()))
+    columns = ["doc_id", "source", "tags", "doc_label", "source_rank", "ordinal"]
     if not terms:
-        res = cand.select("doc_id", "source", "tags", "doc_label", "source_rank", "ordinal",
-                          F.lit(None).cast("double").alias("score"))
-        ordered = res.orderBy("source_rank", "ordinal")
+        ordered = cand.select(*columns, F.lit(None).cast("double").alias("score")).orderBy("source_rank", "ordinal")
         return ordered.limit(limit) if limit else ordered
-    lengths = doc_lengths(docs)
-    stats = index_stats(lengths)
-    # The query terms become an IN filter that reaches the postings scan (pushed down to a
-    # stored postings table, where files sorted or bucketed by term skip most row groups).
-    hits = postings.where(F.col("term").isin(*dict.fromkeys(terms)))
-    dfs = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    scored = with_scalars(hits.join(F.broadcast(dfs), "term").join(lengths, "doc_id"), stats)
+    hits = of_terms(index.postings, terms, index.buckets).select("term", "doc_id", "tf", "doc_len")
+    # a row per query term
+    dfs = F.broadcast(of_terms(index.terms, terms, index.buckets).select("term", "df"))
+    scored = with_scalars(hits.join(dfs, "term"), index.stats.select("n_docs", "avg_len"))
     part = _bm25(F.col("tf"), F.col("df"), F.col("doc_len"), F.col("n_docs"), F.col("avg_len"))
     per_doc = scored.groupBy("doc_id").agg(F.sum(part).alias("score"), F.count(F.lit(1)).alias("_matched"))
     if mode == "all":
-        per_doc = per_doc.where(F.col("_matched") == len(set(terms)))
-    res = cand.join(per_doc, "doc_id", "inner").select(
-        "doc_id", "source", "tags", "doc_label", "source_rank", "ordinal", "score")
-    ordered = res.orderBy(F.desc("score"), "source_rank", "ordinal")
+        per_doc = per_doc.where(F.col("_matched") == len(terms))
+    ordered = cand.join(per_doc, "doc_id").select(*columns, "score").orderBy(F.desc("score"), "source_rank", "ordinal")
     return ordered.limit(limit) if limit else ordered
 
 
-def phrase_search(docs: DataFrame, postings: DataFrame, phrase: Sequence[str], source: str = "all",
-                  tags: Sequence[str] = (), label: str = "all", limit: int | None = 50) -> DataFrame:
-    """SRCH-7 phrase match: consecutive positions ``pos_{k+1} = pos_k + 1``. Scored by BM25 with
-    the phrase count as tf and the number of documents holding the phrase as df."""
+def phrase_search(docs: DataFrame, postings: DataFrame, phrase: Sequence[str], **options) -> DataFrame:
+    """``search_phrase`` over frames that are not stored."""
+    return search_phrase(index_of(docs, postings), phrase, **options)
+
+
+def _moved_back(positions: Column, k: int) -> Column:
+    return F.transform(positions, lambda x: x - k)
+
+
+def phrase_counts(index: SearchIndex, phrase: Sequence[str]) -> DataFrame:
+    """(doc_id, doc_len, tf) of the documents that hold the words side by side. A document's position lists, one per
+    different word, are brought together; the k-th word's, moved back by k, are intersected."""
     words = [w.lower() for w in phrase]
-    occ = None
-    for k, w in enumerate(words):
-        p = (postings.where(F.col("term") == w)
-             .select("doc_id", F.explode("positions").alias("_pos"))
-             .select("doc_id", (F.col("_pos") - k).alias("start")))
-        occ = p if occ is None else occ.join(p, ["doc_id", "start"], "inner")
-    per_doc = occ.groupBy("doc_id").agg(F.count(F.lit(1)).alias("tf"))
-    lengths = doc_lengths(docs)
-    stats = index_stats(lengths)
+    different = list(dict.fromkeys(words))
+    hits = of_terms(index.postings, different, index.buckets)
+    lists = hits.groupBy("doc_id").agg(F.max("doc_len").alias("doc_len"), *[
+        F.collect_list(F.when(F.col("term") == w, F.col("positions"))).alias(f"_p{i}") for i, w in enumerate(different)])
+    lists = lists.where(reduce(and_, [F.size(f"_p{i}") > 0 for i in range(len(different))]))
+    starts = reduce(F.array_intersect, [_moved_back(F.get(f"_p{different.index(w)}", 0), k) for k, w in enumerate(words)])
+    return lists.select("doc_id", "doc_len", F.size(starts).cast("long").alias("tf")).where("tf > 0")
+
+
+def search_phrase(index: SearchIndex, phrase: Sequence[str], source: str = "all", tags: Sequence[str] = (), label: str = "all",
+                  limit: int | None = 50) -> DataFrame:
+    """SRCH-7 phrase match, scored by BM25 with the phrase count as tf and the number of documents holding the phrase as df."""
+    per_doc = phrase_counts(index, phrase)
     n_with = per_doc.agg(F.count(F.lit(1)).alias("df"))
-    scored = with_scalars(with_scalars(per_doc.join(lengths, "doc_id"), stats), n_with)
+    scored = with_scalars(with_scalars(per_doc, index.stats.select("n_docs", "avg_len")), n_with)
     scored = scored.select("doc_id", "tf", _bm25(F.col("tf"), F.col("df"), F.col("doc_len"), F.col("n_docs"),
                                                  F.col("avg_len")).alias("score"))
-    cand = facet_filter(docs, source, tags, label)
+    cand = facet_filter(index.documents, source, tags, label)
     res = cand.join(scored, "doc_id").select("doc_id", "source", "source_rank", "ordinal", "tf", "score")
     ordered = res.orderBy(F.desc("score"), "source_rank", "ordinal")
     return ordered.limit(limit) if limit else ordered
 
 
-def two_panel(docs: DataFrame, postings: DataFrame, terms: Sequence[str], show_ai: bool = True,
-              **facets) -> DataFrame:
+def two_panel(docs: DataFrame, postings: DataFrame, terms: Sequence[str], show_ai: bool = True, **facets) -> DataFrame:
+    """``search_panels`` over frames that are not stored."""
+    return search_panels(index_of(docs, postings), terms, show_ai, **facets)
+
+
+def search_panels(index: SearchIndex, terms: Sequence[str], show_ai: bool = True, **facets) -> DataFrame:
     """SRCH-6 main panel and, on request, the same query over the AI documents."""
-    main = search(docs, postings, terms, **facets).withColumn("panel", F.lit("main"))
+    main = search_index(index, terms, **facets).withColumn("panel", F.lit("main"))
     if not show_ai:
         return main
-    f = dict(facets)
-    f["source"] = "ai"
-    return main.unionByName(search(docs, postings, terms, **f).withColumn("panel", F.lit("ai")))
+    ai = search_index(index, terms, **{**facets, "source": "ai"})
+    return main.unionByName(ai.withColumn("panel", F.lit("ai")))
 
 
 def pair_with_ai(main: DataFrame, ai_docs: DataFrame) -> DataFrame:
@@ -214,8 +299,3 @@ def pair_with_ai(main: DataFrame, ai_docs: DataFrame) -> DataFrame:
              .groupBy("_k").agg(F.max("_s").alias("_s"))
              .select("_k", F.col("_s.doc_id").alias("ai_doc_id")))
     return main.withColumn("_k", key).join(right, "_k", "left").drop("_k")
-
-
-def idf_value(n_docs: int, df: int) -> float:
-    """Plain-Python idf for tests."""
-    return math.log(n_docs / (df + 1)) + 1

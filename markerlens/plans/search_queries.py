@@ -106,7 +106,7 @@ _RAW_JSON = " || ', ' || ".join(f"""'"{t}": [' || coalesce({t}_spans, '') || ']'
 
 
 def index_with_raw_tags(spark, sf):
-    docs, _ = index(spark, sf)
+    docs = index(spark, sf).documents
     lex, acr, prof = _inputs(spark)
     return Q.with_raw_tags(docs, M.marker_spans(docs.select("doc_id", "text"), lex, acronyms=acr, profanity=prof))
 
@@ -126,38 +126,32 @@ def search_documents(spark, sf):
 WITH {DOCS_SQL}
 SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf, CAST(max(tf) AS BIGINT) AS max_tf FROM post GROUP BY term""")
 def postings(spark, sf):
-    _, post = index(spark, sf)
-    return post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("cf"),
-                                    F.max("tf").cast("long").alias("max_tf"))
+    return index(spark, sf).terms.select("term", "df", "cf", "max_tf")
 
 
 @register("bm25_all_terms", ("SRCH-3", "JN-10", "WIN-11", "FLT-9"),
           sql=_search_sql(ALL_TERMS, "all", "source IN ('annotated', 'corpus')"))
 def bm25_all_terms(spark, sf):
-    docs, post = index(spark, sf)
-    return _out(Q.search(docs, post, list(ALL_TERMS), mode="all"))
+    return _out(Q.search_index(index(spark, sf), list(ALL_TERMS), mode="all"))
 
 
 @register("bm25_any_term", ("SRCH-7", "SRCH-3", "WIN-11"),
           sql=_search_sql(ANY_TERMS, "any", "source IN ('annotated', 'corpus')"))
 def bm25_any_term(spark, sf):
-    docs, post = index(spark, sf)
-    return _out(Q.search(docs, post, list(ANY_TERMS), mode="any"))
+    return _out(Q.search_index(index(spark, sf), list(ANY_TERMS), mode="any"))
 
 
 @register("faceted_search", ("SRCH-5", "FLT-9", "FLT-10", "FLT-11"),
           sql=_search_sql(("the",), "all", "source IN ('annotated', 'corpus') AND list_has_all(tags, ['adjectives']) "
                                            "AND doc_label = '1'"))
 def faceted_search(spark, sf):
-    docs, post = index(spark, sf)
-    return _out(Q.search(docs, post, ["the"], source="all", tags=["adjectives"], label="1"))
+    return _out(Q.search_index(index(spark, sf), ["the"], source="all", tags=["adjectives"], label="1"))
 
 
 @register("faceted_search_annotated", ("SRCH-5", "FLT-9", "FLT-10"),
           sql=_search_sql(("the",), "all", "source = 'annotated' AND list_has_all(tags, ['hedging', 'adjectives'])"))
 def faceted_search_annotated(spark, sf):
-    docs, post = index(spark, sf)
-    return _out(Q.search(docs, post, ["the"], source="annotated", tags=["hedging", "adjectives"]))
+    return _out(Q.search_index(index(spark, sf), ["the"], source="annotated", tags=["hedging", "adjectives"]))
 
 
 @register("match_all", ("SRCH-4", "WIN-11"), sql=f"""
@@ -165,8 +159,7 @@ WITH {DOCS_SQL}
 SELECT doc_id, source, array_to_string(tags, ' ') AS tags, CAST(NULL AS DOUBLE) AS score
 FROM docs WHERE source IN ('annotated', 'corpus') ORDER BY source_rank, ordinal LIMIT 50""")
 def match_all(spark, sf):
-    docs, post = index(spark, sf)
-    return _out(Q.search(docs, post, []))
+    return _out(Q.search_index(index(spark, sf), []))
 
 
 @register("phrase_search", ("SRCH-7",), sql=f"""
@@ -179,8 +172,7 @@ sc AS (SELECT o.doc_id, o.tf, {_bm25_sql('o.tf', 'nw.df')} AS score FROM occ o J
 SELECT docs.doc_id, source, tf, round(score, 6) AS score FROM docs JOIN sc ON docs.doc_id = sc.doc_id
 WHERE source IN ('annotated', 'corpus') ORDER BY sc.score DESC, source_rank, ordinal LIMIT 50""")
 def phrase_search(spark, sf):
-    docs, post = index(spark, sf)
-    res = Q.phrase_search(docs, post, list(PHRASE))
+    res = Q.search_phrase(index(spark, sf), list(PHRASE))
     return res.select("doc_id", "source", "tf", F.round("score", 6).alias("score"))
 
 
@@ -196,8 +188,7 @@ ai AS (SELECT 'ai' AS panel, docs.doc_id, source, round(score, 6) AS score FROM
        WHERE source = 'ai' ORDER BY sc.score DESC, source_rank, ordinal LIMIT 50)
 SELECT * FROM main UNION ALL SELECT * FROM ai""")
 def two_panel_search(spark, sf):
-    docs, post = index(spark, sf)
-    res = Q.two_panel(docs, post, ["that"])
+    res = Q.search_panels(index(spark, sf), ["that"])
     return res.select("panel", "doc_id", "source", F.round("score", 6).alias("score"))
 
 
@@ -208,7 +199,7 @@ ai AS (SELECT lower({S.strip_ws('text')}) AS k, arg_max(doc_id, ordinal) AS ai_d
 SELECT d.doc_id, ai.ai_doc_id FROM docs d LEFT JOIN ai ON lower({S.strip_ws('d.text')}) = ai.k
 WHERE d.source IN ('annotated', 'corpus')""")
 def human_ai_pairing(spark, sf):
-    docs, _ = index(spark, sf)
+    docs = index(spark, sf).documents
     main = docs.where(F.col("source").isin("annotated", "corpus")).select("doc_id", "text")
     ai = docs.where(F.col("source") == "ai").select("doc_id", "text", "ordinal")
     return Q.pair_with_ai(main, ai).select("doc_id", "ai_doc_id")
@@ -218,5 +209,5 @@ def human_ai_pairing(spark, sf):
 WITH {DOCS_SQL}
 SELECT source, count(*) AS n_docs FROM docs GROUP BY source""")
 def search_source_counts(spark, sf):
-    docs, _ = index(spark, sf)
+    docs = index(spark, sf).documents
     return Q.source_counts(docs)

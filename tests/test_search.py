@@ -1,6 +1,8 @@
 """Search on the four-document fixture (FIXTURES F6) and the ingestion dedup cases (F8)."""
 
 import math
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,3 +83,66 @@ def test_pairing_last_ai_wins(spark):
     main = spark.createDataFrame([("annot_0", "Hello ")], "doc_id string, text string")
     ai = spark.createDataFrame([("ai_1", "hello", 1), ("ai_2", "HELLO", 2)], "doc_id string, text string, ordinal long")
     assert Q.pair_with_ai(main, ai).first()["ai_doc_id"] == "ai_2"
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    r = random.Random(3)
+    text = lambda: " ".join(r.choices("the of cat Dog sat on mat".split(), [9, 6, 2, 2, 1, 1, 1], k=r.randint(1, 30)))
+    rows = {s: [(i, text(), r.choice("01"), r.choice([[], ["hedging"]])) for i in range(40)] for s in ("annotated", "ai", "corpus")}
+    frames = [spark.createDataFrame(rows[s], DOC_SCHEMA) for s in ("annotated", "ai", "corpus")]
+    path = str(tmp_path_factory.mktemp("index") / "one")
+    Q.write_index(*frames, path, buckets=5)
+    return path, Q.build_documents(*frames).collect()
+
+
+def phrases_by_hand(docs, phrase):
+    out = {}
+    for d in docs:
+        w = d["text"].lower().split()
+        n = sum(w[i:i + len(phrase)] == phrase for i in range(len(w)))
+        if n:
+            out[d["doc_id"]] = n
+    return out
+
+
+@pytest.mark.parametrize("phrase", [["the"], ["of", "the"], ["the", "the"], ["the", "of", "the"], ["cat", "bird"]])
+def test_stored_phrases_against_brute_force(spark, corpus, phrase):
+    path, docs = corpus
+    got = {r["doc_id"]: r["tf"] for r in Q.phrase_counts(Q.open_index(spark, path), phrase).collect()}
+    assert got == phrases_by_hand(docs, phrase)
+
+
+@pytest.mark.parametrize("terms, mode", [(["the"], "all"), (["cat", "dog"], "all"), (["CAT", "sat", "bird"], "any"), (["bird"], "all")])
+def test_stored_search_against_brute_force(spark, corpus, terms, mode):
+    path, docs = corpus
+    words = {d["doc_id"]: d["text"].lower().split() for d in docs}
+    mean = sum(map(len, words.values())) / len(words)
+    want = {}
+    for d in docs:
+        w, score, n = words[d["doc_id"]], 0.0, 0
+        for t in {t.lower() for t in terms}:
+            df, tf = sum(t in x for x in words.values()), w.count(t)
+            n += tf > 0
+            score += (math.log(len(words) / (df + 1)) + 1) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(w) / mean)) if tf else 0
+        if d["source"] != "ai" and n and (mode == "any" or n == len(terms)):
+            want[d["doc_id"]] = score
+    got = Q.search_index(Q.open_index(spark, path), terms, mode=mode, limit=None).collect()
+    assert {r["doc_id"]: r["score"] for r in got} == pytest.approx(want)
+    assert [r["score"] for r in got] == sorted((r["score"] for r in got), reverse=True)
+
+
+def test_stored_search_reads_no_text_and_only_its_folders(spark, corpus):
+    index = Q.open_index(spark, corpus[0])
+    for df in (Q.search_index(index, ["cat", "dog"]), Q.search_phrase(index, ["of", "the"]), Q.search_panels(index, ["cat"])):
+        plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        assert "text:string" not in plan and "regexp" not in plan
+        assert re.search(r"PartitionFilters: \[.*bucket#\d+ (=|IN|INSET)", plan)
+        assert "CartesianProduct" not in plan
+
+
+def test_index_of_nothing(spark):
+    none = spark.createDataFrame([], DOC_SCHEMA)
+    index = Q.build_index(none, none, none)
+    assert [df.count() for df in (index.documents, index.postings, Q.search_index(index, ["a"]), Q.search_index(index, []),
+                                  Q.search_phrase(index, ["a", "b"]))] == [0] * 5
