@@ -9,19 +9,24 @@ split. Models are ``pyspark.ml`` estimators on assembled sparse vectors; grid se
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from markerlens.operators.evaluate import class_metrics
-from markerlens.operators.ordering import contiguous_index
+from markerlens.operators.ordering import contiguous_index, with_scalars
+from markerlens.session import shared_path
 
 # Split names and percentages of the 60 / 20 / 20 split, and the default seeds.
 SPLITS = (("train", 60), ("dev", 20), ("test", 20))
@@ -103,7 +108,6 @@ def top_fraction(ranked: DataFrame, order: Sequence[Column | str], pct: float, i
     o = ranked.select("*", *[(c if isinstance(c, Column) else F.col(c)).alias(f"_o{i}") for i, c in enumerate(order)])
     idx = contiguous_index(o, [f"_o{i}" for i in range(len(order))] + [id_col], "_idx")
     n = ranked.agg(F.count(F.lit(1)).alias("_n"))
-    from markerlens.operators.ordering import with_scalars
     j = with_scalars(idx, n)
     return j.withColumn("top", F.col("_idx") < F.bround(F.col("_n") * pct, 0)) \
         .drop("_idx", "_n", *[f"_o{i}" for i in range(len(order))])
@@ -111,40 +115,41 @@ def top_fraction(ranked: DataFrame, order: Sequence[Column | str], pct: float, i
 
 # ---------------------------------------------------------------- features → vectors
 
-def sparse_features(weights: DataFrame, vocab_index: DataFrame, dense: DataFrame | None,
-                    dense_cols: Sequence[str] = (), doc: str = "doc_id") -> DataFrame:
-    """ML-4 (doc, features): TF-IDF weights at their vocabulary index, then dense columns.
+def term_block(docs: DataFrame, weights: DataFrame, vocab_index: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """(doc, terms): a sparse vector of the TF-IDF weights at their vocabulary index for each document of
+    ``docs``, all zeros without a term.
 
-    The index table has at most ``max_features`` rows (broadcast). The per-document entries
-    are collected per document (bounded by its length); the vector object itself is built
-    by a small per-row helper, since SQL has no sparse-vector constructor.
+    The index table has at most ``max_features`` rows (broadcast). SQL has no constructor of sparse vectors, but
+    Parquet holds them as (type, size, indices, values): the struct is written to the shared folder and read as
+    vectors, so no row passes through Python.
     """
-    size = vocab_index.count()
-    nd = len(dense_cols)
-    entries = weights.join(F.broadcast(vocab_index), "term", "inner") \
-        .groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_e"))
-    base = dense if dense is not None else weights.select(doc).distinct()
-    j = base.join(entries, doc, "left")
-    dense_arr = F.array(*[F.col(c).cast("double") for c in dense_cols]) if nd else F.array().cast("array<double>")
-
-    @F.udf(VectorUDT())
-    def to_vector(e, d):
-        idx = [int(x["idx"]) for x in (e or [])]
-        val = [float(x["weight"]) for x in (e or [])]
-        for i, v in enumerate(d or []):
-            if v:
-                idx.append(size + i)
-                val.append(float(v))
-        return SparseVector(size + nd, idx, val)
-
-    return j.select("*", to_vector(F.col("_e"), dense_arr).alias("features")).drop("_e")
+    spark = docs.sparkSession
+    entries = (weights.join(F.broadcast(vocab_index), "term").groupBy(doc)
+               .agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), F.col("weight").cast("double").alias("w")))).alias("_e")))
+    j = with_scalars(docs.select(doc).distinct().join(entries, doc, "left"), vocab_index.agg(F.count(F.lit(1)).cast("int").alias("_n")))
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    vector = F.struct(F.lit(0).cast("byte").alias("type"), F.col("_n").alias("size"), F.coalesce("_e.idx", none("int")).alias("indices"),
+                      F.coalesce("_e.w", none("double")).alias("values"))
+    path = shared_path(spark, f"terms-{uuid.uuid4().hex}")
+    out = j.select(doc, vector.alias("terms"))
+    out.write.parquet(path)
+    return spark.read.schema(StructType([out.schema[doc], StructField("terms", VectorUDT())])).parquet(path)
+
+
+def assembled(blocks: Sequence[DataFrame], variants: dict[str, Sequence[str]], doc: str = "doc_id") -> DataFrame:
+    """JN-12, ML-4 the blocks side by side by document, and for each variant a vector column of that name of the
+    columns it lists (numbers and vectors, in this order). The first block gives the rows; each other one must have
+    a row for every document of it."""
+    out = reduce(lambda a, b: a.join(b, doc), blocks)
+    for name, columns in variants.items():
+        out = VectorAssembler(inputCols=list(columns), outputCol=name).transform(out)
+    return out
 
 
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """AGG-31 balanced class weights n / (2·n_c), as a ``weight`` column."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     n = df.agg(F.count(F.lit(1)).alias("_n"))
-    from markerlens.operators.ordering import with_scalars
     w = with_scalars(c, n).select(label, (F.col("_n") / (2.0 * F.col("_nc"))).alias("weight"))
     return df.join(F.broadcast(w), label, "left")
 
@@ -160,10 +165,10 @@ def fit_frame(df: DataFrame) -> tuple[DataFrame, int]:
     return df.repartition(parts).cache(), n
 
 
-def logreg(c_value: float, n_rows: int, label: str = "label") -> LogisticRegression:
+def logreg(c_value: float, n_rows: int, label: str = "label", features: str = "features") -> LogisticRegression:
     """ML-5 L2 logistic regression, inverse strength C: regParam = 1/(C·n), no internal
     standardisation, class-balanced row weights."""
-    return LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
+    return LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight",
                               regParam=1.0 / (c_value * n_rows), elasticNetParam=0.0,
                               standardization=False, maxIter=1000, family="binomial",
                               # stopping tolerance as in the reference's solver defaults (1e-4)

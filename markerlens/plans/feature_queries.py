@@ -121,14 +121,14 @@ _LEX = sorted({t for _, t in STANDIN_LEXICON})
 FEATS = ("all_caps_bin", "exclamation_marks_bin", "hedging_bin", "adjectives_bin", "unk_bin", "text_length")
 
 
-def _flag_sql(t: str) -> str:
+def flag_sql(t: str) -> str:
     from markerlens.plans.search_queries import _CHECKS
     return f"CAST(CASE WHEN {_CHECKS[t]} THEN 1 ELSE 0 END AS DOUBLE) AS {t}_bin"
 
 
 @register("standardise", ("ML-2", "ML-3", "AGG-33", "FN-15"), sql=f"""
 WITH {TRAIN_SQL},
-f AS (SELECT d.doc_id, {", ".join(_flag_sql(t) for t in T.TAGS)}, CAST(length(d.text) AS DOUBLE) AS text_length,
+f AS (SELECT d.doc_id, {", ".join(flag_sql(t) for t in T.TAGS)}, CAST(length(d.text) AS DOUBLE) AS text_length,
              l.doc_id IS NOT NULL AS is_train
       FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 fit AS (SELECT {", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in FEATS)} FROM f WHERE is_train)
@@ -234,6 +234,11 @@ def _class_expr(tok):
             .otherwise("X"))
 
 
+def token_classes(vocab):
+    """(token, class) of the vocabulary's words."""
+    return vocab.where(F.col("token_id") >= 2).select("token", _class_expr(F.col("token")).alias("class"))
+
+
 def _class_sql(tok: str) -> str:
     parts = [f"WHEN regexp_matches({tok}, '^[0-9]+$') THEN 'NUM'"]
     for cls, words in CLASS_WORDS.items():
@@ -257,9 +262,7 @@ n AS (SELECT doc_id, count(*) AS n FROM dtok GROUP BY doc_id)
 SELECT d.doc_id, {_SHARES.replace("ELSE 0 END", "ELSE 0.0 END")}
 FROM documents d LEFT JOIN cls ON d.doc_id = cls.doc_id LEFT JOIN n ON d.doc_id = n.doc_id GROUP BY d.doc_id, n.n""")
 def tag_distribution_vector(spark, sf):
-    vocab = vocab_df(spark, sf).where(F.col("token_id") >= 2)
-    classes = vocab.select("token", _class_expr(F.col("token")).alias("class"))
-    d = X.tag_distribution_vector(all_rows(spark, sf), classes)
+    d = X.tag_distribution_vector(all_rows(spark, sf), token_classes(vocab_df(spark, sf)))
     return d.select("doc_id", *[r6(c).alias(c) for c in X.POS_CLASSES])
 
 

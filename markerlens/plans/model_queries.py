@@ -7,6 +7,9 @@ tested in ``tests/test_models.py``.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from markerlens.functions import text as T
@@ -14,6 +17,7 @@ from markerlens.operators import evaluate as V
 from markerlens.operators import features as X
 from markerlens.operators import models as M
 from markerlens.operators.ordering import contiguous_index
+from markerlens.plans import feature_queries as E
 from markerlens.plans.registry import register
 from markerlens.plans.search_queries import LEX_TERMS
 from markerlens.plans.marker_queries import ACRONYMS, PROFANITY
@@ -83,32 +87,91 @@ def split_shares(spark, sf):
 
 # ---------------------------------------------------------------- model fits (rows-only checks)
 
-def _features(spark, sf):
-    """Split rows with the assembled feature vector (TF-IDF fitted on train + standardised flags)."""
-    rows = checkpointed(split_rows(spark, sf))
-    train = rows.where(F.col("split") == "train")
+def _blocks(spark, sf, rows, train):
+    """ML-4 the blocks of ``rows`` (doc_id, text, FLAG_COLS), fitted on ``train``: rows with standardised flags,
+    TF-IDF vectors, weighted embeddings and tag shares; and the columns of each variant."""
     model = X.tfidf_fit(train)
-    vocab_index = contiguous_index(model.select("term"), "term", "idx")
+    # a table of max_features rows at most, read by the block and by its size
+    vocab_index = checkpointed(contiguous_index(model.select("term"), "term", "idx"))
     weights = X.tfidf_transform(rows, model)
-    fit = X.standardise_fit(train, FLAG_COLS)
-    dense = X.standardise_apply(rows, fit, FLAG_COLS)
-    # written once to the shared checkpoint folder: every fit and every scoring pass below
-    # reads these rows instead of re-running the feature lineage
-    return checkpointed(M.sparse_features(weights, vocab_index, dense, FLAG_COLS))
+    flags = X.standardise_apply(rows, X.standardise_fit(train, FLAG_COLS), FLAG_COLS)
+    vocab = checkpointed(X.vocabulary(train, "doc_id"))
+    vecs = X.token_vectors(vocab, E.vectors_df(spark, sf, vocab), E.DIM)
+    embedding = X.doc_embedding(rows, vocab, vecs, E.DIM, weights=weights).select("doc_id", array_to_vector("embedding").alias("embedding"))
+    shares = X.tag_distribution_vector(rows, E.token_classes(vocab))
+    base = ["terms", *FLAG_COLS]
+    variants = {"base": base, "transfer": [*base, "embedding"], "cascaded": [*base, "embedding", *X.POS_CLASSES]}
+    return [flags, M.term_block(rows, weights, vocab_index), embedding, shares], variants
+
 
+def _features(spark, sf):
+    """Split rows with the base vector as ``features`` (TF-IDF fitted on train + standardised flags)."""
+    return _variants(spark, sf).withColumnRenamed("base", "features").drop("transfer", "cascaded")
 
-def _fit_and_score(train, evalset, task, name, c_value=1.0):
+
+def _variants(spark, sf):
+    """Split rows with the vectors base, transfer and cascaded, fitted on the train split."""
+    rows = checkpointed(split_rows(spark, sf))
+    blocks, variants = _blocks(spark, sf, rows, rows.where(F.col("split") == "train"))
+    # written once to the shared checkpoint folder: every fit and every scoring pass below
+    # reads these rows instead of re-running the feature lineage
+    return checkpointed(M.assembled(blocks, variants))
+
+
+_FLAGS_SQL = f"""f AS (SELECT d.doc_id, {", ".join(E.flag_sql(t) for t in T.TAGS)}, CAST(length(d.text) AS DOUBLE) AS text_length,
+             l.doc_id IS NOT NULL AS is_train FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+fit AS (SELECT {", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in FLAG_COLS)} FROM f WHERE is_train),
+flags AS (SELECT doc_id, {" + ".join(f"({c} - {c}_m) / (CASE WHEN {c}_s = 0 THEN 1.0 ELSE {c}_s END)" for c in FLAG_COLS)} AS v FROM f, fit)"""
+
+
+@register("feature_variants", ("ML-4", "JN-12", "ML-1", "ML-3", "AGG-36", "AGG-38"), sql=f"""
+WITH {E.TFIDF_SQL},
+{E.EMB_SQL.replace(E.TRAIN_SQL + ",", "", 1)},
+{_FLAGS_SQL},
+terms_of AS (SELECT doc_id, count(*) AS k, sum(weight) AS v FROM tfidf GROUP BY doc_id),
+tw AS (SELECT tfc.doc_id, tfc.token, tfc.tf * coalesce(tfidf.weight, 0.001::DOUBLE) AS c
+       FROM tfc LEFT JOIN tfidf ON tfc.doc_id = tfidf.doc_id AND tfc.token = tfidf.term),
+wsum AS (SELECT doc_id, sum(c) AS ws FROM tw GROUP BY doc_id),
+emb AS (SELECT comp.doc_id, sum(tw.c * comp.x) / any_value(wsum.ws) AS v FROM comp JOIN tw ON comp.doc_id = tw.doc_id AND comp.token = tw.token
+        JOIN wsum ON comp.doc_id = wsum.doc_id GROUP BY comp.doc_id),
+shares AS (SELECT tfc.doc_id, sum(tf) FILTER (WHERE v.token IS NOT NULL) / sum(tf) AS v
+           FROM tfc LEFT JOIN (SELECT token FROM vocab WHERE token_id >= 2) v ON tfc.token = v.token GROUP BY tfc.doc_id),
+parts AS (SELECT d.doc_id, coalesce(t.k, 0) AS n_terms, coalesce(t.v, 0) + flags.v AS base, coalesce(emb.v, 0) AS emb, coalesce(shares.v, 0) AS shares,
+                 (SELECT count(*) FROM model) + {len(FLAG_COLS)} AS width
+          FROM documents d JOIN flags ON d.doc_id = flags.doc_id LEFT JOIN terms_of t ON d.doc_id = t.doc_id
+          LEFT JOIN emb ON d.doc_id = emb.doc_id LEFT JOIN shares ON d.doc_id = shares.doc_id)
+SELECT doc_id, 'base' AS variant, width AS n_features, n_terms, round(base, 4) AS total FROM parts
+UNION ALL SELECT doc_id, 'transfer', width + {E.DIM}, n_terms, round(base + emb, 4) FROM parts
+UNION ALL SELECT doc_id, 'cascaded', width + {E.DIM + len(X.POS_CLASSES)}, n_terms, round(base + emb + shares, 4) FROM parts""")
+def feature_variants(spark, sf):
+    """Each document's three vectors (fitted on the labelled documents): length, terms and sum of the entries."""
+    tags = Q.rule_tags("text", LEX_TERMS, ACRONYMS, PROFANITY)
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "text", *[F.array_contains(tags, t).cast("double").alias(f"{t}_bin") for t in T.TAGS], F.length("text").cast("double").alias("text_length"))
+    docs = checkpointed(docs)
+    train = docs.join(table(spark, sf, "labels").select("doc_id"), "doc_id")
+    blocks, variants = _blocks(spark, sf, docs, train)
+    rows = M.assembled(blocks, variants)
+    entries = lambda c: vector_to_array(c)
+    return rows.select("doc_id", F.size(F.filter(entries("terms"), lambda x: x != 0)).cast("long").alias("n_terms"),
+                       F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), entries(v).alias("x")) for v in variants])).alias("v")) \
+        .select("doc_id", "v.variant", F.size("v.x").cast("long").alias("n_features"), "n_terms",
+                F.round(F.aggregate("v.x", F.lit(0.0), lambda a, b: a + b), 4).alias("total"))
+
+
+def _fit_and_score(train, evalset, task, name, c_value=1.0, features="features"):
     w, n = M.fit_frame(M.balanced_weights(train.withColumn("label", F.col(task)), "label"))
-    lr = M.logreg(c_value, n, "label").fit(w)
+    lr = M.logreg(c_value, n, "label", features).fit(w)
+    w.unpersist()
     return lr, M.score(lr, evalset.withColumn("label", F.col(task)), task, name, "label")
 
 
 @register("logreg_scores", ("ML-4", "ML-5", "ML-7", "AGG-31", "JN-12"))
 def logreg_scores(spark, sf):
-    feats = _features(spark, sf)
+    feats = _variants(spark, sf)
     train, dev = feats.where("split = 'train'"), feats.where("split = 'dev'")
-    outs = [_fit_and_score(train, dev, task, "logreg_base")[1] for task in ("quality", "toxic")]
-    return outs[0].unionByName(outs[1])
+    outs = [_fit_and_score(train, dev, task, f"logreg_{v}", features=v)[1] for v in ("base", "transfer", "cascaded") for task in ("quality", "toxic")]
+    return reduce(lambda a, b: a.unionByName(b), outs)
 
 
 @register("grid_search", ("ML-6", "ML-8", "AGG-25"))
@@ -131,7 +194,7 @@ def self_training(spark, sf):
     for task in ("quality", "toxic"):
         base, _ = _fit_and_score(train, dev, task, "base")
         pseudo = base.transform(M.balanced_weights(pool.withColumn("label", F.col(task)), "label").drop("weight")) \
-            .select(*train.columns[:0], *[c for c in pool.columns if c != task],
+            .select(*[c for c in pool.columns if c != task],
                     F.col("prediction").cast("int").alias(task))
         grown = train.unionByName(pseudo.select(*train.columns), allowMissingColumns=True)
         _, scored = _fit_and_score(grown, dev, task, "self_trained")

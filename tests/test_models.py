@@ -41,3 +41,39 @@ def test_fit_and_score(spark):
     model = M.logreg(1.0, n).fit(train)
     s = M.score(model, df, "t", "m", "label")
     assert s.where("pred = label").count() == 40
+
+
+def test_variants_side_by_side_and_closed_form(spark):
+    import math
+
+    from pyspark.ml.functions import array_to_vector
+
+    # the term stands in 30 of 40 documents of label 1 and in 10 of 40 of label 0
+    rows = [(i, i % 2, int(i // 2 < (30 if i % 2 else 10))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, label int, has int")
+    weights = docs.where("has = 1").select("doc_id", F.lit("t").alias("term"), F.lit(1.0).alias("weight"))
+    weights = weights.unionByName(docs.select("doc_id", F.lit("outside").alias("term"), F.lit(9.0).alias("weight")))
+    index = spark.createDataFrame([("t", 1), ("unused", 0)], "term string, idx long")
+    block = M.term_block(docs, weights, index)
+    got = {r["doc_id"]: r["terms"] for r in block.collect()}
+    assert len(got) == 80 and all(got[i].toArray().tolist() == [0.0, float(has)] for i, _, has in rows)
+    embedding = docs.select("doc_id", array_to_vector(F.array(F.lit(0.0), F.lit(0.0))).alias("embedding"))
+    shares = docs.select("doc_id", F.lit(0.0).alias("NOUN"))
+    variants = {"base": ["terms"], "transfer": ["terms", "embedding"], "cascaded": ["terms", "embedding", "NOUN"]}
+    out = M.assembled([docs, block, embedding, shares], variants)
+    train, n = M.fit_frame(M.balanced_weights(out, "label"))
+    for k, name in enumerate(variants):
+        model = M.logreg(1e6, n, "label", name).fit(train)
+        assert model.numFeatures == [2, 4, 5][k]
+        # the log odds without the term are -ln 3, and with it ln 3
+        assert model.intercept == pytest.approx(-math.log(3), abs=0.02)
+        assert model.coefficients.toArray().tolist() == pytest.approx([0, 2 * math.log(3)] + [0] * [0, 2, 3][k], abs=0.02)
+
+
+def test_no_row_of_features_passes_through_python(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    weights = docs.select("doc_id", F.lit("a").alias("term"), F.lit(0.5).alias("weight"))
+    out = M.assembled([docs, M.term_block(docs, weights, spark.createDataFrame([("a", 0)], "term string, idx long"))], {"base": ["terms"]})
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.first()["base"].toArray().tolist() == [0.5]
+    assert M.term_block(docs.limit(0), weights, spark.createDataFrame([], "term string, idx long")).count() == 0
