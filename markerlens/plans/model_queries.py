@@ -87,35 +87,35 @@ def split_shares(spark, sf):
 
 # ---------------------------------------------------------------- model fits (rows-only checks)
 
-def _blocks(spark, sf, rows, train):
+def _blocks(spark, sf, rows, train, wanted=("base", "transfer", "cascaded")):
     """ML-4 the blocks of ``rows`` (doc_id, text, FLAG_COLS), fitted on ``train``: rows with standardised flags,
-    TF-IDF vectors, weighted embeddings and tag shares; and the columns of each variant."""
+    TF-IDF vectors, weighted embeddings and tag shares; and the columns of each wanted variant."""
     model = X.tfidf_fit(train)
     # a table of max_features rows at most, read by the block and by its size
     vocab_index = checkpointed(contiguous_index(model.select("term"), "term", "idx"))
     weights = X.tfidf_transform(rows, model)
     flags = X.standardise_apply(rows, X.standardise_fit(train, FLAG_COLS), FLAG_COLS)
-    vocab = checkpointed(X.vocabulary(train, "doc_id"))
-    vecs = X.token_vectors(vocab, E.vectors_df(spark, sf, vocab), E.DIM)
-    embedding = X.doc_embedding(rows, vocab, vecs, E.DIM, weights=weights).select("doc_id", array_to_vector("embedding").alias("embedding"))
-    shares = X.tag_distribution_vector(rows, E.token_classes(vocab))
     base = ["terms", *FLAG_COLS]
     variants = {"base": base, "transfer": [*base, "embedding"], "cascaded": [*base, "embedding", *X.POS_CLASSES]}
-    return [flags, M.term_block(rows, weights, vocab_index), embedding, shares], variants
-
-
-def _features(spark, sf):
-    """Split rows with the base vector as ``features`` (TF-IDF fitted on train + standardised flags)."""
-    return _variants(spark, sf).withColumnRenamed("base", "features").drop("transfer", "cascaded")
-
-
-def _variants(spark, sf):
-    """Split rows with the vectors base, transfer and cascaded, fitted on the train split."""
+    blocks = [flags, M.term_block(rows, weights, vocab_index)]
+    if set(wanted) != {"base"}:
+        vocab = checkpointed(X.vocabulary(train, "doc_id"))
+        vecs = X.token_vectors(vocab, E.vectors_df(spark, sf, vocab), E.DIM)
+        embedding = X.doc_embedding(rows, vocab, vecs, E.DIM, weights=weights)
+        blocks += [embedding.select("doc_id", array_to_vector("embedding").alias("embedding")),
+                   X.tag_distribution_vector(rows, E.token_classes(vocab))]
+    return blocks, {v: variants[v] for v in wanted}
+
+
+def _features(spark, sf, *wanted):
+    """Split rows with the vector of each wanted variant, fitted on the train split; without any, the base
+    vector as ``features``."""
     rows = checkpointed(split_rows(spark, sf))
-    blocks, variants = _blocks(spark, sf, rows, rows.where(F.col("split") == "train"))
+    blocks, variants = _blocks(spark, sf, rows, rows.where(F.col("split") == "train"), wanted or ("base",))
+    out = M.assembled(blocks, variants)
     # written once to the shared checkpoint folder: every fit and every scoring pass below
     # reads these rows instead of re-running the feature lineage
-    return checkpointed(M.assembled(blocks, variants))
+    return checkpointed(out if wanted else out.withColumnRenamed("base", "features"))
 
 
 _FLAGS_SQL = f"""f AS (SELECT d.doc_id, {", ".join(E.flag_sql(t) for t in T.TAGS)}, CAST(length(d.text) AS DOUBLE) AS text_length,
@@ -166,14 +166,23 @@ def _fit_and_score(train, evalset, task, name, c_value=1.0, features="features")
     return lr, M.score(lr, evalset.withColumn("label", F.col(task)), task, name, "label")
 
 
-@register("logreg_scores", ("ML-4", "ML-5", "ML-7", "AGG-31", "JN-12"))
-def logreg_scores(spark, sf):
-    feats = _variants(spark, sf)
+def _scores(feats, variants):
     train, dev = feats.where("split = 'train'"), feats.where("split = 'dev'")
-    outs = [_fit_and_score(train, dev, task, f"logreg_{v}", features=v)[1] for v in ("base", "transfer", "cascaded") for task in ("quality", "toxic")]
+    outs = [_fit_and_score(train, dev, task, f"logreg_{v}", features=v)[1] for v in variants for task in ("quality", "toxic")]
     return reduce(lambda a, b: a.unionByName(b), outs)
 
 
+@register("logreg_scores", ("ML-4", "ML-5", "ML-7", "AGG-31", "JN-12"))
+def logreg_scores(spark, sf):
+    return _scores(_features(spark, sf, "base"), ["base"])
+
+
+@register("logreg_variant_scores", ("ML-4", "ML-5", "ML-7", "AGG-31", "JN-12"))
+def logreg_variant_scores(spark, sf):
+    """The variants with embeddings, and with embeddings and tag shares."""
+    return _scores(_features(spark, sf, "transfer", "cascaded"), ["transfer", "cascaded"])
+
+
 @register("grid_search", ("ML-6", "ML-8", "AGG-25"))
 def grid_search(spark, sf):
     feats = _features(spark, sf).where("split = 'train'")
