@@ -12,17 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from markerlens.functions import text as T
 from markerlens.operators import agreement as A
-from markerlens.operators.corpus import occurrence_key
 from markerlens.operators.markers import sized_join
 from markerlens.operators.ordering import contiguous_index, with_scalars
-from markerlens.session import checkpointed
+from markerlens.session import stored
 
 PAD_ID, OOV_ID = 0, 1
 PAD, OOV = "<PAD>", "<OOV>"
@@ -30,6 +27,8 @@ PAD, OOV = "<PAD>", "<OOV>"
 POS_CLASSES = ("ADJ", "ADP", "ADV", "AUX", "CCONJ", "DET", "INTJ", "NOUN", "NUM", "PART",
                "PRON", "PROPN", "SCONJ", "VERB", "X")
 DEFAULT_WEIGHT = 0.001
+# Tokens whose vectors are broadcast (32 MB of floats at 64 dimensions); the others are joined by a shuffle.
+HOT_TOKENS = 100_000
 
 
 def _by_doc(df: DataFrame, doc: str) -> DataFrame:
@@ -44,6 +43,18 @@ def word_token_column(text: str = "text") -> Column:
 
 # ---------------------------------------------------------------- vocabulary and encoding
 
+def _first_occurrences(df: DataFrame, order: str, tokens: str = "_toks") -> DataFrame:
+    """(token, _o, _p): the least (order, position) of each token, a null order first.
+
+    A minimum of structs would sort every occurrence. Positions are reduced inside the document partitioning instead, and
+    orders and positions in columns of their own, so that both steps are hash aggregates."""
+    own = (_by_doc(df.select(order, tokens), order).select(order, F.posexplode(tokens).alias("pos", "token"))
+           .groupBy(order, "token").agg(F.min("pos").alias("pos")))
+    firsts = own.groupBy("token").agg(F.min(order).alias("_least"), F.min_by("pos", order).alias("_pos"),
+                                      F.min(F.when(F.col(order).isNull(), F.col("pos"))).alias("_none"))
+    return firsts.select("token", F.when(F.col("_none").isNull(), F.col("_least")).alias("_o"), F.coalesce("_none", "_pos").alias("_p"))
+
+
 def vocabulary(df: DataFrame, order: str = "doc_id", text: str = "text",
                max_len: int | None = None, tokens: Column | None = None) -> DataFrame:
     """WIN-7 (token, token_id): ids 0 and 1 reserved for PAD and OOV, then tokens numbered in
@@ -52,10 +63,7 @@ def vocabulary(df: DataFrame, order: str = "doc_id", text: str = "text",
     toks = tokens if tokens is not None else word_token_column(text)
     if max_len:
         toks = F.slice(toks, 1, max_len)
-    firsts = (df.select(order, F.posexplode(toks).alias("pos", "token"))
-              .groupBy("token").agg(F.min(occurrence_key(order)).alias("_first")))
-    firsts = firsts.select("token", F.col("_first.order").alias("_o"), F.col("_first.pos").alias("_p"))
-    numbered = contiguous_index(firsts, ["_o", "_p"], "_idx")
+    numbered = contiguous_index(_first_occurrences(df.withColumn("_toks", toks), order), ["_o", "_p"], "_idx")
     spark = df.sparkSession
     reserved = spark.createDataFrame([(PAD, PAD_ID), (OOV, OOV_ID)], "token string, token_id long")
     return reserved.unionByName(numbered.select("token", (F.col("_idx") + 2).alias("token_id")))
@@ -197,7 +205,7 @@ def token_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 58
     """JN-7 (token_id, vector, found): PAD and OOV get zeros; vocabulary tokens missing from the
     vector table get deterministic noise with the vectors' global std; ``found`` flags hits."""
     std = vector_std(vectors)
-    j = sized_join(vocab, vectors.select("token", "vector"), "token", "left")
+    j = vocab.join(vectors.select("token", "vector"), "token", "left")
     j = with_scalars(j, std)
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
     vec = (F.when(F.col("token_id") <= OOV_ID, zeros)
@@ -219,29 +227,39 @@ def doc_embedding(df: DataFrame, vocab: DataFrame, vecs: DataFrame, dim: int, do
     0.001 outside the TF-IDF vocabulary). Empty text → zero vector; Σ w = 0 → plain mean.
 
     Tokens are counted per (doc, token) inside the doc partitioning, where a window tells whether a document's
-    weights are all 0. Tokens without a vector count as a zero vector. The mean is ``Summarizer``'s weighted one: vectors are
-    added up before the exchange, so that a document is one running vector per task, however long it is.
+    weights are all 0, and stored as (doc, token, c). Tokens without a vector count as a zero vector. The vectors of the first
+    ``HOT_TOKENS`` ids (ids go by first appearance, so frequent words are among them) are broadcast; only the occurrences
+    of the others meet their vectors by a shuffle. Each component is a sum of its own: a hash aggregate with a row
+    per document, which no vector is sorted for.
     """
     toks = _by_doc(df, doc).select(doc, F.explode(word_token_column(text)).alias("token"))
     tf = toks.groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf"))
     if weights is not None:
-        # tokens hold no blank, so n-gram terms (with blanks) can never match: drop them before the join
-        uni = weights.where(~F.col("term").contains(" "))
-        tf = tf.join(uni.select(doc, F.col("term").alias("token"), F.col("weight").alias("_w")), [doc, "token"], "left") \
-            .withColumn("_c", F.col("tf") * F.coalesce(F.col("_w"), F.lit(DEFAULT_WEIGHT)))
+        # tokens hold no blank, so n-gram terms (with blanks) can never match: drop them before they meet the tokens.
+        # Counts and weights are united and grouped, as both are dealt by document; a join by (doc, token) would deal them anew
+        uni = weights.where(~F.col("term").contains(" ") & F.col(doc).isNotNull())
+        both = tf.select(doc, "token", "tf", F.lit(None).cast("double").alias("_w")).union(
+            uni.select(doc, F.col("term").alias("token"), F.lit(None).cast("long").alias("tf"), F.col("weight").cast("double").alias("_w")))
+        tf = (both.groupBy(doc, "token").agg(F.max("tf").alias("tf"), F.sum("_w").alias("_w")).where("tf IS NOT NULL")
+              .withColumn("_c", F.col("tf") * F.coalesce(F.col("_w"), F.lit(DEFAULT_WEIGHT))))
         some = F.sum("_c").over(Window.partitionBy(doc)) > 0
         tf = tf.select(doc, "token", F.when(some, F.col("_c")).otherwise(F.col("tf")).cast("double").alias("_c"))
     else:
         tf = tf.select(doc, "token", F.col("tf").cast("double").alias("_c"))
+    tf = stored(tf, "token-weights")
+    known = stored(vocab.select("token", "token_id").join(vecs.select("token_id", "vector"), "token_id"), "token-vectors")
+    hot = F.broadcast(known.where(F.col("token_id") < HOT_TOKENS).select("token", "vector"))
+    parts = tf.join(hot, "token", "left").select(doc, F.col("_c").alias("_w"), "_c", "vector")
+    cold = known.where(F.col("token_id") >= HOT_TOKENS).select("token", "vector")
+    if not cold.isEmpty():
+        parts = parts.union(tf.join(F.broadcast(known.where(F.col("token_id") < HOT_TOKENS).select("token")), "token", "left_anti")
+                            .join(cold, "token").select(doc, F.lit(0.0).alias("_w"), "_c", "vector"))
+    per_doc = parts.groupBy(doc).agg(F.sum("_w").alias("_total"), *[
+        F.sum(F.col("_c") * F.get("vector", F.lit(i)).cast("double")).alias(f"_s{i}") for i in range(dim)])
+    mean = F.array(*[F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) / F.col("_total") for i in range(dim)])
     zeros = F.array_repeat(F.lit(0.0), dim)
-    # each token's vector is made once and stored, which also makes its rows cheap to count
-    known = checkpointed(vocab.select("token", "token_id").join(vecs.select("token_id", "vector"), "token_id")
-                         .select("token", array_to_vector(F.col("vector").cast("array<double>")).alias("_vec")))
-    v = sized_join(tf, known, "token", "left")
-    vec = F.coalesce("_vec", array_to_vector(zeros))
-    per_doc = v.groupBy(doc).agg(Summarizer.mean(vec, F.col("_c")).alias("_mean"))
-    res = per_doc.select(doc, vector_to_array("_mean").alias("embedding"))
-    return df.select(doc).join(res, doc, "left").select(doc, F.coalesce("embedding", zeros).alias("embedding"))
+    return (df.select(doc).join(per_doc.select(doc, mean.alias("embedding")), doc, "left")
+            .select(doc, F.coalesce("embedding", zeros).alias("embedding")))
 
 
 def tag_distribution_vector(df: DataFrame, token_classes: DataFrame, doc: str = "doc_id", text: str = "text",
@@ -249,10 +267,11 @@ def tag_distribution_vector(df: DataFrame, token_classes: DataFrame, doc: str =
     """AGG-38 per document the share of each class among all its tokens (zeros when empty).
 
     ``token_classes`` maps a token to its class (a tagger's output as a table)."""
-    toks = _by_doc(df, doc).select(doc, F.explode(word_token_column(text)).alias("token"))
+    toks = (_by_doc(df, doc).select(doc, F.explode(word_token_column(text)).alias("token"))
+            .groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf")))
     tagged = sized_join(toks, token_classes.select("token", "class"), "token", "left")
-    counts = tagged.groupBy(doc).pivot("class", list(classes)).agg(F.count(F.lit(1)))
-    totals = toks.groupBy(doc).agg(F.count(F.lit(1)).alias("_total"))
+    counts = tagged.groupBy(doc).agg(*[F.sum(F.when(F.col("class") == c, F.col("tf"))).alias(c) for c in classes])
+    totals = toks.groupBy(doc).agg(F.sum("tf").alias("_total"))
     j = df.select(doc).join(totals, doc, "left").join(counts, doc, "left")
     return j.select(doc, *[F.when(F.col("_total") > 0, F.coalesce(F.col(c), F.lit(0)) / F.col("_total"))
                            .otherwise(F.lit(0.0)).alias(c) for c in classes])

@@ -119,3 +119,24 @@ def test_augmented_train_merges_by_key_with_precedence(spark):
         ("1", "a", "original", None), ("1", "a2", "original", None), (None, "n", "original", None), ("2", "c", "annotated", "[]"),
         ("3", "d", "annotated", None), (None, "m", "annotated", "[y]"), ("4", "f", "generated", None), ("4", "f", "generated", None)], key=repr)
     assert X.augmented_train([("only", base.limit(0)), ("none", made.limit(0))]).count() == 0
+
+
+def test_embeddings_are_hash_aggregates_and_tail_tokens_join_by_shuffle(spark, monkeypatch):
+    vocab = X.vocabulary(docs(spark))
+    vectors = spark.createDataFrame([("the", [1.0, 0.0]), ("cat", [0.0, 2.0])], "token string, vector array<float>")
+    vecs = X.token_vectors(vocab, vectors, 2, seed=7)
+    weights = spark.createDataFrame([(1, "the", 0.5), (1, "cat", 0.25)], "doc_id long, term string, weight double")
+    want = {r["doc_id"]: r["embedding"] for r in X.doc_embedding(docs(spark), vocab, vecs, 2, weights=weights).collect()}
+    monkeypatch.setattr(X, "HOT_TOKENS", 3)  # "the" alone is broadcast
+    emb = X.doc_embedding(docs(spark), vocab, vecs, 2, weights=weights)
+    got = {r["doc_id"]: r["embedding"] for r in emb.collect()}
+    assert got.keys() == want.keys() and all(got[d] == pytest.approx(want[d], rel=1e-9) for d in want)
+    plan = emb._jdf.queryExecution().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_first_occurrences_without_sorting_null_order_first(spark):
+    df = spark.createDataFrame([(2, ["b", "a", "b"]), (None, ["x", "c", "b"]), (1, ["c", "a"])], "doc_id long, _toks array<string>")
+    out = X._first_occurrences(df, "doc_id")
+    assert {r["token"]: (r["_o"], r["_p"]) for r in out.collect()} == {"b": (None, 2), "a": (1, 1), "x": (None, 0), "c": (None, 1)}
+    assert "SortAggregate" not in out._jdf.queryExecution().toString()
