@@ -152,11 +152,13 @@ def feature_variants(spark, sf):
     train = docs.join(table(spark, sf, "labels").select("doc_id"), "doc_id")
     blocks, variants = _blocks(spark, sf, docs, train)
     rows = M.assembled(blocks, variants)
-    entries = lambda c: vector_to_array(c)
-    return rows.select("doc_id", F.size(F.filter(entries("terms"), lambda x: x != 0)).cast("long").alias("n_terms"),
-                       F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), entries(v).alias("x")) for v in variants])).alias("v")) \
-        .select("doc_id", "v.variant", F.size("v.x").cast("long").alias("n_features"), "n_terms",
-                F.round(F.aggregate("v.x", F.lit(0.0), lambda a, b: a + b), 4).alias("total"))
+    total = lambda v: F.aggregate(vector_to_array(v), F.lit(0.0), lambda a, b: a + b)
+    # the dense entries of a vector live inside one expression; rows carry its length and sum
+    digests = [F.struct(F.lit(v).alias("variant"), F.size(vector_to_array(v)).cast("long").alias("n_features"), total(v).alias("total"))
+               for v in variants]
+    return rows.select("doc_id", F.size(F.filter(vector_to_array("terms"), lambda x: x != 0)).cast("long").alias("n_terms"),
+                       F.explode(F.array(*digests)).alias("v")) \
+        .select("doc_id", "v.variant", "v.n_features", "n_terms", F.round("v.total", 4).alias("total"))
 
 
 def _fit_and_score(train, evalset, task, name, c_value=1.0, features="features"):
