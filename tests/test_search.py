@@ -146,3 +146,19 @@ def test_index_of_nothing(spark):
     index = Q.build_index(none, none, none)
     assert [df.count() for df in (index.documents, index.postings, Q.search_index(index, ["a"]), Q.search_index(index, []),
                                   Q.search_phrase(index, ["a", "b"]))] == [0] * 5
+
+
+def test_index_is_written_without_a_sampling_pass(spark, tmp_path, monkeypatch):
+    rows = [(i, f"the cat number {i} and the dog", "1", []) for i in range(40)]
+    frames = [spark.createDataFrame(part, DOC_SCHEMA) for part in (rows[:1], rows[1:2], rows[2:])]
+
+    def ranged(self, *_):
+        raise AssertionError("ranges compute the postings twice")
+
+    monkeypatch.setattr(type(frames[0]), "repartitionByRange", ranged)
+    index = Q.write_index(*frames, str(tmp_path / "index"), buckets=2)
+    assert {r["term"]: (r["df"], r["cf"]) for r in index.terms.where("df > 1").collect()} == {
+        t: (40, 80 if t == "the" else 40) for t in ("the", "cat", "number", "and", "dog")}
+    the = index.postings.where("term = 'the'")
+    assert {(tuple(r["positions"]), r["tf"], r["doc_len"]) for r in the.collect()} == {((0, 5), 2, 7)}
+    assert the.select(F.input_file_name()).distinct().count() > 1  # a word of every document is written by several tasks
