@@ -2,9 +2,8 @@
 
 Words are folded (case, ASCII marks) and hashed to 2^15 terms. Passages are windows over cells of
 eight words; every cell of every document is indexed. The TF-IDF weights count the cells of all
-documents. A randomised SVD of the TF-IDF vectors of the benchmark items and of a sample of different passages
-(of about SAMPLE_WORDS words, picked by a hash of their words) gives the latent space; an item without a
-vector in it is searched without it: Spark sums the partial products of the
+documents. A randomised SVD of the TF-IDF vectors of the benchmark items and of all different passages
+of the documents gives the latent space; an item without a vector in it is searched without it: Spark sums the partial products of the
 power step, and the driver only orthogonalises a matrix of fixed size. Passages and benchmark items meet by
 cosine in the whitened latent space; candidates are checked by the shared words that bound the longest
 common subsequence, then by that, and doubtful ones (paraphrases) by whether the answer, the last sentence of the
@@ -36,6 +35,7 @@ CELL = 8
 TERMS = 1 << 15
 RANK, EXTRA = 64, 8
 PASSAGE_CELLS = 5
+#: Nothing reads it any more (the space is fitted on all passages); a test sets it.
 SAMPLE_WORDS = 2_000_000
 COSINE = 0.5
 #: Items of fewer folded words are matched exactly.
@@ -84,11 +84,11 @@ class Space:
     project: np.ndarray
 
 
-def term_weights(rows: DataFrame) -> tuple[np.ndarray, int]:
-    """IDF over the cells of all documents, and the number of words."""
+def term_weights(rows: DataFrame) -> np.ndarray:
+    """IDF over the cells of all documents."""
 
     def count(batches):
-        df, n, cells = np.zeros(TERMS, np.int64), 0, 0
+        df, cells = np.zeros(TERMS, np.int64), 0
         for batch in batches:
             for part in row_slices(batch, "text"):
                 words, bounds = folded_words(*utf8(part.column("text")))
@@ -104,20 +104,19 @@ def term_weights(rows: DataFrame) -> tuple[np.ndarray, int]:
                 fresh = np.ones(grid.shape, bool)
                 fresh[:, 1:] = grid[:, 1:] != grid[:, :-1]
                 df += np.bincount(grid[fresh & (grid < TERMS)], minlength=TERMS)
-                n, cells = n + len(words), cells + len(first)
+                cells += len(first)
         at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [-1, -2])), pa.array(np.append(df[at], [n, cells]))], names=["term", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], cells))], names=["term", "c"])
 
     got = {r["term"]: r["c"] for r in rows.select("text").mapInArrow(count, "term long, c long").groupBy("term").agg(F.sum("c").alias("c")).collect()}
-    n, cells = got.pop(-1, 0), got.pop(-2, 0)
+    cells = got.pop(-1, 0)
     df = np.zeros(TERMS)
     df[list(got)] = list(got.values())
-    return np.log((cells + 1) / (df + 1)) + 1, n
+    return np.log((cells + 1) / (df + 1)) + 1
 
 
-def passages(rows: DataFrame, share: float) -> DataFrame:
-    """(hash, terms) of the passages of ``rows`` (text) whose hash is below ``share`` of all hashes: their terms as int32."""
-    most = np.uint64(min(int(share * 2.0 ** 64), (1 << 64) - 1))
+def passages(rows: DataFrame) -> DataFrame:
+    """(hash, terms) of the passages of ``rows`` (text): their terms as int32."""
 
     def pick(batches):
         span = CELL * PASSAGE_CELLS
@@ -130,9 +129,8 @@ def passages(rows: DataFrame, share: float) -> DataFrame:
                 cut = np.flatnonzero(place % span == 0)
                 stop = np.append(cut[1:], len(words))
                 keys = mix(np.add.reduceat(mix(words + place.astype(np.uint64) % np.uint64(span) * np.uint64(BASES[0])), cut))
-                at = np.flatnonzero(keys <= most)
                 term = terms_of(words)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), pa.array([term[cut[i]: stop[i]].tobytes() for i in at], pa.binary())],
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array([term[a: b].tobytes() for a, b in zip(cut, stop)], pa.binary())],
                                                  names=["hash", "terms"])
 
     return rows.select("text").mapInArrow(pick, "hash long, terms binary")
@@ -141,10 +139,9 @@ def passages(rows: DataFrame, share: float) -> DataFrame:
 def fit(rows: DataFrame, benchmark: DataFrame) -> Space:
     """The latent space of ``rows`` and ``benchmark`` (text)."""
     spark = rows.sparkSession
-    idf, n_words = term_weights(rows)
-    share = min(1.0, SAMPLE_WORDS / max(n_words, 1))
+    idf = term_weights(rows)
     items = benchmark.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sample = stored(passages(rows, share).union(passages(items, 1.0)).dropDuplicates(["hash"]).select("terms"), "sample")
+    different = stored(passages(rows).union(passages(items)).dropDuplicates(["hash"]).select("terms"), "passages")
     width = RANK + EXTRA
     basis = np.random.default_rng(11).standard_normal((TERMS, width)).astype(np.float32)
 
@@ -155,7 +152,7 @@ def fit(rows: DataFrame, benchmark: DataFrame) -> Space:
         def partial(batches):
             out = np.zeros((TERMS, width), np.float32)
             for batch in batches:
-                for part in row_slices(batch, "terms", 1 << 20):
+                for part in row_slices(batch, "terms", 1 << 16):  # what a slice multiplies stays in the processor's cache
                     own = [np.frombuffer(x, np.int32) for x in part.column("terms").to_pylist()]
                     term, sizes = np.concatenate(own), np.array([len(x) for x in own])
                     passage, cut = np.repeat(np.arange(len(own)), sizes), np.cumsum(sizes) - sizes
@@ -174,13 +171,13 @@ def fit(rows: DataFrame, benchmark: DataFrame) -> Space:
             return pa.table({"lo": [table.column("lo")[0].as_py()], "data": pa.array([s.astype(np.float32).tobytes()], pa.binary())})
 
         out = np.zeros((TERMS, width), np.float32)
-        for r in sample.mapInArrow(partial, "lo long, data binary").groupBy("lo").applyInArrow(total, "lo long, data binary").collect():
+        for r in different.mapInArrow(partial, "lo long, data binary").groupBy("lo").applyInArrow(total, "lo long, data binary").collect():
             out[r["lo"]: r["lo"] + 1024] = np.frombuffer(r["data"], np.float32).reshape(-1, width)
         return out
 
     basis = np.linalg.qr(product(basis))[0].astype(np.float32)
     small = basis.T @ product(basis)
-    drop_stored(sample)
+    drop_stored(different)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     values, vectors = values[::-1][:RANK], vectors[:, ::-1][:, :RANK]
     scale = np.where(values > 1e-6 * max(values[0], 1e-30), 1 / np.sqrt(np.maximum(values, 1e-30)), 0)

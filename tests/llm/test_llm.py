@@ -403,6 +403,17 @@ def test_decontamination_without_a_sample(spark, docs, rows, monkeypatch):
     assert decontaminate.keep_uncontaminated(docs, bench).count() == len(rows) - 1
 
 
+def test_the_latent_space_is_fitted_on_every_passage(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SAMPLE_WORDS", 0)  # with this a sample was empty
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(6)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(f"b{j}" for j in range(20)))], "item_id long, text string")
+    space = decontaminate.fit(decontaminate.text_rows(docs), bench)
+    for t in texts:
+        hashes, _ = decontaminate.folded_words(*utf8(pa.array([t])))
+        assert np.abs(space.project[decontaminate.terms_of(hashes)]).max(axis=1).min() > 0
+
+
 def test_decontamination_of_items_without_a_vector():
     text = "one two three four five six seven eight nine ten eleven twelve"
     space = decontaminate.Space(np.ones(decontaminate.TERMS), np.zeros((decontaminate.TERMS, decontaminate.RANK), np.float32))
