@@ -162,7 +162,7 @@ def feature_variants(spark, sf):
 
 
 def _fit_and_score(train, evalset, task, name, c_value=1.0, features="features"):
-    w, n = M.fit_frame(M.balanced_weights(train.withColumn("label", F.col(task)), "label"))
+    w, n = M.fit_frame(M.balanced_weights(train.withColumn("label", F.col(task)), "label"), features, "weight", "label")
     lr = M.logreg(c_value, n, "label", features).fit(w)
     w.unpersist()
     return lr, M.score(lr, evalset.withColumn("label", F.col(task)), task, name, "label")

@@ -77,3 +77,11 @@ def test_no_row_of_features_passes_through_python(spark):
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.first()["base"].toArray().tolist() == [0.5]
     assert M.term_block(docs.limit(0), weights, spark.createDataFrame([], "term string, idx long")).count() == 0
+
+
+def test_fit_frame_bounds_rows_of_a_task_and_keeps_only_what_a_fit_reads(spark):
+    df = spark.range(12_000).selectExpr("id", "'a long text' AS text", "1.0D AS weight", "CAST(id % 2 AS INT) AS label")
+    frame, n = M.fit_frame(df, "weight", "label")
+    assert n == 12_000 and frame.columns == ["weight", "label"]
+    assert max(frame.rdd.glom().map(len).collect()) <= 5_000
+    frame.unpersist()
