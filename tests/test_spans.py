@@ -162,3 +162,11 @@ def test_non_overlapping_sorts_once_and_goes_on_across_batches(spark):
                 last = e
     order = lambda r: (str(r[0]), r[1])
     assert sorted(((r["doc_id"], r["start"], r["end"], tuple(r["tags"])) for r in got), key=order) == sorted(want, key=order)
+
+
+def test_offsets_of_a_repeated_id_run_on(spark):
+    from markerlens.operators import markers as M
+
+    docs = spark.createDataFrame([(1, "a! b!"), (1, "a! b!"), (2, "c!")], "doc_id long, text string")
+    got = M.regex_spans(docs, M.EXCLAMATION_RUN, "exclamation_marks")
+    assert sorted((r["doc_id"], r["start"], r["end"]) for r in got.collect()) == [(1, 1, 2), (1, 3, 4), (1, 6, 7), (1, 9, 10), (2, 1, 2)]
