@@ -12,12 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from markerlens.functions import text as T
 from markerlens.operators import agreement as A
-from markerlens.operators.markers import sized_join
+from markerlens.operators.markers import MAX_BROADCAST_ROWS, sized_join
 from markerlens.operators.ordering import contiguous_index, with_scalars
 from markerlens.session import stored
 
@@ -29,6 +32,8 @@ POS_CLASSES = ("ADJ", "ADP", "ADV", "AUX", "CCONJ", "DET", "INTJ", "NOUN", "NUM"
 DEFAULT_WEIGHT = 0.001
 # Tokens whose vectors are broadcast (32 MB of floats at 64 dimensions); the others are joined by a shuffle.
 HOT_TOKENS = 100_000
+# Tokens whose ids are broadcast to encode with; the others are joined by a shuffle.
+HOT_IDS = MAX_BROADCAST_ROWS
 
 
 def _by_doc(df: DataFrame, doc: str) -> DataFrame:
@@ -69,17 +74,73 @@ def vocabulary(df: DataFrame, order: str = "doc_id", text: str = "text",
     return reserved.unionByName(numbered.select("token", (F.col("_idx") + 2).alias("token_id")))
 
 
+def _hot_ids(tokens: DataFrame, doc: str, hot: DataFrame) -> DataFrame:
+    """(doc, ids, spots, cold): the ids of the tokens of ``hot``, OOV for the others, which ``cold`` lists with their places."""
+    known = hot.toArrow()
+    shared = tokens.sparkSession.sparkContext.broadcast((known.column("token").combine_chunks(), known.column("token_id").to_numpy()))
+    name, oov = doc, OOV_ID
+
+    def look_up(batches):
+        words, ids = shared.value
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch.column("tokens")), 0).to_numpy(zero_copy_only=False)
+            flat = batch.column("tokens").flatten()
+            at = pc.fill_null(pc.index_in(flat, value_set=words), -1).to_numpy(zero_copy_only=False)
+            got = np.append(ids, oov)[at]
+            away = np.flatnonzero(at < 0)
+            owner, first = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes) - sizes
+            offsets = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+            cold = pa.StructArray.from_arrays([pa.array((away - first[owner[away]]).astype(np.int32)), flat.take(pa.array(away))], names=["at", "token"])
+            yield pa.RecordBatch.from_arrays([batch.column(name), pa.ListArray.from_arrays(offsets(sizes), pa.array(got.astype(np.int64))), batch.column("spots"),
+                                              pa.ListArray.from_arrays(offsets(np.bincount(owner[away], minlength=len(sizes))), cold)],
+                                             names=[name, "ids", "spots", "cold"])
+
+    kind = dict(tokens.dtypes)[doc]
+    return tokens.mapInArrow(look_up, f"{doc} {kind}, ids array<long>, spots array<int>, cold array<struct<at:int,token:string>>")
+
+
+def _put_in(rows: DataFrame, doc: str) -> DataFrame:
+    """The rows (doc, ids, spots, found) with each found (at, id) at its place in ``ids``."""
+    schema = rows.select(doc, "ids", "spots").schema
+    name = doc
+
+    def put(batches):
+        for batch in batches:
+            ids, found = batch.column("ids"), batch.column("found")
+            n = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)
+            sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
+            flat, pairs = ids.flatten().to_numpy(zero_copy_only=False).copy(), found.flatten()
+            first = np.repeat(np.cumsum(sizes) - sizes, n)
+            flat[first + pairs.field("at").to_numpy(zero_copy_only=False)] = pairs.field("token_id").to_numpy(zero_copy_only=False)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(name), pa.ListArray.from_arrays(offsets, pa.array(flat)), batch.column("spots")], names=[name, "ids", "spots"])
+
+    return rows.mapInArrow(put, schema)
+
+
 def encode(df: DataFrame, vocab: DataFrame, doc: str = "doc_id", text: str = "text",
            max_len: int | None = None, pad: bool = True) -> DataFrame:
     """FN-29 token ids per document in text order, OOV → 1; with ``max_len`` the first tokens
-    are kept and the sequence is right-padded with 0 to that length."""
-    toks = _by_doc(df, doc).select(doc, F.posexplode(word_token_column(text)).alias("pos", "token"))
-    ids = sized_join(toks, vocab.select("token", "token_id"), "token", "left")
-    per_doc = ids.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(
-        "pos", F.coalesce(F.col("token_id"), F.lit(OOV_ID)).alias("id")))).alias("_s"))
-    seq = F.transform("_s", lambda s: s["id"])
-    out = df.select(doc).join(per_doc.select(doc, seq.alias("ids")), doc, "left") \
-        .withColumn("ids", F.coalesce(F.col("ids"), F.array().cast("array<long>")))
+    are kept and the sequence is right-padded with 0 to that length.
+
+    Token lists stay in their rows: the tokens with an id below ``HOT_IDS`` (frequent words among them) are broadcast and looked up a
+    batch at a time; only occurrences of the others become rows, meet their ids by a shuffle and are put back. Texts that share an id are
+    one document."""
+    own = _by_doc(df.where(F.col(doc).isNotNull()).select(doc, text), doc).groupBy(doc).agg(F.collect_list(text).alias("_t"))
+    lists = F.transform("_t", lambda t: word_token_column(t))
+    spots = F.flatten(F.transform(lists, lambda x: F.transform(x, lambda _, i: i)))
+    tokens = own.select(doc, F.flatten(lists).alias("tokens"), F.when(F.size("_t") > 1, spots).alias("spots"))
+    vocab = stored(vocab.select("token", "token_id"), "vocabulary")
+    per_doc = _hot_ids(tokens, doc, vocab.where(F.col("token_id") < HOT_IDS))
+    cold = vocab.where(F.col("token_id") >= HOT_IDS)
+    if not cold.isEmpty():
+        per_doc = stored(per_doc, "encoded")
+        found = (per_doc.select(doc, F.inline("cold")).join(cold, "token").groupBy(doc)
+                 .agg(F.collect_list(F.struct("at", "token_id")).alias("found")))
+        per_doc = _put_in(per_doc.select(doc, "ids", "spots").join(found, doc, "left"), doc)
+    in_order = F.transform(F.array_sort(F.arrays_zip("spots", "ids")), lambda x: x["ids"])
+    per_doc = per_doc.select(doc, F.when(F.col("spots").isNull(), F.col("ids")).otherwise(in_order).alias("ids"))
+    out = df.select(doc).join(per_doc, doc, "left").withColumn("ids", F.coalesce(F.col("ids"), F.array().cast("array<long>")))
     if max_len:
         cut = F.slice("ids", 1, max_len)
         if pad:
