@@ -83,21 +83,34 @@ def symbols_of(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     if not _TABLE:
         _TABLE.append(symbol_table())
     table = _TABLE[0]
-    lead = (buf & 0xC0) != 0x80
-    heads = np.zeros(len(buf) + 1, np.int64)
-    np.cumsum(lead, out=heads[1:])
-    if heads[-1] == len(buf) and (not len(buf) or buf.max() < 128):
-        return table[buf], heads[offsets]
-    at = np.flatnonzero(lead)
+    lead = lambda a, b: (buf[a:b] & 0xC0) != 0x80
+    out = np.empty(sum(np.count_nonzero(lead(a, b)) for a, b in slices(len(buf))), np.int32)
+    bounds, n = np.full(len(offsets), len(out), np.int64), 0
+    for a, b in slices(len(buf)):  # whole columns of 64-bit places would take many times the texts' bytes
+        heads = np.zeros(b - a + 1, np.int64)
+        np.cumsum(lead(a, b), out=heads[1:])
+        lo, hi = np.searchsorted(offsets, [a, b])
+        bounds[lo:hi] = n + heads[offsets[lo:hi] - a]
+        if heads[-1] == b - a and buf[a:b].max() < 128:
+            point = table[buf[a:b]]
+        else:
+            point = decoded(buf, a + np.flatnonzero(lead(a, b)))
+            small = point < len(table)
+            point[small] = table[point[small]]
+        out[n: n + len(point)] = point
+        n += len(point)
+    return out, bounds
+
+
+def decoded(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The code points that begin at the places ``at``."""
     first = buf[at].astype(np.int32)
     size = 1 + (first >= 0xC0) + (first >= 0xE0) + (first >= 0xF0)
     point = np.where(first < 0x80, first, first & (0x7F >> size))
     for k in (1, 2, 3):
         more = np.flatnonzero(size > k)
         point[more] = point[more] << 6 | (buf[np.minimum(at[more] + k, len(buf) - 1)] & 0x3F)
-    small = point < len(table)
-    point[small] = table[point[small]]
-    return point, heads[offsets]
+    return point
 
 
 def slices(n: int):
@@ -112,29 +125,45 @@ class Grams:
     def __init__(self, texts):
         self.buf, self.offsets = utf8(texts)
         self.symbols, self.bounds = symbols_of(self.buf, self.offsets)
-        seen = np.bincount(self.symbols, minlength=33)
+        size = max(33, int(self.symbols.max(initial=0)) + 1)
+        seen = np.zeros(size, np.int64)
+        for a, b in slices(len(self.symbols)):
+            seen += np.bincount(self.symbols[a:b], minlength=size)
         seen[32] += 1
         self.names = np.flatnonzero(seen)
         n = len(self.names)
-        dense = np.zeros(len(seen), np.int64)
+        dense = np.zeros(size, np.int64)
         dense[self.names] = np.arange(n)
         space = dense[32]
-        pairs = dense[self.symbols]
-        pairs[1:] += pairs[:-1] * n
-        starts = self.bounds[:-1][self.bounds[:-1] < self.bounds[1:]]
-        pairs[starts] = space * n + dense[self.symbols[starts]]
         blank = space * n + space
+        starts = self.bounds[:-1][self.bounds[:-1] < self.bounds[1:]]
+
+        def pairs(a, b):
+            out = dense[self.symbols[a:b]]
+            out[1:] += out[:-1] * n
+            if a:
+                out[0] += dense[self.symbols[a - 1]] * n
+            own = starts[np.searchsorted(starts, a):np.searchsorted(starts, b)]
+            out[own - a] = space * n + dense[self.symbols[own]]
+            return out
+
+        self.rank = np.empty(len(self.symbols), np.int32)
         if n * n <= DENSE:
             found = np.zeros(n * n, bool)
-            found[pairs] = True
+            for a, b in slices(len(self.symbols)):
+                found[pairs(a, b)] = True
             found[blank] = True
             self.pairs = np.flatnonzero(found)
             place = np.zeros(n * n, np.int32)
             place[self.pairs] = np.arange(len(self.pairs), dtype=np.int32)
-            self.rank, self.blank = place[pairs], int(place[blank])
+            for a, b in slices(len(self.symbols)):
+                self.rank[a:b] = place[pairs(a, b)]
+            self.blank = int(place[blank])
         else:
-            self.pairs, rank = np.unique(np.append(pairs, blank), return_inverse=True)
-            self.rank, self.blank = rank[:-1].astype(np.int32), int(rank[-1])
+            self.pairs = np.unique(np.concatenate([[blank], *[np.unique(pairs(a, b)) for a, b in slices(len(self.symbols))]]))
+            for a, b in slices(len(self.symbols)):
+                self.rank[a:b] = np.searchsorted(self.pairs, pairs(a, b))
+            self.blank = int(np.searchsorted(self.pairs, blank))
 
     def keys(self, a: int, b: int) -> np.ndarray:
         """Keys of the 4-grams that end at the symbols from a to b."""
@@ -373,6 +402,14 @@ def measures(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
             "n_repeat_words": repeated_words(values, bounds)}
 
 
+def measured(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
+    """``measures``, for about SLICE bytes of whole texts at a time."""
+    ends = np.searchsorted(offsets, np.arange(SLICE, len(buf), SLICE))
+    cuts = np.unique(np.concatenate([[0], ends, [len(offsets) - 1]]))
+    parts = [measures(buf[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i]) for i, j in zip(cuts, cuts[1:])]
+    return {x: np.concatenate([part[x] for part in parts]) for x in parts[0]} if parts else measures(buf, offsets)
+
+
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, perplexity double"
 NAMES = [x.split()[0] for x in MEASURES.split(", ")]
 
@@ -382,21 +419,25 @@ def scored(docs: DataFrame, columns: list[Column]) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     own = [c.alias(f"c{i}") for i, c in enumerate(columns)]
     carried = [f"c{i}" for i in range(len(own))]
+    kinds = [(f"c{i}", name, kind) for i, (name, kind) in enumerate(docs.select(*columns).dtypes)]
+    # a text that is carried anyway doesn't stand in the rows twice
+    body = next((c for c, name, kind in kinds if (name.lower(), kind) == ("text", "string")), "text")
     model = F.xxhash64(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)))
-    rows = docs.select(*own, model.alias("model"), text.alias("text"), F.xxhash64("doc_id", "text").alias("spread"))
-    sizes = stored(rows.groupBy("model").agg(F.sum(F.octet_length("text")).alias("bytes")), "sizes")
+    rows = docs.select(*own, model.alias("model"), *[text.alias("text")][:body == "text"], F.xxhash64("doc_id", "text").alias("spread"))
+    whole = F.coalesce(F.col(body), F.lit(""))
+    sizes = stored(rows.groupBy("model").agg(F.sum(F.octet_length(whole)).alias("bytes")), "sizes")
     models, size = sizes.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     small = F.broadcast if models <= MOST_MODELS else lambda x: x
     parts = max(-(-size // BLOCK_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bits, grams = gram_bits(rows.select("model", "text"), small)
+    bits, grams = gram_bits(rows.select("model", whole.alias("text")), small)
     arrays = stored(hash_arrays(bits, parts), "arrays")
     drop_stored(grams)
     blocks = F.greatest(F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1))
     dealt = (rows.join(small(sizes.select("model", blocks.alias("blocks"))), "model")
-             .select(*carried, "model", "text", F.pmod("spread", "blocks").cast("int").alias("blk")).repartition(parts, "model", "blk"))
+             .select(*carried, "model", *["text"][:body == "text"], F.pmod("spread", "blocks").cast("int").alias("blk")).repartition(parts, "model", "blk"))
 
     def ask(table: pa.Table) -> pa.Table:
-        block = Grams(table.column("text"))
+        block = Grams(table.column(body))
         keys, _ = block.counted()
         context, last = block.parts(keys)
         n = len(keys)
@@ -416,7 +457,7 @@ def scored(docs: DataFrame, columns: list[Column]) -> DataFrame:
         return asked.select(names).append_column("bits", pa.array(out))
 
     def answer(table: pa.Table, known: pa.Table) -> pa.Table:
-        block = Grams(table.column("text"))
+        block = Grams(table.column(body))
         keys, _ = block.counted()
         value = np.empty(len(keys))
         value[known.column("at").to_numpy()] = known.column("bits").to_numpy()
@@ -426,17 +467,17 @@ def scored(docs: DataFrame, columns: list[Column]) -> DataFrame:
         n = np.diff(block.bounds)
         buf, offsets = block.buf, block.offsets
         del block
-        out = measures(buf, offsets)
+        out = measured(buf, offsets)
         out["perplexity"] = np.exp2(per)
         return pa.table({**{x: table.column(x) for x in carried}, "model": table.column("model"), "bits": per,
                          "n": n, **{x: out[x] for x in NAMES}})
 
-    kinds = ", ".join(f"c{i} {kind}" for i, (_, kind) in enumerate(docs.select(*own).dtypes))
+    schema = ", ".join(f"{c} {kind}" for c, _, kind in kinds)
     asked = dealt.groupBy("model", "blk").applyInArrow(ask, "model long, blk int, at int, ctx long, w int")
     asked = hashed(asked, parts).select("bucket", "model", "blk", "at", "h")
     answers = asked.groupBy("bucket").cogroup(arrays.groupBy("bucket")).applyInArrow(look_up, "model long, blk int, at int, bits double")
     out = stored(dealt.groupBy("model", "blk").cogroup(answers.groupBy("model", "blk"))
-                 .applyInArrow(answer, f"{kinds}, model long, bits double, n long, {MEASURES}"), "scored")
+                 .applyInArrow(answer, f"{schema}, model long, bits double, n long, {MEASURES}"), "scored")
     drop_stored(arrays, sizes)
     return verdicts(out, small)
 

@@ -559,3 +559,33 @@ def test_pipeline(spark):
 
 def test_queries_are_registered():
     assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted([f"op{i}" for i in range(1, 14)] + ["pipeline"])
+
+
+def test_quality_block_takes_a_bounded_multiple_of_its_text():
+    import tracemalloc
+
+    for words in ("some words of ", "des mots d'été "):
+        texts = pa.array([words * 4000] * 80)
+        tracemalloc.start()
+        try:
+            block = quality.Grams(texts)
+            block.counted()
+            quality.measured(block.buf, block.offsets)
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert peak < 18 * len(block.buf)  # with whole columns of 64-bit places 36 times and more
+
+
+def test_quality_slices_change_nothing(monkeypatch):
+    texts = pa.array(["Añé 中文 x. 12\n\nAñé 中文 x. 12\n", None, "", "a", "a b c d e a b c d e 😀", "".join(chr(0x4E00 + i) for i in range(300))])
+    for dense in (1 << 22, 50):
+        monkeypatch.setattr(quality, "DENSE", dense)
+        seen = []
+        for size in (1 << 20, 5, 1):
+            monkeypatch.setattr(quality, "SLICE", size)
+            block = quality.Grams(texts)
+            seen.append([block.symbols, block.bounds, block.names, block.pairs, block.rank, *block.counted(), *quality.measured(block.buf, block.offsets).values()])
+        assert block.symbols[:4].tolist() == [ord(x) for x in "añé "] and block.bounds.tolist()[:5] == [0, 27, 27, 27, 28]
+        for other in seen[1:]:
+            assert all(np.array_equal(a, b) for a, b in zip(seen[0], other))
