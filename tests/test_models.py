@@ -85,3 +85,37 @@ def test_fit_frame_bounds_rows_of_a_task_and_keeps_only_what_a_fit_reads(spark):
     assert n == 12_000 and frame.columns == ["weight", "label"]
     assert max(frame.rdd.glom().map(len).collect()) <= 5_000
     frame.unpersist()
+
+
+def test_fits_run_side_by_side_and_keep_their_order():
+    import threading
+
+    meet = threading.Barrier(4, timeout=20)
+    assert M.side_by_side([lambda i=i: (meet.wait(), i)[1] for i in range(4)]) == [0, 1, 2, 3]
+    with pytest.raises(ZeroDivisionError):
+        M.side_by_side([lambda: 1, lambda: 1 // 0])
+
+
+def test_grid_search_runs_folds_together_and_agrees_with_cross_validator(spark, monkeypatch):
+    import threading
+
+    from pyspark.ml import Pipeline
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    rows = [(Vectors.dense([float((i * 7919) % 13), float(i % 3 == 0)]), 1.0, int((i * 31) % 7 < 3 or i % 3 == 0), i % 3) for i in range(90)]
+    df = spark.createDataFrame(rows, ["features", "weight", "label", "fold"])
+    df = df.withColumn("label", F.col("label").cast("int")).withColumn("fold", F.col("fold").cast("int"))
+    c_values, n = (0.001, 1.0), 90
+    lr = M.logreg(c_values[0], n)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n) for c in c_values]).build()
+    want = CrossValidator(estimator=Pipeline(stages=[lr]), estimatorParamMaps=grid, evaluator=M.MacroF1Evaluator("label"),
+                          numFolds=3, foldCol="fold").fit(df)
+    # the first fits of two values and three folds wait for each other, which folds one after the other can't
+    meet, plain = threading.Barrier(6, timeout=60), M.MacroF1Evaluator._evaluate
+    monkeypatch.setattr(M.MacroF1Evaluator, "_evaluate", lambda self, data: (meet.wait(), plain(self, data))[1])
+    got = M.grid_search(df, "label", c_values, 3, parallelism=6)
+    assert got.avgMetrics == pytest.approx(want.avgMetrics)
+    assert got.bestModel.stages[0].coefficients.toArray().tolist() == pytest.approx(want.bestModel.stages[0].coefficients.toArray().tolist(), rel=1e-6)
+    with pytest.raises(ValueError):
+        M.grid_search(df.withColumn("fold", F.lit(7)), "label", c_values, 3)
