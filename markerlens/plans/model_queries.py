@@ -170,7 +170,8 @@ def _fit_and_score(train, evalset, task, name, c_value=1.0, features="features")
 
 def _scores(feats, variants):
     train, dev = feats.where("split = 'train'"), feats.where("split = 'dev'")
-    outs = [_fit_and_score(train, dev, task, f"logreg_{v}", features=v)[1] for v in variants for task in ("quality", "toxic")]
+    outs = M.side_by_side([lambda v=v, task=task: _fit_and_score(train, dev, task, f"logreg_{v}", features=v)[1]
+                           for v in variants for task in ("quality", "toxic")])
     return reduce(lambda a, b: a.unionByName(b), outs)
 
 
