@@ -35,6 +35,8 @@ CELL = 8
 TERMS = 1 << 15
 RANK, EXTRA = 64, 8
 PASSAGE_CELLS = 5
+#: Passages whose weights are one dense block (of some hundred terms, in the processor's cache).
+GRID_PASSAGES = 48
 #: Nothing reads it any more (the space is fitted on all passages); a test sets it.
 SAMPLE_WORDS = 2_000_000
 COSINE = 0.5
@@ -127,15 +129,38 @@ def passages(rows: DataFrame) -> DataFrame:
                     continue
                 place = np.arange(len(words)) - np.repeat(bounds[:-1], np.diff(bounds))
                 cut = np.flatnonzero(place % span == 0)
-                stop = np.append(cut[1:], len(words))
                 keys = mix(np.add.reduceat(mix(words + place.astype(np.uint64) % np.uint64(span) * np.uint64(BASES[0])), cut))
-                term = terms_of(words)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array([term[a: b].tobytes() for a, b in zip(cut, stop)], pa.binary())],
-                                                 names=["hash", "terms"])
+                at = np.append(cut, len(words)).astype(np.int32) * np.int32(4)
+                terms = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(terms_of(words).tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), terms], names=["hash", "terms"])
 
     return rows.select("text").mapInArrow(pick, "hash long, terms binary")
 
 
+def grids(batches, idf: np.ndarray):
+    """Blocks of GRID_PASSAGES passages as (terms, rows): the different terms of the block and the normalised TF-IDF weights of its
+    passages over them, dense, so that a product with a basis is one of small matrices."""
+    for batch in batches:
+        column = batch.column("terms")
+        if not len(column):
+            continue
+        column = column.cast(pa.large_binary())
+        _, offsets, data = column.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[column.offset: column.offset + len(column) + 1]
+        terms, cut = np.frombuffer(data, np.uint8)[offsets[0]: offsets[-1]].view(np.int32), (offsets - offsets[0]) // 4
+        for lo in range(0, len(column), GRID_PASSAGES):
+            hi = min(len(column), lo + GRID_PASSAGES)
+            term, passage = terms[cut[lo]: cut[hi]], np.repeat(np.arange(hi - lo), np.diff(cut[lo: hi + 1]))
+            seen = np.zeros(TERMS, bool)
+            seen[term] = True
+            names = np.flatnonzero(seen)
+            place = np.empty(TERMS, np.int32)
+            place[names] = np.arange(len(names), dtype=np.int32)
+            w = idf[term]
+            w /= np.sqrt(np.bincount(passage, w * w))[passage]
+            yield names, np.bincount(passage * len(names) + place[term], w, (hi - lo) * len(names)).astype(np.float32).reshape(hi - lo, -1)
+
+
 def fit(rows: DataFrame, benchmark: DataFrame) -> Space:
     """The latent space of ``rows`` and ``benchmark`` (text)."""
     spark = rows.sparkSession
@@ -145,24 +170,16 @@ def fit(rows: DataFrame, benchmark: DataFrame) -> Space:
     width = RANK + EXTRA
     basis = np.random.default_rng(11).standard_normal((TERMS, width)).astype(np.float32)
 
-    def product(basis):
+    weights = spark.sparkContext.broadcast(idf)
+
+    def multiplied(basis):
         """A'A basis, summed over the partitions, where the rows of A are normalised TF-IDF passages."""
-        shared, weights = spark.sparkContext.broadcast(basis), spark.sparkContext.broadcast(idf)
+        shared = spark.sparkContext.broadcast(basis)
 
         def partial(batches):
             out = np.zeros((TERMS, width), np.float32)
-            for batch in batches:
-                for part in row_slices(batch, "terms", 1 << 16):  # what a slice multiplies stays in the processor's cache
-                    own = [np.frombuffer(x, np.int32) for x in part.column("terms").to_pylist()]
-                    term, sizes = np.concatenate(own), np.array([len(x) for x in own])
-                    passage, cut = np.repeat(np.arange(len(own)), sizes), np.cumsum(sizes) - sizes
-                    w = weights.value[term]
-                    norm = np.sqrt(np.bincount(passage, w * w))
-                    w = (w / norm[passage]).astype(np.float32)
-                    y = np.add.reduceat(shared.value[term] * w[:, None], cut)
-                    order = np.argsort(term, kind="stable")
-                    names, first = np.unique(term[order], return_index=True)
-                    out[names] += np.add.reduceat((y[passage] * w[:, None])[order], first)
+            for names, a in grids(batches, weights.value):
+                out[names] += a.T @ (a @ shared.value[names])
             for lo in range(0, TERMS, 1024):
                 yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([out[lo: lo + 1024].tobytes()], pa.binary())], names=["lo", "data"])
 
@@ -175,8 +192,28 @@ def fit(rows: DataFrame, benchmark: DataFrame) -> Space:
             out[r["lo"]: r["lo"] + 1024] = np.frombuffer(r["data"], np.float32).reshape(-1, width)
         return out
 
-    basis = np.linalg.qr(product(basis))[0].astype(np.float32)
-    small = basis.T @ product(basis)
+    def inner(basis):
+        """basis' A'A basis: the products of the rows of A basis, (width, width) a partition, summed in groups of partitions."""
+        shared = spark.sparkContext.broadcast(basis)
+
+        def partial(batches):
+            out = np.zeros((width, width))
+            for names, a in grids(batches, weights.value):
+                y = a @ shared.value[names]
+                out += y.T @ y
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array([r.tobytes() for r in out], pa.binary())], names=["lo", "data"])
+
+        def total(table: pa.Table) -> pa.Table:
+            s = sum(np.frombuffer(x.as_py(), np.float64) for x in table.column("data"))
+            return pa.table({"lo": [table.column("lo")[0].as_py()], "data": pa.array([s.tobytes()], pa.binary())})
+
+        out = np.zeros((width, width))
+        for r in different.mapInArrow(partial, "lo long, data binary").groupBy("lo").applyInArrow(total, "lo long, data binary").collect():
+            out[r["lo"]] = np.frombuffer(r["data"])
+        return out
+
+    basis = np.linalg.qr(multiplied(basis))[0].astype(np.float32)
+    small = inner(basis)
     drop_stored(different)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     values, vectors = values[::-1][:RANK], vectors[:, ::-1][:, :RANK]
@@ -283,7 +320,11 @@ class Searcher:
             np.cumsum(vectors[lo:over], axis=0, out=sums[1:])
             for width, items in self.by_width.items():
                 stop = np.minimum(at + width, cut[of[at] + 1])
-                near = unit(sums[stop - lo] - sums[: len(at)]) @ self.vectors[width].T >= COSINE
+                window = sums[stop - lo]
+                window -= sums[: len(at)]
+                # the cosine times the window's length, so that no second array of windows is made
+                length = np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-12)
+                near = window @ self.vectors[width].T >= COSINE * length[:, None]
                 near |= self.unplaced[width]
                 for k in np.flatnonzero(near.any(0)):
                     hit = at[near[:, k]]

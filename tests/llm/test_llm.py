@@ -414,6 +414,25 @@ def test_the_latent_space_is_fitted_on_every_passage(spark, monkeypatch):
         assert np.abs(space.project[decontaminate.terms_of(hashes)]).max(axis=1).min() > 0
 
 
+def test_decontamination_dense_blocks_are_the_passages_weights():
+    """Blocks of any slice of a batch: the normalised TF-IDF rows, term by term, as brute force gives them."""
+    r = np.random.default_rng(3)
+    idf = r.uniform(1, 9, decontaminate.TERMS)
+    terms = [r.integers(0, 60, n).astype(np.int32) for n in r.integers(1, 41, 3 * decontaminate.GRID_PASSAGES + 5)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in terms], pa.binary())], names=["terms"])
+    for part, own in ((batch, terms), (batch.slice(7, 90), terms[7: 97]), (batch.slice(0, 0), [])):
+        got = []
+        for names, a in decontaminate.grids([part], idf):
+            full = np.zeros((len(a), 60))
+            full[:, names] = a
+            got.extend(full)
+        want = [np.bincount(t, idf[t], 60) for t in own]
+        lengths = [np.sqrt((idf[t] ** 2).sum()) for t in own]
+        assert len(got) == len(want)
+        for g, w, n in zip(got, want, lengths):
+            np.testing.assert_allclose(g, w / n, rtol=1e-5, atol=1e-7)
+
+
 def test_decontamination_of_items_without_a_vector():
     text = "one two three four five six seven eight nine ten eleven twelve"
     space = decontaminate.Space(np.ones(decontaminate.TERMS), np.zeros((decontaminate.TERMS, decontaminate.RANK), np.float32))
