@@ -183,3 +183,30 @@ def test_vector_codes_equal_brute_force(spark, width, n, spread):
     rows = vector_rows(random.Random(n), n, width, spread)
     got = orchard_codes.compress(vector_frame(spark, rows))
     assert collected(got, ("vec_id", "code", "error", "label_error", "codebooks_sha256")) == sorted(plain_codes(rows, width), key=repr)
+
+
+def test_bottomk_equal_sets_have_equal_fingerprints_wherever_they_stand(spark):
+    r = random.Random(41)
+    other = [" ".join(f"w{r.randrange(5000)}" for _ in range(200)) for _ in range(20)]
+    same = "the same text of nine words in every place"
+    column = pa.array([t for x in other for t in (x, same)])
+    values, bounds = bottomk_dedup.shingle_sets(*utf8(column))
+    for prints in bottomk_dedup.fingerprints(values, bounds):
+        assert len(set(prints[1::2].tolist())) == 1
+        assert len(set(prints[::2].tolist())) == len(other)
+
+
+def test_bottomk_the_leader_of_a_family_is_close_to_its_source(spark):
+    """Copies with changes of their own share more with the source than with each other; the source is not the least id."""
+    shared = [*range(1, 61)]
+    sets = {0: shared[:40] + [*range(1000, 1024)], 1: shared[20:] + [*range(2000, 2024)], 2: shared + [9001, 9002, 9003, 9004], 3: shared[:50] + [*range(3000, 3014)]}
+    reps = spark.createDataFrame([(k, len(v), v) for k, v in sets.items()], "rid long, n_shingles long, sketch array<long>")
+    members = bottomk_dedup.different_lists(bottomk_dedup.inverted_lists(reps)).collect()
+    full = Counter(m["value"] for m in members)
+    assert full
+    for value in full:
+        own = {m["rid"] for m in members if m["value"] == value}
+        lead = {m["lead"] for m in members if m["value"] == value}
+        assert len(lead) == 1 and lead <= own
+        if 2 in own:
+            assert lead == {2}
