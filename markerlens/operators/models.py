@@ -120,15 +120,19 @@ def top_fraction(ranked: DataFrame, order: Sequence[Column | str], pct: float, i
 
 def term_block(docs: DataFrame, weights: DataFrame, vocab_index: DataFrame, doc: str = "doc_id") -> DataFrame:
     """(doc, terms): a sparse vector of the TF-IDF weights at their vocabulary index for each document of
-    ``docs``, all zeros without a term.
+    ``docs``, all zeros without a term. ``weights`` are rows (doc, term, weight) or the lists of ``tfidf_transform``,
+    made with the ``idx`` of ``vocab_index``.
 
     The index table has at most ``max_features`` rows (broadcast). SQL has no constructor of sparse vectors, but
     Parquet holds them as (type, size, indices, values): the struct is written to the shared folder and read as
     vectors, so no row passes through Python.
     """
     spark = docs.sparkSession
-    entries = (weights.join(F.broadcast(vocab_index), "term").groupBy(doc)
-               .agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), F.col("weight").cast("double").alias("w")))).alias("_e")))
+    if "weights" in weights.columns:
+        entries = weights.select(doc, F.struct("idx", F.col("weights").alias("w")).alias("_e"))
+    else:
+        entries = (weights.join(F.broadcast(vocab_index), "term").groupBy(doc)
+                   .agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), F.col("weight").cast("double").alias("w")))).alias("_e")))
     j = with_scalars(docs.select(doc).distinct().join(entries, doc, "left"), vocab_index.agg(F.count(F.lit(1)).cast("int").alias("_n")))
     none = lambda kind: F.array().cast(f"array<{kind}>")
     vector = F.struct(F.lit(0).cast("byte").alias("type"), F.col("_n").alias("size"), F.coalesce("_e.idx", none("int")).alias("indices"),
@@ -136,7 +140,13 @@ def term_block(docs: DataFrame, weights: DataFrame, vocab_index: DataFrame, doc:
     path = shared_path(spark, f"terms-{uuid.uuid4().hex}")
     out = j.select(doc, vector.alias("terms"))
     out.write.parquet(path)
-    return spark.read.schema(StructType([out.schema[doc], StructField("terms", VectorUDT())])).parquet(path)
+    known = StructField("terms", VectorUDT(), metadata=vector_size(vocab_index.count()))
+    return spark.read.schema(StructType([out.schema[doc], known])).parquet(path)
+
+
+def vector_size(n: int) -> dict:
+    """Metadata of a vector column of ``n`` entries; of one without, ``VectorAssembler`` computes a row to see its length."""
+    return {"ml_attr": {"num_attrs": n}}
 
 
 def assembled(blocks: Sequence[DataFrame], variants: dict[str, Sequence[str]], doc: str = "doc_id") -> DataFrame:

@@ -11,7 +11,7 @@ from markerlens.operators import search as Q
 from markerlens.plans import sqlbits as S
 from markerlens.plans.marker_queries import ACRONYMS, PROFANITY
 from markerlens.plans.registry import register
-from markerlens.session import table
+from markerlens.session import stored, table
 
 DIM = 64
 
@@ -161,9 +161,9 @@ comp AS (SELECT tv.doc_id, tv.token, tv.tf, unnest(range(64)) AS dim, unnest(CAS
 
 def _emb(spark, sf, weighted: bool):
     docs = all_rows(spark, sf)
-    vocab = vocab_df(spark, sf)
+    vocab = stored(vocab_df(spark, sf), "vocabulary")
     vecs = X.token_vectors(vocab, vectors_df(spark, sf, vocab), DIM)
-    weights = _tfidf(spark, sf)[1] if weighted else None
+    weights = X.tfidf_transform(docs, X.tfidf_fit(train_rows(spark, sf)), lists=True) if weighted else None
     e = X.doc_embedding(docs, vocab, vecs, DIM, weights=weights)
     return e.select("doc_id", F.posexplode("embedding").alias("dim", "value")) \
         .select("doc_id", F.col("dim").cast("long").alias("dim"), r6("value").alias("value"))
@@ -235,8 +235,8 @@ def _class_expr(tok):
 
 
 def token_classes(vocab):
-    """(token, class) of the vocabulary's words."""
-    return vocab.where(F.col("token_id") >= 2).select("token", _class_expr(F.col("token")).alias("class"))
+    """(token, class, token_id) of the vocabulary's words."""
+    return vocab.where(F.col("token_id") >= 2).select("token", _class_expr(F.col("token")).alias("class"), "token_id")
 
 
 def _class_sql(tok: str) -> str:
@@ -262,7 +262,7 @@ n AS (SELECT doc_id, count(*) AS n FROM dtok GROUP BY doc_id)
 SELECT d.doc_id, {_SHARES.replace("ELSE 0 END", "ELSE 0.0 END")}
 FROM documents d LEFT JOIN cls ON d.doc_id = cls.doc_id LEFT JOIN n ON d.doc_id = n.doc_id GROUP BY d.doc_id, n.n""")
 def tag_distribution_vector(spark, sf):
-    d = X.tag_distribution_vector(all_rows(spark, sf), token_classes(vocab_df(spark, sf)))
+    d = X.tag_distribution_vector(all_rows(spark, sf), token_classes(stored(vocab_df(spark, sf), "vocabulary")))
     return d.select("doc_id", *[r6(c).alias(c) for c in X.POS_CLASSES])
 
 

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from markerlens.functions import text as T
@@ -22,7 +25,7 @@ from markerlens.plans.registry import register
 from markerlens.plans.search_queries import LEX_TERMS
 from markerlens.plans.marker_queries import ACRONYMS, PROFANITY
 from markerlens.operators import search as Q
-from markerlens.session import checkpointed, table
+from markerlens.session import checkpointed, stored, table
 
 LANGS = ("en", "fr", "de", "es")
 STRATA = ("quality", "toxic") + tuple(f"lang_{x}" for x in LANGS)
@@ -90,19 +93,19 @@ def split_shares(spark, sf):
 def _blocks(spark, sf, rows, train, wanted=("base", "transfer", "cascaded")):
     """ML-4 the blocks of ``rows`` (doc_id, text, FLAG_COLS), fitted on ``train``: rows with standardised flags,
     TF-IDF vectors, weighted embeddings and tag shares; and the columns of each wanted variant."""
-    model = X.tfidf_fit(train)
-    # a table of max_features rows at most, read by the block and by its size
+    # tables of max_features rows at most, read by the weights, by the block and by its size
+    model = checkpointed(X.tfidf_fit(train))
     vocab_index = checkpointed(contiguous_index(model.select("term"), "term", "idx"))
-    weights = X.tfidf_transform(rows, model)
+    weights = X.tfidf_transform(rows, model.join(vocab_index, "term"), lists=True)
     flags = X.standardise_apply(rows, X.standardise_fit(train, FLAG_COLS), FLAG_COLS)
     base = ["terms", *FLAG_COLS]
     variants = {"base": base, "transfer": [*base, "embedding"], "cascaded": [*base, "embedding", *X.POS_CLASSES]}
     blocks = [flags, M.term_block(rows, weights, vocab_index)]
     if set(wanted) != {"base"}:
-        vocab = checkpointed(X.vocabulary(train, "doc_id"))
+        vocab = stored(X.vocabulary(train, "doc_id"), "vocabulary")
         vecs = X.token_vectors(vocab, E.vectors_df(spark, sf, vocab), E.DIM)
         embedding = X.doc_embedding(rows, vocab, vecs, E.DIM, weights=weights)
-        blocks += [embedding.select("doc_id", array_to_vector("embedding").alias("embedding")),
+        blocks += [embedding.select("doc_id", array_to_vector("embedding").alias("embedding", metadata=M.vector_size(E.DIM))),
                    X.tag_distribution_vector(rows, E.token_classes(vocab))]
     return blocks, {v: variants[v] for v in wanted}
 
@@ -112,7 +115,7 @@ def _features(spark, sf, *wanted):
     vector as ``features``."""
     rows = checkpointed(split_rows(spark, sf))
     blocks, variants = _blocks(spark, sf, rows, rows.where(F.col("split") == "train"), wanted or ("base",))
-    out = M.assembled(blocks, variants)
+    out = M.assembled(blocks, variants).drop("text")
     # written once to the shared checkpoint folder: every fit and every scoring pass below
     # reads these rows instead of re-running the feature lineage
     return checkpointed(out if wanted else out.withColumnRenamed("base", "features"))
@@ -152,13 +155,25 @@ def feature_variants(spark, sf):
     train = docs.join(table(spark, sf, "labels").select("doc_id"), "doc_id")
     blocks, variants = _blocks(spark, sf, docs, train)
     rows = M.assembled(blocks, variants)
-    total = lambda v: F.aggregate(vector_to_array(v), F.lit(0.0), lambda a, b: a + b)
-    # the dense entries of a vector live inside one expression; rows carry its length and sum
-    digests = [F.struct(F.lit(v).alias("variant"), F.size(vector_to_array(v)).cast("long").alias("n_features"), total(v).alias("total"))
-               for v in variants]
-    return rows.select("doc_id", F.size(F.filter(vector_to_array("terms"), lambda x: x != 0)).cast("long").alias("n_terms"),
-                       F.explode(F.array(*digests)).alias("v")) \
-        .select("doc_id", "v.variant", "v.n_features", "n_terms", F.round("v.total", 4).alias("total"))
+    names = list(variants)
+
+    def digest(batches):
+        # a vector is (type, size, indices, values), of a dense one the values alone count
+        for batch in batches:
+            cells = {c: batch.column(c) for c in ("terms", *names)}
+            values = {c: pc.struct_field(v, "values") for c, v in cells.items()}
+            n = {c: pc.list_value_length(v).to_numpy(zero_copy_only=False).astype(np.int64) for c, v in values.items()}
+            owner = {c: np.repeat(np.arange(batch.num_rows), k) for c, k in n.items()}
+            flat = {c: v.flatten().to_numpy(zero_copy_only=False) for c, v in values.items()}
+            n_terms = np.bincount(owner["terms"][flat["terms"] != 0], minlength=batch.num_rows)
+            for c in names:
+                size = pc.coalesce(pc.struct_field(cells[c], "size").cast(pa.int64()), pa.array(n[c]))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([c] * batch.num_rows), size, pa.array(n_terms.astype(np.int64)),
+                                                  pa.array(np.bincount(owner[c], flat[c], minlength=batch.num_rows))], names=["doc_id", "variant", "n_features", "n_terms", "total"])
+
+    # rows carry the length and the sum of a vector; its entries are added inside the batch
+    return rows.select("doc_id", "terms", *names).mapInArrow(digest, f"doc_id {dict(docs.dtypes)['doc_id']}, variant string, n_features long, n_terms long, total double") \
+        .withColumn("total", F.round("total", 4))
 
 
 def _fit_and_score(train, evalset, task, name, c_value=1.0, features="features"):
