@@ -542,12 +542,20 @@ def doc_embedding(df: DataFrame, vocab: DataFrame, vecs: DataFrame, dim: int, do
         tokens = tokens.join(weights.select(doc, F.col("_e.terms").alias("terms"), F.col("_e.weights").alias("weights")), doc, "left")
     known = stored(vocab.select("token", "token_id").join(vecs.select("token_id", "vector"), "token_id"), "token-vectors")
     hot = known.where(F.col("token_id") < HOT_TOKENS).select("token", "vector").toArrow()
-    shared = df.sparkSession.sparkContext.broadcast((hot.column("token").combine_chunks(), _matrix(hot.column("vector"), dim)))
-    del hot
+    words, vectors, times = hot.column("token").combine_chunks(), _matrix(hot.column("vector"), dim), None
+    own = words.dictionary_encode()
+    if len(own.dictionary) < len(words):
+        # of a token that has several vectors each one counts, with the token's weight
+        at, words = own.indices.to_numpy(), own.dictionary
+        one, times = np.zeros((len(words), dim)), np.bincount(at)
+        np.add.at(one, at, vectors)
+        vectors = one
+    shared = df.sparkSession.sparkContext.broadcast((words, vectors, times))
+    del hot, words, vectors, times, own
     name, default, weighted = doc, DEFAULT_WEIGHT, weights is not None
 
     def sum_up(batches):
-        words, vectors = shared.value
+        words, vectors, times = shared.value
         for x in _slices(batches):
             row, word, tf = x.counted()
             c = tf.astype(np.float64)
@@ -566,8 +574,8 @@ def doc_embedding(df: DataFrame, vocab: DataFrame, vecs: DataFrame, dim: int, do
                 c = c * w
                 some = np.bincount(row, c, minlength=x.rows) > 0
                 c = np.where(some[row], c, tf)
-            total = np.bincount(row, c, minlength=x.rows)
             at = _places(x.words, words)[word]
+            total = np.bincount(row, c if times is None else c * np.append(times, 1)[at], minlength=x.rows)
             mine, away = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
             ends = np.searchsorted(row[mine], np.arange(x.rows + 1))
             at, weight = at[mine], c[mine]

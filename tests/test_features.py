@@ -212,3 +212,11 @@ def test_encode_counts_a_bounded_number_of_tokens_at_a_time(spark, monkeypatch):
         monkeypatch.setattr(X, "HOT_IDS", hot)
         monkeypatch.setattr(X, "SLICE_TOKENS", most)
         assert sorted((r["doc_id"], r["ids"]) for r in X.encode(df, vocab).collect()) == want
+
+
+def test_each_vector_of_a_token_counts(spark):
+    vocab = spark.createDataFrame([("the", 2), ("cat", 3)], "token string, token_id long")
+    vecs = spark.createDataFrame([(2, [1.0, 0.0]), (2, [3.0, 1.0]), (3, [0.0, 2.0])], "token_id long, vector array<float>")
+    got = {r["doc_id"]: r["embedding"] for r in X.doc_embedding(docs(spark), vocab, vecs, 2).collect()}
+    # doc 1: the cat sat the cat; "the" has two vectors, so it weighs four
+    assert got[1] == pytest.approx([2 * 4 / 7, (2 * 1 + 2 * 2) / 7])
